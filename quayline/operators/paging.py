@@ -176,6 +176,21 @@ def plan_pages(stats: KeyStats, step=None, lower=None, upper=None, max_pages: in
     return pages
 
 
+def page_grid(pages: list[Page]):
+    """Start and width of an equal-width plan of at least two key ranges."""
+    ranges = [p for p in pages if not p.null_key]
+    first = ranges[0].upper
+    step = ranges[1].lower if ranges[1].upper is None else ranges[1].upper
+    if len(ranges) == 2 and ranges[1].upper is None:
+        # Only one inner edge: any width that keeps both sides apart will do.
+        step = 1
+    else:
+        step = step - first
+    days = isinstance(first, dt.date)
+    width = step.days if isinstance(step, dt.timedelta) else step
+    return (first - dt.timedelta(days=width) if days else first - width), width
+
+
 def _literal(value) -> str:
     if isinstance(value, dt.date):
         return f"DATE '{value.isoformat()}'"

@@ -145,6 +145,9 @@ class SourceRef:
         """The full URI of a path below this source."""
         kind = self.storage
         if kind is StorageKind.LOCAL:
+            if self.path and ":/" in self.path:
+                # Already a URI, a mounted or Hadoop folder all executors share.
+                return self.path.rstrip("/") + ("/" + join_path(relative) if relative else "")
             return "file:///" + join_path(self.path, relative)
         if kind in _OBJECT_STORES:
             if not self.bucket:
