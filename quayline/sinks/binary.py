@@ -3,8 +3,9 @@
 Input rows are ``(name, chunk_no, binary_data)``. On a disk that all executors
 mount, every chunk gets its byte offset first and is then written in place by
 whichever task holds it, so a file of any size is written by many tasks at
-once. Stores that only accept whole objects get one ordered stream per file,
-through one task, in constant memory.
+once. Offsets come from the chunk sizes alone; the bytes are never sorted.
+Stores that only accept whole objects get one ordered stream per file, through
+one task, in constant memory.
 
 Both ways write below a staging folder that is moved to the target once every
 row is on disk; a repeated task writes the same bytes again.
@@ -23,7 +24,7 @@ from quayline.session import configure, staged
 from quayline.sources import filesystem
 from quayline.sources.binary import open_filesystem
 
-SEGMENT_CHUNKS = 64
+SEGMENT_CHUNKS = 10_000
 _DONE = "name string, chunks bigint, bytes bigint"
 
 
@@ -54,7 +55,10 @@ def write_binary(
     filesystem.make_directory(spark, staging)
     try:
         if layout == "offset":
-            written = _place(staged(spark, rows, "chunks"), segment_chunks).mapInArrow(_offset_writer(staging), _DONE)
+            kept = rows.select(
+                F.monotonically_increasing_id().alias("row_id"), "*", F.octet_length("binary_data").alias("size")
+            )
+            written = _place(staged(spark, kept, "chunks"), segment_chunks).mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "stream":
             ordered = rows.repartition("name").sortWithinPartitions("name", "chunk_no")
             written = ordered.mapInArrow(_stream_writer(staging), _DONE)
@@ -72,21 +76,29 @@ def write_binary(
 def _place(rows: DataFrame, segment_chunks: int) -> DataFrame:
     """Add each chunk's byte offset in its file.
 
-    Running sums go over short segments, then over the segment totals: no
-    group grows with the size of a file's content.
+    Running sums go over segments of a bounded chunk range, then over the
+    segment totals: no group grows with the size of a file's content.
     """
-    rows = rows.withColumn("segment", F.floor(F.col("chunk_no") / segment_chunks))
-    totals = rows.groupBy("name", "segment").agg(F.sum(F.octet_length("binary_data")).alias("size"))
+    sizes = rows.select(
+        "row_id", "name", "chunk_no", "size", F.floor(F.col("chunk_no") / segment_chunks).alias("segment")
+    )
+    totals = sizes.groupBy("name", "segment").agg(F.sum("size").alias("total"))
     earlier = W.partitionBy("name").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(
-        "name", "segment", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("segment_start")
+        "name", "segment", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("segment_start")
+    )
+    before = (
+        W.partitionBy("name", "segment").orderBy("chunk_no", "row_id").rowsBetween(W.unboundedPreceding, -1)
     )
-    before = W.partitionBy("name", "segment").orderBy("chunk_no").rowsBetween(W.unboundedPreceding, -1)
-    inside = rows.withColumn(
-        "inside", F.coalesce(F.sum(F.octet_length("binary_data")).over(before), F.lit(0))
+    inside = sizes.withColumn("inside", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    offsets = inside.join(starts, ["name", "segment"]).select(
+        "row_id", (F.col("segment_start") + F.col("inside")).alias("start")
     )
-    return inside.join(starts, ["name", "segment"]).select(
-        "name", (F.col("segment_start") + F.col("inside")).alias("start"), "binary_data"
+    # Hashing the small side leaves the bytes unsorted; row ids spread them evenly.
+    return (
+        rows.select("row_id", "name", "binary_data")
+        .join(offsets.hint("shuffle_hash"), "row_id")
+        .select("name", "start", "binary_data")
     )
 
 

@@ -66,7 +66,8 @@ def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: in
     last = F.ceil(F.col("length") / span).cast("bigint") - 1
     ranges = large.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("range_no"))
     # The rows are a few bytes each but stand for megabytes: fix the task count.
-    tasks = min(MAX_RANGE_TASKS, max(1, math.ceil(total / span)))
+    cores = large.sparkSession.sparkContext.defaultParallelism
+    tasks = min(MAX_RANGE_TASKS, max(cores, math.ceil(total / max(span, RANGE_BYTES))))
     return ranges.repartition(tasks, "path", "range_no").mapInArrow(
         _range_reader(chunk_bytes, per_range), CHUNK_SCHEMA
     )
