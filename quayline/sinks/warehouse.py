@@ -88,7 +88,14 @@ def write_partitions(df: DataFrame, name: str) -> None:
     """Overwrite the partitions that occur in ``df``, each taken from its own columns."""
     spark = configure(df.sparkSession)
     rows = align_to_table(df, spark.table(table_name(name)).schema)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table_name(name))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    # insertInto takes the mode from the session only; the write is done when it returns.
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table_name(name))
+    finally:
+        spark.conf.set(mode, before)
 
 
 def write_resource(df: DataFrame, path: str, name: str = "name", order: str = "chunk_no") -> dict[str, int]:

@@ -8,7 +8,6 @@ huge file neither has to fit in memory nor ties up a single task.
 from __future__ import annotations
 
 import math
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,11 +98,11 @@ def _range_reader(chunk_bytes: int, per_range: int):
 
 
 def open_filesystem(uri: str):
-    """The Arrow file system of a Spark path, and the path inside it."""
+    """The Arrow file system of a path as Spark prints it, and the path inside it."""
     from pyarrow import fs
 
     if uri.startswith("file:") or uri.startswith("/"):
-        return fs.LocalFileSystem(), "/" + unquote(uri.removeprefix("file:")).lstrip("/")
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 

@@ -60,7 +60,7 @@ def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) ->
 def header_names(spark: SparkSession, paths, options: dict[str, str]) -> list[str]:
     """Column names from the header line, or positions where there is none."""
     names = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(paths).columns
-    if not names or (options["header"] == "true" and all(not n.strip() or n.startswith("_c") for n in names)):
+    if not names:
         raise HeaderMissingError(f"no CSV header line in {paths}")
     return names
 
