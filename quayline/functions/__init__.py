@@ -24,6 +24,7 @@ from quayline.functions.temporal import (
     to_millis,
 )
 from quayline.functions.text import (
+    as_unsigned,
     empty_to_null,
     recast,
     to_boolean,
@@ -36,6 +37,7 @@ from quayline.functions.text import (
 
 __all__ = [
     "array_to_json",
+    "as_unsigned",
     "date_to_epoch_day",
     "empty_to_null",
     "epoch_day_to_date",

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from quayline.errors import InvalidParameterError
 from quayline.types import SIGNED_BITS, UNSIGNED_BITS, spark_type
 
-_INTEGER_TEXT = r"\A[+-]?[0-9]+\z"
+
+def _bare(text: Column) -> Column:
+    """Starts like a number and ends in a digit, so a cast finds no blanks to strip.
+
+    Plain text comparison; a pattern match would cost several times the cast.
+    """
+    return (text >= "+") & (text < ":") & F.right(text, F.lit(1)).between("0", "9")
 
 
 def empty_to_null(text: Column) -> Column:
@@ -35,7 +41,7 @@ def to_signed(text: Column, type_name: str, column: str = "value", on_error: str
     """Text to int8 / int16 / int32 / int64, no blanks, no fraction, no overflow."""
     if type_name not in SIGNED_BITS:
         raise InvalidParameterError(f"{type_name} is not a signed integer type")
-    value = F.when(text.rlike(_INTEGER_TEXT), text.try_cast(spark_type(type_name)))
+    value = F.when(_bare(text), text.try_cast(spark_type(type_name)))
     return _checked(text, value, type_name, column, on_error)
 
 
@@ -43,10 +49,26 @@ def to_unsigned(text: Column, type_name: str, column: str = "value", on_error: s
     """Text to an unsigned integer held in the next wider signed type."""
     if type_name not in UNSIGNED_BITS:
         raise InvalidParameterError(f"{type_name} is not an unsigned integer type")
+    if type_name == "uint64":
+        wide = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("decimal(38,0)"))
+    else:
+        wide = F.when(_bare(text), text.try_cast("bigint"))
+    value = F.when(_in_range(wide, type_name), wide).cast(spark_type(type_name))
+    return _checked(text, value, type_name, column, on_error)
+
+
+def _in_range(value: Column, type_name: str) -> Column:
     limit = 2 ** UNSIGNED_BITS[type_name] - 1
-    wide = F.when(text.rlike(_INTEGER_TEXT), text.try_cast("decimal(38,0)"))
-    in_range = (wide >= 0) & (wide <= F.lit(str(limit)).cast("decimal(38,0)"))
-    return _checked(text, F.when(in_range, wide).cast(spark_type(type_name)), type_name, column, on_error)
+    top = F.lit(str(limit)).cast("decimal(38,0)") if type_name == "uint64" else F.lit(limit)
+    return (value >= 0) & (value <= top)
+
+
+def as_unsigned(value: Column, type_name: str, column: str = "value") -> Column:
+    """A whole number checked against an unsigned type's range and held in its type."""
+    text = value.cast("string")
+    message = F.concat(F.lit(f"column {column}: value '"), text, F.lit(f"' is not {type_name}"))
+    checked = F.when(value.isNull() | _in_range(value, type_name), value)
+    return checked.otherwise(F.raise_error(message).cast("bigint")).cast(spark_type(type_name))
 
 
 def to_floating(text: Column, type_name: str, column: str = "value", on_error: str = "fail") -> Column:
@@ -57,7 +79,7 @@ def to_floating(text: Column, type_name: str, column: str = "value", on_error: s
 def to_boolean(text: Column, column: str = "value", on_error: str = "fail") -> Column:
     """true / false in any case, otherwise an integer where 0 is false."""
     lowered = F.lower(text)
-    number = F.when(text.rlike(_INTEGER_TEXT), text.try_cast("int"))
+    number = F.when(_bare(text), text.try_cast("int"))
     value = F.when(lowered == "true", True).when(lowered == "false", False).otherwise(number != 0)
     return _checked(text, value, "bool", column, on_error)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quayline.errors import HeaderMissingError, InvalidParameterError, MissingFieldError
 from quayline.functions import (
+    as_unsigned,
     epoch_day_to_date,
     iso_to_date64,
     iso_to_timestamp,
@@ -28,9 +29,13 @@ from quayline.session import configure
 from quayline.sources.charset import WIDE, paths_by_charset
 from quayline.types import Column, SIGNED_BITS, UNSIGNED_BITS, as_columns, spark_type
 
-# Declared types Spark's CSV parser reads strictly by itself; the rest are
-# scanned as text and converted by an expression.
-_NATIVE = {"int8", "int16", "int32", "int64", "int", "float32", "float64", "float", "float16", "string", "str"}
+# Declared types Spark's CSV parser reads strictly by itself, and the type it is
+# asked for; the rest are scanned as text and converted by an expression.
+_NATIVE = {
+    **{n: spark_type(n) for n in ("int8", "int16", "int32", "int64", "int", "float16", "float32", "float64", "float")},
+    **{n: T.LongType() for n in ("uint8", "unit8", "uint16", "uint32")},
+    "date32": T.IntegerType(),
+}
 
 
 def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) -> dict[str, str]:
@@ -132,14 +137,21 @@ def _scan(spark, files, options, declared, select, field_map) -> DataFrame:
             raise MissingFieldError(f"no such column: {', '.join(unknown)}")
         wanted = [by_name[s] for s in select]
 
-    native = {raw_of[c.name]: spark_type(c.type) for c in wanted if c.type in _NATIVE}
+    native = {raw_of[c.name]: _NATIVE[c.type] for c in wanted if c.type in _NATIVE}
     schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in header])
     df = spark.read.options(**options).schema(schema).csv(files)
-    pick = []
-    for c in wanted:
-        raw = column(raw_of[c.name])
-        pick.append((raw if c.type in _NATIVE else convert(raw, c)).alias(c.name))
-    return df.select(*pick)
+    return df.select(*[_finish(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
+
+
+def _finish(scanned: SparkColumn, declared: Column) -> SparkColumn:
+    """A scanned column as its declared type."""
+    if declared.type not in _NATIVE:
+        return convert(scanned, declared)
+    if declared.type in UNSIGNED_BITS:
+        return as_unsigned(scanned, declared.type, declared.name)
+    if declared.type == "date32":
+        return F.date_from_unix_date(scanned)
+    return scanned
 
 
 def bad_values(df: DataFrame, columns) -> DataFrame:
