@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from quayline.errors import InvalidParameterError, SourceUnavailableError
 from quayline.operators.columns import project
 from quayline.operators.filters import text_filter
+from quayline.operators.paging import sampled_row_bytes
 from quayline.refs import FILE_KINDS, ContentType, DatasetRef, FileFormat, SourceRef, StorageKind, resolve
 from quayline.session import configure
 from quayline.sinks.binary import write_binary
 from quayline.sinks.csv import render_csv, write_csv
 from quayline.sinks.jdbc import write_jdbc
-from quayline.sinks.orc import write_orc
+from quayline.sinks.orc import write_orc, write_parquet
 from quayline.sinks.warehouse import write_resource, write_table
 from quayline.sources import filesystem
 from quayline.sources.binary import FILE_CHUNK, read_binary
@@ -119,7 +120,7 @@ def write_dataset(
     elif spec.reader == "orc":
         write_orc(rows, spec.location, **options)
     elif spec.reader == "parquet":
-        rows.write.mode("overwrite").options(**options).parquet(spec.location)
+        write_parquet(rows, spec.location, **options)
     elif spec.reader == "warehouse":
         write_table(rows, spec.location, partition_spec, **options)
     else:
@@ -133,9 +134,13 @@ def copy_dataset(
     target: DatasetRef,
     columns=None,
     partition_spec: str | None = None,
+    slice_bytes: int | None = None,
     **options,
 ) -> WriteResult:
-    """Copy a dataset into another storage or format; bytes are copied as bytes."""
+    """Copy a dataset into another storage or format; bytes are copied as bytes.
+
+    ``slice_bytes`` bounds the size of each file written, without a shuffle.
+    """
     if FileFormat(target.file_format) is FileFormat.BINARY and target.source.storage is not StorageKind.WAREHOUSE:
         chunks = read_dataset(spark, source, content_type="raw")
         if "binary_data" not in chunks.columns:
@@ -148,6 +153,8 @@ def copy_dataset(
         named = chunks.withColumn("name", name)
         return write_dataset(named, target, "raw", **options)
     df = read_dataset(spark, source, columns, partition_spec=partition_spec)
+    if slice_bytes:
+        options["max_records_per_file"] = records_per_slice(df, slice_bytes)
     return write_dataset(df, target, **options)
 
 
@@ -178,6 +185,6 @@ def check_source(spark: SparkSession, source: SourceRef) -> bool:
     return True
 
 
-def upload_partitions(total_bytes: int, slice_bytes: int = UPLOAD_SLICE_BYTES) -> int:
-    """Partitions that keep each below the upload slice size."""
-    return max(1, -(-total_bytes // slice_bytes))
+def records_per_slice(df: DataFrame, slice_bytes: int = UPLOAD_SLICE_BYTES) -> int:
+    """Rows that make up about ``slice_bytes``, from a sample of the row width."""
+    return max(1, int(slice_bytes / max(1.0, sampled_row_bytes(df))))

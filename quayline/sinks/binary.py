@@ -15,16 +15,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.session import configure, staged
 from quayline.sources import filesystem
-from quayline.sources.binary import open_filesystem
+from quayline.sources.binary import open_filesystem, read_binary
 
 SEGMENT_CHUNKS = 10_000
+# A list of this many file names, some ten megabytes, is copied to every executor; a longer one is not.
+BROADCAST_FILES = 50_000
 _DONE = "name string, chunks bigint, bytes bigint"
 
 
@@ -73,6 +75,32 @@ def write_binary(
     return {"chunks": totals["chunks"] or 0, "bytes": totals["bytes"] or 0}
 
 
+def merge_files(
+    spark: SparkSession, folder: str, path: str, name: str, first: bytes = b"", layout: str | None = None
+) -> dict[str, int]:
+    """Join the files below ``folder``, in name order and after ``first``, into one file of ``path``.
+
+    The bytes move in chunks between many tasks; only file names are ranked in one place.
+    """
+    chunks = read_binary(spark, folder)
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    # Task and file numbers count as numbers: part-100000 comes after part-99999.
+    numbers = [F.regexp_extract("path", p, 1).try_cast("int") for p in (r"part-(\d+)-", r"-c(\d+)\.")]
+    ranked = paths.select("path", F.row_number().over(W.orderBy(*numbers, "path")).alias("rank"))
+    if ranked.count() <= BROADCAST_FILES:
+        ranked = F.broadcast(ranked)
+    rows = chunks.join(ranked, "path").select(
+        F.lit(name).alias("name"),
+        # Room for 2^31 chunks per file.
+        (F.shiftleft(F.col("rank").cast("bigint"), 31) + F.col("chunk_no")).alias("chunk_no"),
+        "binary_data",
+    )
+    if first:
+        head = spark.createDataFrame([(name, 0, bytearray(first))], rows.schema)
+        rows = rows.unionByName(head)
+    return write_binary(rows, path, layout=layout)
+
+
 def _place(rows: DataFrame, segment_chunks: int) -> DataFrame:
     """Add each chunk's byte offset in its file.
 

@@ -10,6 +10,9 @@ from quayline.errors import InvalidParameterError
 from quayline.functions import array_to_json, date_to_epoch_day, map_to_json, timestamp_to_iso, utf8_text
 from quayline.operators.columns import column
 from quayline.refs import CsvFormat
+from quayline.session import configure, scratch_path
+from quayline.sinks.binary import merge_files
+from quayline.sources.charset import WIDE
 
 
 def value_text(value: Column, data_type: T.DataType, dates: str = "epoch_day") -> Column:
@@ -60,9 +63,11 @@ def write_csv(
     single_file: bool = False,
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write a CSV dataset, one file per task unless ``single_file`` asks otherwise.
+    """Write a CSV dataset, one file per task.
 
-    ``quoting='none'`` refuses values that would need quotes instead of quoting them.
+    ``single_file`` joins these files into one, its bytes still written by many
+    tasks where the disk is shared. ``quoting='none'`` refuses values that
+    would need quotes instead of quoting them.
     """
     fmt = fmt or CsvFormat()
     if fmt.field_map:
@@ -73,14 +78,28 @@ def write_csv(
         out = refuse_special(out, fmt)
     elif quoting != "minimal":
         raise InvalidParameterError(f"quoting must be 'minimal' or 'none', not {quoting!r}")
+    options = write_options(out, fmt)
+    target = path
     if single_file:
-        out = out.coalesce(1)
-    writer = out.write.mode(mode).options(**write_options(out, fmt))
+        if mode != "overwrite" or (encoding or "UTF-8").upper().startswith(WIDE):
+            raise InvalidParameterError("a single file is written anew, in UTF-8 or a charset without byte order mark")
+        options["header"] = "false"
+        target = scratch_path(configure(df.sparkSession), "parts")
+    writer = out.write.mode(mode).options(**options)
     if encoding:
         writer = writer.option("encoding", encoding)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.csv(path)
+    writer.csv(target)
+    if single_file:
+        header = header_line(out, fmt).encode(encoding or "UTF-8") if fmt.header else b""
+        merge_files(df.sparkSession, target, path, "data.csv", header)
+
+
+def header_line(df: DataFrame, fmt: CsvFormat) -> str:
+    """The header of a frame as a line of CSV text."""
+    names = df.sparkSession.createDataFrame([tuple(df.columns)], [f"c{i}" for i in range(len(df.columns))])
+    return render_csv(names, fmt).first()["line"] + "\n"
 
 
 def refuse_special(df: DataFrame, fmt: CsvFormat) -> DataFrame:

@@ -14,7 +14,7 @@ from quayline.functions.literal import quote_ident
 from quayline.operators.columns import column
 from quayline.refs import SourceRef, TableFormat
 from quayline.session import configure
-from quayline.sources.jdbc import connection_options
+from quayline.sources.jdbc import MAX_CONNECTIONS, connection_options
 from quayline.types import mysql_type
 
 # Key prefix length of text columns in an index, and table options.
@@ -100,13 +100,13 @@ def write_jdbc(
     allow_drop: bool = False,
     create: bool = False,
     batch_rows: int = 10_000,
-    num_partitions: int | None = None,
+    max_connections: int = MAX_CONNECTIONS,
 ) -> None:
     """Insert rows into a table.
 
     ``create`` runs the table definition first; with ``allow_drop`` an existing
     table goes. ``mode='overwrite'`` truncates and keeps the definition.
-    ``num_partitions`` bounds the concurrent connections.
+    A repeated task repeats its inserts where the table has no unique key.
     """
     if mode not in ("append", "overwrite"):
         raise InvalidParameterError(f"mode must be 'append' or 'overwrite', not {mode!r}")
@@ -114,7 +114,10 @@ def write_jdbc(
     rows = jdbc_projection(df)
     if create:
         run_statements(spark, source, mysql_ddl(table, df.schema, fmt, allow_drop))
-    options = {**connection_options(source), "truncate": "true", "batchsize": str(batch_rows)}
-    if num_partitions:
-        options["numPartitions"] = str(num_partitions)
+    options = {
+        **connection_options(source),
+        "truncate": "true",
+        "batchsize": str(batch_rows),
+        "numPartitions": str(max_connections),
+    }
     rows.write.format("jdbc").options(**options).option("dbtable", quote_ident(table)).mode(mode).save()

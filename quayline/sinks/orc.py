@@ -45,3 +45,17 @@ def write_orc(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.orc(path)
+
+
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    compression: str = "snappy",
+    max_records_per_file: int | None = None,
+) -> None:
+    """Write Parquet files."""
+    writer = df.write.mode(mode).option("compression", compression)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayline.errors import MissingParameterError
+from quayline.errors import MissingFieldError, MissingParameterError
 from quayline.functions.literal import quote_ident, quote_text
 from quayline.functions.temporal import ntz_to_millis, to_millis
 from quayline.operators.columns import choose_page_key, column, project, rename
@@ -37,6 +37,10 @@ from quayline.session import configure
 # The MySQL driver and its liveness query.
 MYSQL_DRIVER = "com.mysql.cj.jdbc.Driver"
 PING_QUERY = "SELECT 1 FROM DUAL"
+FETCH_ROWS = 10_000
+
+# One database serves every executor: pages beyond this share connections.
+MAX_CONNECTIONS = 100
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,13 @@ class JdbcScan:
 
 def connection_options(source: SourceRef) -> dict[str, str]:
     """Connection part of the JDBC options."""
-    options = {"url": source.jdbc_url(), "driver": MYSQL_DRIVER}
+    options = {
+        "url": source.jdbc_url(),
+        "driver": MYSQL_DRIVER,
+        # Without a cursor the driver holds a whole page in memory.
+        "useCursorFetch": "true",
+        "fetchsize": str(FETCH_ROWS),
+    }
     if source.user:
         options["user"] = source.user
     if source.password:
@@ -108,8 +118,15 @@ def measure(spark: SparkSession, options: dict[str, str], table: str, key: str)
     return KeyStats(r["min_key"], r["max_key"], int(r["row_count"]), int(r["null_keys"]), width)
 
 
-def pages_for(rule: PageRule, stats: KeyStats, page_bytes: int = PAGE_BYTES) -> list[Page]:
-    """Pages of a table under a rule whose gaps the statistics fill."""
+def pages_for(
+    rule: PageRule, stats: KeyStats, page_bytes: int = PAGE_BYTES, splits: int | None = None
+) -> list[Page]:
+    """Pages of a table under a rule whose gaps the statistics fill.
+
+    ``splits`` asks for that many pages instead of a page size.
+    """
+    if splits:
+        page_bytes = max(1.0, stats.row_bytes * stats.rows / splits)
     step = rule.step if rule.step is not None else plan_step(stats, page_bytes)
     return plan_pages(stats, step, rule.lower, rule.upper)
 
@@ -128,6 +145,8 @@ def read_jdbc(
     split_by: str | None = None,
     max_page_rows: int | None = None,
     extra_options: dict[str, str] | None = None,
+    splits: int | None = None,
+    max_connections: int = MAX_CONNECTIONS,
 ) -> DataFrame:
     """Scan a table. Column pruning and ``where`` are pushed into the database.
 
@@ -149,11 +168,15 @@ def read_jdbc(
         key = choose_page_key(schema, rule_key, primary_key)
         if key:
             stats = measure(spark, options, name, key)
-            planned = pages_for(pages or PageRule(key), stats, page_bytes)
+            planned = pages_for(pages or PageRule(key), stats, page_bytes, splits)
             if max_page_rows and planned:
                 planned = _split(spark, options, name, key, planned, stats, split_by, max_page_rows)
             predicates = [page_predicate(p, key) for p in planned]
-    df = rename(as_read(load(spark, JdbcScan(options, name, predicates))), field_map)
+    rows = load(spark, JdbcScan(options, name, predicates))
+    if len(predicates) > max_connections:
+        # Narrow: a task reads its pages one after the other.
+        rows = rows.coalesce(max_connections)
+    df = rename(as_read(rows), field_map)
     return project(text_filter(df, where), columns)
 
 
@@ -215,6 +238,21 @@ def with_origin(schema: T.StructType, database: str | None, table: str) -> T.Str
     )
 
 
+def type_overrides(schema: T.StructType, by_name=None, by_index=None) -> str:
+    """``customSchema`` text from type overrides by column name or 1-based index."""
+    by_name, names = dict(by_name or {}), schema.names
+    for index, kind in (by_index or {}).items():
+        if not 1 <= index <= len(names):
+            raise MissingFieldError(f"no column number {index}")
+        by_name[names[index - 1]] = kind
+    unknown = [n for n in by_name if n not in names]
+    if unknown:
+        raise MissingFieldError(f"no such column: {', '.join(unknown)}")
+    return ", ".join(
+        f"{quote_ident(n)} {k if isinstance(k, str) else k.simpleString()}" for n, k in by_name.items()
+    )
+
+
 def index_sql(database: str | None, table: str) -> str:
     """The database's own list of a table's indexes and their columns."""
     where = f"TABLE_NAME = {quote_text(table)}"

@@ -128,6 +128,13 @@ def csv_quote_dialect_texts(t):
     return rows.select("item_id", F.md5("text").alias("digest"))
 
 
+@query("SELECT * FROM orders")
+def csv_single_file_orders(t):
+    path = t.path("orders")
+    write_csv(t["orders"], path, single_file=True)
+    return read_csv(t.spark, path + "/data.csv", t["orders"].schema)
+
+
 @query("SELECT event_id, nullif(event_type, 'error') AS event_type FROM events")
 def csv_empty_as_null_events(t):
     path = t.path("events")

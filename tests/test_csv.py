@@ -184,8 +184,20 @@ def test_options(spark, tmp_path):
         write_csv(df, str(tmp_path / "x"), quoting="all")
     with pytest.raises(InvalidParameterError):
         write_csv(df, str(tmp_path / "x"), dates="us")
-    write_csv(spark.range(10).repartition(4), str(tmp_path / "one"), single_file=True)
-    assert len([f for f in os.listdir(tmp_path / "one") if f.endswith(".csv")]) == 1
+    with pytest.raises(InvalidParameterError):
+        write_csv(df, str(tmp_path / "x"), single_file=True, encoding="UTF-16")
+
+
+def test_single_file_keeps_the_row_order(spark, tmp_path):
+    df = spark.range(10_000).select("id", F.lit("汉,字").alias("a,b")).repartitionByRange(5, "id")
+    for encoding in (None, "GB18030"):
+        path = tmp_path / f"one{encoding}"
+        write_csv(df, str(path), single_file=True, encoding=encoding)
+        assert os.listdir(path) == ["data.csv"]
+        lines = (path / "data.csv").read_text(encoding or "utf-8").splitlines()
+        assert lines == ['id,"a,b"'] + [f'{i},"汉,字"' for i in range(10_000)]
+    write_csv(df.where("id < 0"), str(tmp_path / "none"), single_file=True)
+    assert (tmp_path / "none" / "data.csv").read_text() == 'id,"a,b"\n'
 
 
 def test_render(spark):

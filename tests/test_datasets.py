@@ -22,7 +22,7 @@ from quayline.plans import (
     read_dataset,
     write_dataset,
 )
-from quayline.plans.transfer import BINARY_SCHEMA, upload_partitions
+from quayline.plans.transfer import BINARY_SCHEMA, records_per_slice
 from quayline.refs import DatasetRef, SourceRef
 from quayline.sinks.orc import write_orc
 from quayline.sinks.warehouse import create_table, write_partitions, write_table
@@ -120,6 +120,15 @@ def test_copies(spark, xyz, source):
     assert some.rows == 10
 
 
+def test_slices(spark, xyz, source, tmp_path):
+    assert records_per_slice(xyz, 240) == 10 and records_per_slice(xyz, 1) == 1
+    a = DatasetRef.of(source, "a", xyz.schema)
+    write_dataset(xyz.coalesce(1), a)
+    for fmt in ("csv", "orc", "parquet"):
+        copy_dataset(spark, a, DatasetRef.of(source, fmt, xyz.schema, file_format=fmt), slice_bytes=24 * 4)
+        assert len([f for f in os.listdir(tmp_path / fmt) if f.startswith("part")]) == 3
+
+
 def test_csv_and_raw_content(spark, xyz, source):
     ref = DatasetRef.of(source, "d", xyz.schema)
     write_dataset(xyz, ref)
@@ -150,7 +159,6 @@ def test_upload_checks(source):
     for bad in (DatasetRef.of(source, "d"), DatasetRef.of(source, "d", type="report")):
         with pytest.raises(InvalidParameterError):
             check_upload(bad)
-    assert upload_partitions(0) == 1 and upload_partitions(64 * 1024 * 1024 + 1) == 2
 
 
 def test_catalog(spark, xyz, source, name):

@@ -55,6 +55,8 @@ def test_connection_options():
     assert options == {
         "url": "jdbc:mysql://host:3306/d",
         "driver": "com.mysql.cj.jdbc.Driver",
+        "useCursorFetch": "true",
+        "fetchsize": "10000",
         "user": "u",
         "password": "p",
     }
@@ -116,6 +118,22 @@ def test_custom_schema_and_extra_options(spark, table):
     assert options["customSchema"] == "k DECIMAL(12,2)" and options["fetchsize"] == "1000"
 
 
+def test_split_count_and_connection_limit(spark, table):
+    found = jdbc.read_jdbc(spark, SOURCE, "t", ["id"], primary_key="id", splits=20, max_connections=3)
+    assert 20 <= len(table["scans"][-1].predicates) <= 21
+    assert found.rdd.getNumPartitions() == 3
+    assert same(found, table["df"].select("id"))
+
+
+def test_type_overrides():
+    schema = T.StructType.fromDDL("a int, b string, c array<string>")
+    text = jdbc.type_overrides(schema, {"a": "DECIMAL(12,2)"}, {3: T.ArrayType(T.LongType())})
+    assert text == "`a` DECIMAL(12,2), `c` array<bigint>"
+    for bad in ({"by_name": {"x": "int"}}, {"by_index": {0: "int"}}):
+        with pytest.raises(MissingFieldError):
+            jdbc.type_overrides(schema, **bad)
+
+
 def test_statistics_statement():
     assert jdbc.stats_sql("`t`", "k") == (
         "SELECT MIN(`k`) AS min_key, MAX(`k`) AS max_key, COUNT(*) AS row_count, "
