@@ -220,6 +220,12 @@ def page_predicate(page: Page, key: str) -> str:
     return " AND ".join(parts)
 
 
+def predicate_pages(df: DataFrame, predicates, name: str = "page") -> DataFrame:
+    """Pages given as SQL conditions, in one scan: a row appears once per condition it meets."""
+    hits = F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
+    return df.select(F.explode(F.array_compact(hits)).alias(name), "*")
+
+
 def split_hot_pages(pages: list[Page], rows_of, max_rows: int, split_by: str) -> list[Page]:
     """Cut pages with too many rows by a hash of ``split_by``, whatever the key repeats."""
     out: list[Page] = []

@@ -98,7 +98,7 @@ def write_csv(
 
 def header_line(df: DataFrame, fmt: CsvFormat) -> str:
     """The header of a frame as a line of CSV text."""
-    names = df.sparkSession.createDataFrame([tuple(df.columns)], [f"c{i}" for i in range(len(df.columns))])
+    names = df.sparkSession.range(1).select(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
     return render_csv(names, fmt).first()["line"] + "\n"
 
 

@@ -104,10 +104,3 @@ def open_filesystem(uri: str):
     if uri.startswith("file:") or uri.startswith("/"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
-def concat_chunks(df: DataFrame, by: str = "path") -> DataFrame:
-    """Whole content per file, for files that fit in one value (below 2 GiB)."""
-    return df.groupBy(by).agg(
-        F.array_sort(F.collect_list(F.struct("chunk_no", "binary_data"))).alias("parts")
-    ).select(by, F.expr("aggregate(parts, x'', (a, p) -> concat(a, p.binary_data))").alias("content"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from quayline.session import configure, scratch_path
 
 
+LATEST_ACKS = 1_000
+
+
 @dataclass(frozen=True)
 class Ack:
     """One delivered batch."""
@@ -22,11 +26,11 @@ class Ack:
 
 @dataclass
 class StreamCopy:
-    """A running or finished transfer."""
+    """A running or finished transfer. ``acks`` are the latest; ``acknowledged`` finds all."""
 
-    query: StreamingQuery
+    query: StreamingQuery | None
     target: str
-    acks: list[Ack] = field(default_factory=list)
+    acks: deque[Ack] = field(default_factory=lambda: deque(maxlen=LATEST_ACKS))
 
     def wait(self, timeout: float | None = None) -> "StreamCopy":
         self.query.awaitTermination(timeout)

@@ -6,7 +6,7 @@ from quayline.plans import copy_dataset, read_dataset, write_dataset
 from quayline.refs import DatasetRef
 from quayline.sinks.binary import write_binary
 from quayline.sinks.csv import write_csv
-from quayline.sources.binary import concat_chunks, read_binary
+from quayline.sources.binary import read_binary
 from quayline.sources.csv import read_csv
 from quayline.sources.warehouse import read_resource
 from quayline.workloads.registry import query
@@ -61,7 +61,7 @@ def resource_chunks_pages(t):
     return _chunks(read_resource(t.spark, _page_files(t)), r"\.html$")
 
 
-@query("SELECT page_id, md5(html) AS digest FROM pages")
+@query(_PAGE_CHUNKS.format(n=4096))
 def binary_concat_pages(t):
     path = t.path("pages")
     # Three chunks per page, in one stream per file.
@@ -76,11 +76,7 @@ def binary_concat_pages(t):
         "name", "chunk_no", F.substring("b", F.col("chunk_no") * F.col("size") + 1, F.col("size")).alias("binary_data")
     )
     write_binary(chunks, path, layout="stream")
-    whole = concat_chunks(read_binary(t.spark, path, chunk_bytes=4096))
-    return whole.select(
-        F.regexp_replace(_base_name(), r"\.html$", "").cast("bigint").alias("page_id"),
-        F.md5("content").alias("digest"),
-    )
+    return _chunks(read_binary(t.spark, path, chunk_bytes=4096), r"\.html$")
 
 
 @query(

@@ -12,6 +12,7 @@ from quayline.operators.paging import (
     page_predicate,
     plan_pages,
     plan_step,
+    predicate_pages,
     split_hot_pages,
     with_page,
 )
@@ -125,12 +126,8 @@ def range_filter_lineitem(t):
 @query(
     """SELECT 0 AS page, p_partkey, p_size FROM part WHERE p_size < 10
        UNION ALL SELECT 1, p_partkey, p_size FROM part WHERE p_size >= 10 AND p_size < 30
-       UNION ALL SELECT 2, p_partkey, p_size FROM part WHERE p_size >= 30"""
+       UNION ALL SELECT 2, p_partkey, p_size FROM part WHERE p_size >= 25"""
 )
 def explicit_predicates_part(t):
-    rules = ["p_size < 10", "p_size >= 10 AND p_size < 30", "p_size >= 30"]
-    parts = [
-        t["part"].where(F.expr(rule)).select(F.lit(i).alias("page"), "p_partkey", "p_size")
-        for i, rule in enumerate(rules)
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    rules = ["p_size < 10", "p_size >= 10 AND p_size < 30", "p_size >= 25"]
+    return predicate_pages(t["part"], rules).select("page", "p_partkey", "p_size")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.sinks.binary import write_binary
-from quayline.sources.binary import CLIENT_CHUNK, concat_chunks, open_filesystem, read_binary
+from quayline.sources.binary import CLIENT_CHUNK, open_filesystem, read_binary
 from quayline.sources.warehouse import read_resource
 
 BIG = os.urandom(5 * 1024 * 1024 + 7)
@@ -100,11 +100,6 @@ def test_refusals(spark, tmp_path):
         read_binary(spark, str(tmp_path), chunk_bytes=0)
 
 
-def test_concat(spark, folder):
-    whole = concat_chunks(read_binary(spark, folder + "/big*", 999_999)).first()
-    assert bytes(whole.content) == BIG
-
-
 def test_path_forms():
     for uri in ("/a/b c%20", "file:/a/b c%20", "file:///a/b c%20"):
         assert open_filesystem(uri)[1] == "/a/b c%20"

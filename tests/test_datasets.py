@@ -245,7 +245,7 @@ def test_stream_resumes_without_repeating(spark, xyz, tmp_path):
     xyz.repartition(4).write.parquet(source)
     args = dict(checkpoint=mark, files_per_batch=2, on_ack=heard.append)
     first = stream_copy(spark, source, xyz.schema, target, **args).wait()
-    assert sum(a.row_count for a in first.acks) == 10 and heard == first.acks
+    assert sum(a.row_count for a in first.acks) == 10 and heard == list(first.acks)
     xyz.write.mode("append").parquet(source)
     second = stream_copy(spark, source, xyz.schema, target, **args).wait()
     assert sum(a.row_count for a in second.acks) == 10
