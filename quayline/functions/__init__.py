@@ -9,7 +9,7 @@ from quayline.functions.nested import (
     map_to_text_map,
     to_text_array,
 )
-from quayline.functions.numeric import rescale_decimal
+from quayline.functions.numeric import rescale_decimal, to_decimal
 from quayline.functions.temporal import (
     date_to_epoch_day,
     epoch_day_to_date,
@@ -59,6 +59,7 @@ __all__ = [
     "time_of_day_millis",
     "timestamp_to_iso",
     "to_boolean",
+    "to_decimal",
     "to_floating",
     "to_millis",
     "to_signed",

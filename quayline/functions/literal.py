@@ -15,8 +15,8 @@ def quote_ident(name: str) -> str:
 
 
 def quote_text(text: str) -> str:
-    """A single-quoted SQL string with its quotes doubled."""
-    return "'" + text.replace("'", "''") + "'"
+    """A single-quoted SQL string; quotes and backslashes are doubled, as Spark and MySQL want."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "''") + "'"
 
 
 def sql_literal(value: Column, data_type: T.DataType) -> Column:
@@ -29,4 +29,5 @@ def sql_literal(value: Column, data_type: T.DataType) -> Column:
         text = F.to_json(value)
     else:
         text = value.cast("string")
-    return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
+    return F.concat(F.lit("'"), escaped, F.lit("'"))

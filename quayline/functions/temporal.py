@@ -39,14 +39,21 @@ def date_to_epoch_day(day: Column) -> Column:
     return F.unix_date(day)
 
 
+def _local(text: Column) -> Column:
+    """Local date-time text as a timestamp; text with an offset or a zone is not local."""
+    time_part = F.substring(text, 12, 64)
+    zoned = time_part.contains("+") | time_part.contains("-") | ~F.right(text, F.lit(1)).between("0", "9")
+    return F.when(~zoned, text.try_cast("timestamp_ntz"))
+
+
 def iso_to_timestamp(text: Column, column: str = "value", on_error: str = "fail") -> Column:
     """ISO local date-time text to a timestamp without time zone, full precision."""
-    return _checked(text, text.try_cast("timestamp_ntz"), "timestamp", column, on_error)
+    return _checked(text, _local(text), "timestamp", column, on_error)
 
 
 def iso_to_date64(text: Column, column: str = "value", on_error: str = "fail") -> Column:
     """ISO local date-time text to a date64 value (millisecond precision)."""
-    return ntz_to_millis(_checked(text, text.try_cast("timestamp_ntz"), "date64", column, on_error))
+    return ntz_to_millis(_checked(text, _local(text), "date64", column, on_error))
 
 
 def timestamp_to_iso(ts: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from quayline.types import Column, as_columns, declared_schema
 _PREFIX = "dataset."
 # Descriptor entries kept as table properties.
 FIELDS = ("name", "type", "source_id", "relative_uri", "vendor", "file_format")
-_KEPT = (*FIELDS, "location", "columns")
+_KEPT = (*FIELDS, "location", "columns", "csv")
 
 
 class DatasetCatalog:
@@ -39,12 +40,15 @@ class DatasetCatalog:
             raise InvalidParameterError(f"unknown dataset type {fields['type']!r}")
         source, options = file_format, {}
         if file_format == "csv":
-            options = {**(csv or CsvFormat()).dialect(), "header": "true"}
+            csv = csv or CsvFormat()
+            options = {**csv.dialect(), "header": str(csv.header).lower()}
         elif file_format == "binary":
             source = "binaryFile"
         schema = declared_schema(columns) if columns else None
         self.spark.catalog.createTable(self._table(dataset_id), location, source, schema, **options)
         kept = {"file_format": file_format, "location": location}
+        if csv:
+            kept["csv"] = json.dumps(asdict(csv))
         if columns:
             kept["columns"] = json.dumps([[c.name, c.type] for c in as_columns(columns)])
         self._set(dataset_id, {"type": "table", **fields, **kept})
@@ -72,7 +76,7 @@ class DatasetCatalog:
 
     def update(self, dataset_id: str, **fields) -> None:
         self.get(dataset_id)
-        fixed = [f for f in fields if f in ("location", "columns", "file_format")]
+        fixed = [f for f in fields if f in ("location", "columns", "csv", "file_format")]
         if fixed:
             raise InvalidParameterError(f"cannot change {', '.join(fixed)} of a registered dataset")
         self._set(dataset_id, fields)
@@ -89,5 +93,5 @@ class DatasetCatalog:
         known = self.get(dataset_id)
         if known["file_format"] == "csv":
             columns = [Column(*c) for c in json.loads(known.get("columns", "[]"))]
-            return read_csv(self.spark, known["location"], columns)
+            return read_csv(self.spark, known["location"], columns, fmt=CsvFormat(**json.loads(known["csv"])))
         return self.spark.table(self._table(dataset_id))

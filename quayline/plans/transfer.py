@@ -109,13 +109,13 @@ def write_dataset(
     spec = resolve(ref, content_type)
     if ref.source.storage in FILE_KINDS:
         ref.source.apply(spark)
+    if spec.reader in ("binary", "resource"):
+        write = write_binary if spec.reader == "binary" else write_resource
+        return WriteResult(write(df, spec.location, **options)["chunks"], spec.location)
+    # The count sits in the stage that writes, where a repeated task counts once.
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if spec.reader == "binary":
-        write_binary(rows, spec.location, **options)
-    elif spec.reader == "resource":
-        write_resource(rows, spec.location, **options)
-    elif spec.reader == "csv":
+    if spec.reader == "csv":
         write_csv(rows, spec.location, ref.csv, **options)
     elif spec.reader == "orc":
         write_orc(rows, spec.location, **options)

@@ -15,9 +15,8 @@ from quayline.functions import (
     epoch_day_to_date,
     iso_to_date64,
     iso_to_timestamp,
-    json_to_array,
-    json_to_map,
     to_boolean,
+    to_decimal,
     to_floating,
     to_signed,
     to_unsigned,
@@ -27,7 +26,7 @@ from quayline.operators.columns import column, validate_field_map
 from quayline.refs import CsvFormat
 from quayline.session import configure
 from quayline.sources.charset import WIDE, paths_by_charset
-from quayline.types import Column, SIGNED_BITS, UNSIGNED_BITS, as_columns, spark_type
+from quayline.types import NESTED, SIGNED_BITS, UNSIGNED_BITS, Column, as_columns, spark_type
 
 # Declared types Spark's CSV parser reads strictly by itself, and the type it is
 # asked for; the rest are scanned as text and converted by an expression.
@@ -89,6 +88,10 @@ def convert(text: SparkColumn, declared: Column, on_error: str = "fail") -> Spar
         return iso_to_date64(text, name, on_error)
     if kind == "timestamp":
         return iso_to_timestamp(text, name, on_error)
+    if kind.startswith("decimal("):
+        return to_decimal(text, declared.spark.precision, declared.spark.scale, name, on_error)
+    if kind.startswith(NESTED):
+        return F.from_json(text, declared.spark, {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"})
     return utf8_bytes(text)
 
 
@@ -169,17 +172,6 @@ def bad_values(df: DataFrame, columns) -> DataFrame:
     return df.select(F.explode(F.array_compact(F.array(*checks))).alias("bad")).select("bad.*")
 
 
-def parse_nested(df: DataFrame, maps=(), arrays: dict[str, T.DataType] | None = None) -> DataFrame:
-    """Turn JSON text columns back into maps and arrays."""
-    arrays = arrays or {}
-    return df.withColumns(
-        {
-            **{m: json_to_map(column(m)) for m in maps},
-            **{a: json_to_array(column(a), element) for a, element in arrays.items()},
-        }
-    )
-
-
 def infer_csv_schema(
     spark: SparkSession, paths, fmt: CsvFormat | None = None, encoding: str | None = None
 ) -> T.StructType:

@@ -109,12 +109,21 @@ class Column:
         return spark_type(self.type)
 
 
+# Type names beyond the fixed ones are Spark's own, for types a name alone cannot tell.
+_PARAMETRIC = ("decimal(", "array<", "map<", "struct<")
+NESTED = ("array<", "map<", "struct<")
+
+
 def spark_type(name: str) -> T.DataType:
     """The Spark type of a declared type name."""
-    try:
+    if name in DECLARED_TYPES:
         return DECLARED_TYPES[name]
-    except KeyError:
-        raise InvalidParameterError(f"unsupported column type {name!r}") from None
+    if name.startswith(_PARAMETRIC):
+        try:
+            return T.DataType.fromDDL(name)
+        except Exception as cause:
+            raise InvalidParameterError(f"unsupported column type {name!r}") from cause
+    raise InvalidParameterError(f"unsupported column type {name!r}")
 
 
 def as_columns(declared) -> list[Column]:
@@ -132,6 +141,8 @@ def as_columns(declared) -> list[Column]:
 
 def declared_name(data_type: T.DataType) -> str:
     """The declared type name that a Spark type is announced under."""
+    if isinstance(data_type, (T.DecimalType, T.ArrayType, T.MapType, T.StructType)):
+        return data_type.simpleString()
     name = _NAME_OF_TYPE.get(data_type.simpleString())
     if name is None:
         raise UnsupportedTypeError(f"no declared type name for {data_type.simpleString()}")

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from quayline import functions as C
 from quayline.sinks.csv import write_csv
-from quayline.sources.csv import parse_nested, read_csv
+from quayline.sources.csv import read_csv
 from quayline.workloads.registry import query
 
 
@@ -26,6 +26,17 @@ def decimal_ceiling_lineitem(t):
     )
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(ceil(CAST(l_extendedprice * l_tax AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(12, 2)) AS tax
+       FROM lineitem"""
+)
+def csv_decimals_lineitem(t):
+    path = t.path("decimals")
+    tax = (F.col("l_extendedprice") * F.col("l_tax")).cast("decimal(18,4)")
+    write_csv(t["lineitem"].select("l_orderkey", "l_linenumber", tax.alias("tax")), path)
+    return read_csv(t.spark, path, {"l_orderkey": "int64", "l_linenumber": "int32", "tax": "decimal(12,2)"})
+
+
 @query("SELECT event_id, date_trunc('milliseconds', ts) AS ts FROM events")
 def ts_millis_events(t):
     return t["events"].select("event_id", C.ntz_to_millis(F.col("ts")).alias("ts"))
@@ -77,7 +88,7 @@ def map_json_roundtrip_events(t):
     member = F.create_map(F.lit("t"), F.nullif("event_type", F.lit("error")))
     rows = t["events"].select("event_id", F.map_concat(C.json_to_map(F.col("props")), member).alias("props"))
     write_csv(rows, path)
-    back = parse_nested(read_csv(t.spark, path, {"event_id": "int64", "props": "string"}), maps=["props"])
+    back = read_csv(t.spark, path, {"event_id": "int64", "props": "map<string,string>"})
     return back.select("event_id", C.map_to_json(F.col("props")).alias("props"), F.col("props")["k"].alias("k"))
 
 
@@ -85,8 +96,7 @@ def map_json_roundtrip_events(t):
 def array_roundtrip_embeddings(t):
     path = t.path("arrays")
     write_csv(t["embeddings"], path)
-    text = read_csv(t.spark, path, {"vec_id": "int64", "embedding": "string", "label": "int32"})
-    back = parse_nested(text, arrays={"embedding": T.FloatType()})
+    back = read_csv(t.spark, path, t["embeddings"].schema)
     e = F.col("embedding")
     return back.select(
         "vec_id",
@@ -99,7 +109,7 @@ def array_roundtrip_embeddings(t):
 
 
 @query(
-    """SELECT doc_id, '''' || replace(text, '''', '''''') || '''' AS text_literal, CAST(n_chars AS VARCHAR) AS number_literal,
+    """SELECT doc_id, '''' || replace(replace(text, '\\', '\\\\'), '''', '''''') || '''' AS text_literal, CAST(n_chars AS VARCHAR) AS number_literal,
               CASE WHEN n_chars % 2 = 0 THEN 'true' ELSE 'false' END AS bool_literal FROM documents"""
 )
 def sql_literal_documents(t):

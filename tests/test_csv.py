@@ -12,7 +12,7 @@ from quayline.errors import HeaderMissingError, InvalidParameterError, MissingFi
 from quayline.refs import CsvFormat
 from quayline.sinks.csv import refuse_special, render_csv, write_csv
 from quayline.sources.charset import non_utf8_files, paths_by_charset
-from quayline.sources.csv import bad_values, infer_csv_schema, parse_nested, read_csv
+from quayline.sources.csv import bad_values, infer_csv_schema, read_csv
 
 
 FAILS = (PySparkException, Py4JJavaError)
@@ -114,9 +114,9 @@ def test_typed_values(spark, tmp_path):
     assert all(v is None for v in second)
 
 
-@pytest.mark.parametrize("text, kind", [("128", "int8"), (" 1 ", "int32"), ("256", "uint8"), ("yes", "bool"), ("x", "float32")])
+@pytest.mark.parametrize("text, kind", [("128", "int8"), (" 1 ", "int32"), ("256", "uint8"), ("yes", "bool"), ("x", "float32"), ("1,5", "decimal(9,2)"), ("12345678.9", "decimal(9,2)"), ("2024-05-20T10:11:12+08:00", "timestamp")])
 def test_bad_value_stops(spark, tmp_path, text, kind):
-    path = put(tmp_path, "f.csv", f"v,w\n{text},1\n")
+    path = put(tmp_path, "f.csv", f'v,w\n"{text}",1\n')
     with pytest.raises(FAILS):
         read_csv(spark, path, {"v": kind}).collect()
     found = bad_values(read_csv(spark, path), {"v": kind, "w": "int32"})
@@ -169,11 +169,13 @@ def test_empty_frame_leaves_a_header(spark, tmp_path):
 
 
 def test_nested_values_are_json_text(spark, tmp_path):
-    df = spark.createDataFrame([({"k": None}, [1, None])], "m map<string,string>, a array<int>")
+    df = spark.sql("""SELECT map('k', CAST(NULL AS STRING)) AS m, array(1, NULL) AS a,
+                             named_struct('x', 1, 'y', 'p,q') AS s, CAST(1.25 AS DECIMAL(9, 2)) AS d""")
     path = str(tmp_path / "o")
     write_csv(df, path)
-    back = parse_nested(read_csv(spark, path), maps=["m"], arrays={"a": T.IntegerType()})
-    assert back.first().asDict() == {"m": {"k": None}, "a": [1, None]}
+    back = read_csv(spark, path, df.schema)
+    assert [f.dataType.simpleString() for f in back.schema] == [f.dataType.simpleString() for f in df.schema]
+    assert back.first() == df.first()
 
 
 def test_options(spark, tmp_path):

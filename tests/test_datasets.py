@@ -23,7 +23,7 @@ from quayline.plans import (
     write_dataset,
 )
 from quayline.plans.transfer import BINARY_SCHEMA, records_per_slice
-from quayline.refs import DatasetRef, SourceRef
+from quayline.refs import CsvFormat, DatasetRef, SourceRef
 from quayline.sinks.orc import write_orc
 from quayline.sinks.warehouse import create_table, write_partitions, write_table
 from quayline.sources.orc import read_columnar
@@ -61,6 +61,8 @@ def test_round_trip_and_projection(spark, xyz, source, fmt):
     assert same(read_dataset(spark, ref, ["z"], where="x > 3"), xyz.where("x > 3").select("z"))
     with pytest.raises(MissingFieldError):
         read_dataset(spark, ref, ["a"])
+    with pytest.raises(MissingFieldError):
+        read_dataset(spark, DatasetRef.of(source, "d", {"a": "int64"}, file_format=fmt))
 
 
 @pytest.mark.parametrize("fmt", ["csv", "orc", "parquet"])
@@ -182,6 +184,13 @@ def test_catalog(spark, xyz, source, name):
         catalog.read(name)
 
 
+def test_catalog_keeps_the_dialect(spark, xyz, source, name):
+    catalog = DatasetCatalog(spark)
+    fmt = CsvFormat(separator=";", field_map={"raw_x": "x"})
+    publish_dataset(xyz, DatasetRef.of(source, "d", xyz.schema, id=name, csv=fmt), catalog)
+    assert same(catalog.read(name), xyz)
+
+
 def test_failed_publish_leaves_nothing(spark, xyz, source, tmp_path, name):
     catalog = DatasetCatalog(spark)
     broken = xyz.withColumn("z", F.raise_error(F.lit("no")).cast("long"))

@@ -76,8 +76,9 @@ def test_date64_keeps_the_whole_timestamp(spark):
         dt.datetime(2024, 5, 20, 10, 11, 12, 345000),
         dt.datetime(2024, 5, 20, 10, 11),
     ]
-    with pytest.raises(FAILS):
-        values(spark, ["20 May"], C.iso_to_date64)
+    for bad in ("20 May", "2024-05-20T10:11:12Z", "2024-05-20T10:11:12-03:00", "2024-05-20T10:11:12+01:00"):
+        with pytest.raises(FAILS):
+            values(spark, [bad], C.iso_to_date64)
 
 
 def test_timestamps_before_epoch_floor(spark):
@@ -95,6 +96,15 @@ def test_decimal_rounds_up(spark):
     ]
 
 
+def test_decimal_text(spark):
+    texts = ["1.2341", "-1.2341", "99999.99", "1e2", "", None]
+    found = values(spark, texts, lambda c: C.to_decimal(c, 7, 2))
+    assert found == [Decimal("1.24"), Decimal("-1.23"), Decimal("99999.99"), Decimal("100.00"), None, None]
+    for bad in ("100000", " 1", "x", "99999.991"):
+        with pytest.raises(FAILS):
+            values(spark, [bad], lambda c: C.to_decimal(c, 7, 2))
+
+
 def test_time_units(spark):
     assert values(spark, [1234], lambda c: C.rescale_time(c, "ms", "us"), "bigint") == [1234000]
     assert values(spark, [1999], lambda c: C.rescale_time(c, "ms", "s"), "bigint") == [1]
@@ -135,7 +145,14 @@ def test_sql_literals(spark):
 
 def test_quoting():
     assert C.quote_ident("a`b") == "`a``b`"
-    assert C.quote_text("a'b") == "'a''b'"
+    assert C.quote_text("a'b\\") == "'a''b\\\\'"
+
+
+def test_literals_read_back(spark):
+    texts = ["it's", "back\\slash", "\\'", "line\nbreak", "汉"]
+    for text, literal in zip(texts, values(spark, texts, lambda c: C.sql_literal(c, T.StringType()))):
+        assert literal == C.quote_text(text)
+        assert spark.sql(f"SELECT {literal}").first()[0] == text
 
 
 def test_recast(spark):

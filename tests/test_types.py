@@ -43,7 +43,7 @@ def test_declared_types(name, expected):
     assert spark_type(name) == expected
 
 
-@pytest.mark.parametrize("name", ["datetime", "decimal", "", "INT"])
+@pytest.mark.parametrize("name", ["datetime", "decimal", "", "INT", "array<", "decimal(x)"])
 def test_unknown_declared_type(name):
     with pytest.raises(InvalidParameterError):
         spark_type(name)
@@ -60,8 +60,10 @@ def test_column_declarations_are_equivalent():
     assert as_columns({"a": "int64", "b": "string"}) == want
     assert as_columns([("a", "int64"), ("b", "string")]) == want
     assert as_columns(T.StructType.fromDDL("a bigint, b string")) == want
+    nested = T.StructType.fromDDL("a array<float>, m map<string,int>, d decimal(9,2)")
+    assert declared_schema(as_columns(nested)) == nested
     with pytest.raises(UnsupportedTypeError):
-        declared_name(T.ArrayType(T.LongType()))
+        declared_name(T.DayTimeIntervalType())
 
 
 def test_jdbc_types():
