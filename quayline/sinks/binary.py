@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.session import configure, staged
 from quayline.sources import filesystem
-from quayline.sources.binary import open_filesystem, read_binary
+from quayline.sources.binary import arrow_options, open_filesystem, read_binary
 
 SEGMENT_CHUNKS = 10_000
 # A list of this many file names, some ten megabytes, is copied to every executor; a longer one is not.
 BROADCAST_FILES = 50_000
+OPEN_FILES = 128
 _DONE = "name string, chunks bigint, bytes bigint"
 
 
@@ -49,7 +50,11 @@ def write_binary(
             raise MissingFieldError(f"binary output needs column {needed!r}")
     target = filesystem.qualified(spark, path)
     layout = layout or ("offset" if target.startswith("file:") else "stream")
+    options = arrow_options(spark, target)
+    if options is None:
+        raise InvalidParameterError(f"cannot write single files to {target}")
     staging = f"{target}.staging-{uuid.uuid4().hex}"
+    attempts = f"{staging}.attempts"
     rows = df.select(
         F.col(name).alias("name"), F.col(order).cast("bigint").alias("chunk_no"), F.col("binary_data")
     ).where(F.col("binary_data").isNotNull())
@@ -63,7 +68,7 @@ def write_binary(
             written = _place(staged(spark, kept, "chunks"), segment_chunks).mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "stream":
             ordered = rows.repartition("name").sortWithinPartitions("name", "chunk_no")
-            written = ordered.mapInArrow(_stream_writer(staging), _DONE)
+            written = ordered.mapInArrow(_stream_writer(staging, attempts, options), _DONE)
         else:
             raise InvalidParameterError(f"layout must be 'offset' or 'stream', not {layout!r}")
         totals = written.agg(F.sum("chunks").alias("chunks"), F.sum("bytes").alias("bytes")).first()
@@ -72,6 +77,8 @@ def write_binary(
     except BaseException:
         filesystem.delete(spark, staging)
         raise
+    finally:
+        filesystem.delete(spark, attempts)
     return {"chunks": totals["chunks"] or 0, "bytes": totals["bytes"] or 0}
 
 
@@ -137,40 +144,57 @@ def _offset_writer(staging: str):
         import pyarrow as pa
 
         _, root = open_filesystem(staging)
-        for batch in batches:
-            names, sizes = [], []
-            for name, start, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                target = os.path.join(root, name)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                # No truncation: other tasks write other ranges of the same file.
-                handle = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
-                try:
+        handles: dict[str, int] = {}
+
+        def close_all():
+            for handle in handles.values():
+                os.close(handle)
+            handles.clear()
+
+        try:
+            for batch in batches:
+                names, sizes = [], []
+                for name, start, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    if name not in handles:
+                        if len(handles) >= OPEN_FILES:
+                            close_all()
+                        target = os.path.join(root, name)
+                        os.makedirs(os.path.dirname(target), exist_ok=True)
+                        # No truncation: other tasks write other ranges of the same file.
+                        handles[name] = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
                     view, at = memoryview(data), start
                     while view:
-                        n = os.pwrite(handle, view, at)
+                        n = os.pwrite(handles[name], view, at)
                         view, at = view[n:], at + n
-                finally:
-                    os.close(handle)
-                names.append(name)
-                sizes.append(len(data))
-            yield _done(pa, names, sizes)
+                    names.append(name)
+                    sizes.append(len(data))
+                yield _done(pa, names, sizes)
+        finally:
+            close_all()
 
     return write
 
 
-def _stream_writer(staging: str):
+def _stream_writer(staging: str, attempts: str, options: dict):
     def write(batches):
         import posixpath
         import uuid
 
         import pyarrow as pa
+        from pyarrow.fs import FileType
 
-        fs, root = open_filesystem(staging)
+        fs, root = open_filesystem(staging, options)
+        _, spare = open_filesystem(attempts, options)
         current = stream = temporary = None
 
         def close():
             stream.close()
-            fs.move(temporary, posixpath.join(root, current))
+            target = posixpath.join(root, current)
+            fs.create_dir(posixpath.dirname(target), recursive=True)
+            if fs.get_file_info(target).type != FileType.NotFound:
+                # An earlier attempt of this task got that far.
+                fs.delete_file(target)
+            fs.move(temporary, target)
 
         for batch in batches:
             names, sizes = [], []
@@ -179,9 +203,8 @@ def _stream_writer(staging: str):
                     if stream is not None:
                         close()
                     current = name
-                    folder = posixpath.dirname(posixpath.join(root, name))
-                    fs.create_dir(folder, recursive=True)
-                    temporary = posixpath.join(folder, f".part-{uuid.uuid4().hex}")
+                    fs.create_dir(spare, recursive=True)
+                    temporary = posixpath.join(spare, uuid.uuid4().hex)
                     stream = fs.open_output_stream(temporary)
                 stream.write(data)
                 names.append(name)

@@ -24,6 +24,9 @@ INLINE_BYTES = 64 * 1024 * 1024
 RANGE_BYTES = 64 * 1024 * 1024
 MAX_RANGE_TASKS = 100_000
 
+# Schemes Arrow can open.
+_ARROW_SCHEMES = ("file", "s3", "s3a", "s3n", "hdfs", "viewfs", "gs", "gcs", "abfs", "abfss")
+
 CHUNK_SCHEMA = "path string, chunk_no bigint, binary_data binary"
 
 
@@ -38,12 +41,16 @@ def read_binary(
     configure(spark)
     if chunk_bytes <= 0:
         raise InvalidParameterError(f"chunk size must be positive, not {chunk_bytes}")
+    options = arrow_options(spark, path)
+    if options is None:
+        # Spark reads files of up to 2 GiB here, and refuses larger ones.
+        inline_bytes = 2**31 - 1
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Listing only: without the content column no file is opened.
     large = files.where(F.col("length") > inline_bytes).select("path", "length")
-    total = large.agg(F.sum("length")).first()[0]
+    total = None if options is None else large.agg(F.sum("length")).first()[0]
 
-    small = files.where((F.col("length") > 0) & (F.col("length") <= inline_bytes))
+    small = files.where((F.col("length") > 0) & ((F.col("length") <= inline_bytes) | F.lit(options is None)))
     chunk_count = F.ceil(F.col("length") / chunk_bytes).cast("bigint")
     chunks = small.select(
         "path", "content", F.explode(F.sequence(F.lit(0).cast("bigint"), chunk_count - 1)).alias("chunk_no")
@@ -56,10 +63,10 @@ def read_binary(
     )
     if not total:
         return chunks
-    return chunks.unionByName(_read_ranges(large, total, chunk_bytes, range_bytes))
+    return chunks.unionByName(_read_ranges(large, total, chunk_bytes, range_bytes, options))
 
 
-def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: int) -> DataFrame:
+def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: int, options: dict) -> DataFrame:
     per_range = max(1, range_bytes // chunk_bytes)
     span = per_range * chunk_bytes
     last = F.ceil(F.col("length") / span).cast("bigint") - 1
@@ -68,17 +75,17 @@ def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: in
     cores = large.sparkSession.sparkContext.defaultParallelism
     tasks = min(MAX_RANGE_TASKS, max(cores, math.ceil(total / max(span, RANGE_BYTES))))
     return ranges.repartition(tasks, "path", "range_no").mapInArrow(
-        _range_reader(chunk_bytes, per_range), CHUNK_SCHEMA
+        _range_reader(chunk_bytes, per_range, options), CHUNK_SCHEMA
     )
 
 
-def _range_reader(chunk_bytes: int, per_range: int):
+def _range_reader(chunk_bytes: int, per_range: int, options: dict):
     def read(batches):
         import pyarrow as pa
 
         for batch in batches:
             for path, range_no in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                fs, name = open_filesystem(path)
+                fs, name = open_filesystem(path, options)
                 with fs.open_input_file(name) as stream:
                     first = range_no * per_range
                     for chunk_no in range(first, first + per_range):
@@ -97,10 +104,41 @@ def _range_reader(chunk_bytes: int, per_range: int):
     return read
 
 
-def open_filesystem(uri: str):
+def arrow_options(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """What tasks need to open ``path`` with Arrow; None if Arrow has no such file system."""
+    scheme, _, rest = path.partition("://")
+    if not rest:
+        return {}
+    if scheme not in _ARROW_SCHEMES:
+        return None
+    if not scheme.startswith("s3"):
+        return {}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return s3_options(conf.get, rest.partition("/")[0])
+
+
+def s3_options(get, bucket: str) -> dict[str, str]:
+    """Connection settings of one bucket from the Hadoop ones, the bucket's own first."""
+
+    def setting(name):
+        return get(f"fs.s3a.bucket.{bucket}.{name}") or get(f"fs.s3a.{name}")
+
+    options = {
+        "access_key": setting("access.key"),
+        "secret_key": setting("secret.key"),
+        "endpoint_override": setting("endpoint"),
+        "scheme": "http" if setting("connection.ssl.enabled") == "false" else "https",
+    }
+    return {k: v for k, v in options.items() if v}
+
+
+def open_filesystem(uri: str, options: dict[str, str] | None = None):
     """The Arrow file system of a path as Spark prints it, and the path inside it."""
     from pyarrow import fs
 
     if uri.startswith("file:") or uri.startswith("/"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    scheme, _, rest = uri.partition("://")
+    if scheme.startswith("s3"):
+        return fs.S3FileSystem(**(options or {})), rest
+    return fs.FileSystem.from_uri(uri)

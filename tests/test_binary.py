@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.sinks.binary import write_binary
-from quayline.sources.binary import CLIENT_CHUNK, open_filesystem, read_binary
+from quayline.sources.binary import CLIENT_CHUNK, arrow_options, open_filesystem, read_binary, s3_options
 from quayline.sources.warehouse import read_resource
 
 BIG = os.urandom(5 * 1024 * 1024 + 7)
@@ -100,6 +100,19 @@ def test_refusals(spark, tmp_path):
         read_binary(spark, str(tmp_path), chunk_bytes=0)
 
 
+def test_object_store_settings(spark):
+    conf = {
+        "fs.s3a.bucket.b.endpoint": "host:9000",
+        "fs.s3a.endpoint": "other",
+        "fs.s3a.access.key": "k",
+        "fs.s3a.bucket.b.connection.ssl.enabled": "false",
+    }
+    assert s3_options(conf.get, "b") == {"access_key": "k", "endpoint_override": "host:9000", "scheme": "http"}
+    assert s3_options(conf.get, "c") == {"access_key": "k", "endpoint_override": "other", "scheme": "https"}
+    assert arrow_options(spark, "obs://b/f") is None
+    assert arrow_options(spark, "hdfs://n/f") == {} and arrow_options(spark, "/a/b") == {}
+
+
 def test_path_forms():
     for uri in ("/a/b c%20", "file:/a/b c%20", "file:///a/b c%20"):
         assert open_filesystem(uri)[1] == "/a/b c%20"
