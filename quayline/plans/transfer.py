@@ -45,12 +45,14 @@ def read_dataset(
     content_type: str = "table",
     partition_spec: str | None = None,
     where: str | None = None,
+    limit: int | None = None,
     **options,
 ) -> DataFrame:
     """A dataset as a lazy DataFrame.
 
     ``content_type`` asks for typed columns (``table``), the stored bytes
-    (``raw``) or lines of CSV text (``csv``). ``options`` go to the reader.
+    (``raw``) or lines of CSV text (``csv``). ``limit`` takes that many rows as
+    a sample. ``options`` go to the reader.
     """
     configure(spark)
     content = ContentType(content_type)
@@ -75,6 +77,8 @@ def read_dataset(
     else:
         df = read_columnar(spark, spec.location, spec.reader, None, spec.schema)
         df = project(text_filter(df, where), columns)
+    if limit is not None:
+        df = df.limit(limit)
     return render_csv(df, ref.csv) if content is ContentType.CSV else df
 
 

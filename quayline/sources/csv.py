@@ -28,6 +28,9 @@ from quayline.session import configure
 from quayline.sources.charset import WIDE, paths_by_charset
 from quayline.types import NESTED, SIGNED_BITS, UNSIGNED_BITS, Column, as_columns, spark_type
 
+# Fixed value: fields per row Spark's CSV parser makes room for by default.
+DEFAULT_MAX_COLUMNS = 20_480
+
 # Declared types Spark's CSV parser reads strictly by itself, and the type it is
 # asked for; the rest are scanned as text and converted by an expression.
 _NATIVE = {
@@ -53,7 +56,6 @@ def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) ->
         "multiLine": str(multiline or wide).lower(),
         # With a given schema, check every file's own header against it.
         "enforceSchema": "false",
-        "maxColumns": "1000000",
     }
     if ragged == "fail":
         # Pruned parsing looks only at the wanted fields and misses a short or long row.
@@ -63,7 +65,7 @@ def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) ->
 
 def header_names(spark: SparkSession, paths, options: dict[str, str]) -> list[str]:
     """Column names from the header line, or positions where there is none."""
-    names = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(paths).columns
+    names = spark.read.options(**{**options, "mode": "PERMISSIVE", "maxColumns": "1000000"}).csv(paths).columns
     if not names:
         raise HeaderMissingError(f"no CSV header line in {paths}")
     return names
@@ -142,7 +144,9 @@ def _scan(spark, files, options, declared, select, field_map) -> DataFrame:
 
     native = {raw_of[c.name]: _NATIVE[c.type] for c in wanted if c.type in _NATIVE}
     schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in header])
-    df = spark.read.options(**options).schema(schema).csv(files)
+    # One more than the header, so that a row that is too long is seen as such.
+    wide = {"maxColumns": str(len(header) + 1)} if len(header) >= DEFAULT_MAX_COLUMNS else {}
+    df = spark.read.options(**options, **wide).schema(schema).csv(files)
     return df.select(*[_finish(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quayline.errors import MissingFieldError, MissingParameterError
 from quayline.functions.literal import quote_ident, quote_text
+from quayline.functions.numeric import rescale_decimal
 from quayline.functions.temporal import ntz_to_millis, to_millis
 from quayline.operators.columns import choose_page_key, column, project, rename
 from quayline.operators.filters import text_filter
@@ -147,13 +148,15 @@ def read_jdbc(
     extra_options: dict[str, str] | None = None,
     splits: int | None = None,
     max_connections: int = MAX_CONNECTIONS,
+    decimals: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Scan a table. Column pruning and ``where`` are pushed into the database.
 
     ``pages`` or a numeric ``primary_key`` makes the scan parallel. Pages with
     more than ``max_page_rows`` rows, a repeated key say, are cut further by a
     hash of ``split_by``. ``columns``, ``where`` and the page key use view names
-    of ``field_map``; predicates and ``split_by`` are raw database names.
+    of ``field_map``; predicates, ``split_by`` and ``decimals``, wanted precisions
+    and scales, are by raw database names.
     """
     configure(spark)
     options = {**connection_options(source), **(extra_options or {})}
@@ -176,7 +179,7 @@ def read_jdbc(
     if len(predicates) > max_connections:
         # Narrow: a task reads its pages one after the other.
         rows = rows.coalesce(max_connections)
-    df = rename(as_read(rows), field_map)
+    df = rename(as_read(rows, decimals), field_map)
     return project(text_filter(df, where), columns)
 
 
@@ -193,8 +196,15 @@ def _split(spark, options, table, key, planned, stats, split_by, max_page_rows)
     return split_hot_pages(planned, lambda i, _: rows[i], max_page_rows, split_by)
 
 
-def as_read(df: DataFrame) -> DataFrame:
-    """Values as the reader hands them over: timestamps end at the millisecond."""
+def as_read(df: DataFrame, decimals: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """Values as the reader hands them over.
+
+    Timestamps end at the millisecond; decimals of another scale round up.
+    """
+    decimals = decimals or {}
+    unknown = [n for n in decimals if n not in df.columns]
+    if unknown:
+        raise MissingFieldError(f"no such column: {', '.join(unknown)}")
     pick = []
     for f in df.schema:
         value = column(f.name)
@@ -202,6 +212,8 @@ def as_read(df: DataFrame) -> DataFrame:
             value = to_millis(value)
         elif isinstance(f.dataType, T.TimestampNTZType):
             value = ntz_to_millis(value)
+        elif f.name in decimals:
+            value = rescale_decimal(value, *decimals[f.name])
         pick.append(value.alias(f.name, metadata=f.metadata))
     return df.select(*pick)
 

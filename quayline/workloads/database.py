@@ -22,6 +22,15 @@ def database_rows_events(t):
     return jdbc_projection(rows)
 
 
+@query(
+    """SELECT l_orderkey, CAST(ceil(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(14, 2)) AS saved
+       FROM lineitem"""
+)
+def database_decimals_lineitem(t):
+    saved = (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)")
+    return as_read(t["lineitem"].select("l_orderkey", saved.alias("saved")), {"saved": (14, 2)})
+
+
 @query("SELECT event_id, date_trunc('milliseconds', ts) AS ts, user_id, value FROM events")
 def database_values_events(t):
     return as_read(t["events"].select("event_id", "ts", "user_id", "value"))

@@ -58,6 +58,7 @@ def test_round_trip_and_projection(spark, xyz, source, fmt):
     assert write_dataset(xyz, ref).rows == 10
     assert same(read_dataset(spark, ref), xyz)
     assert same(read_dataset(spark, ref, ["z"]), xyz.select("z"))
+    assert read_dataset(spark, ref, limit=4).count() == 4
     assert same(read_dataset(spark, ref, ["z"], where="x > 3"), xyz.where("x > 3").select("z"))
     with pytest.raises(MissingFieldError):
         read_dataset(spark, ref, ["a"])

@@ -112,6 +112,14 @@ def test_values_end_at_the_millisecond(spark, table):
     assert jdbc.read_jdbc(spark, SOURCE, "t", ["at"]).first().at.microsecond == 123000
 
 
+def test_decimals_round_up(spark):
+    df = spark.sql("SELECT CAST(1.2341 AS DECIMAL(9, 4)) AS a, CAST(-1.2341 AS DECIMAL(9, 4)) AS b")
+    found = jdbc.as_read(df, {"a": (7, 2), "b": (7, 2)}).first()
+    assert (str(found.a), str(found.b)) == ("1.24", "-1.23")
+    with pytest.raises(MissingFieldError):
+        jdbc.as_read(df, {"c": (7, 2)})
+
+
 def test_custom_schema_and_extra_options(spark, table):
     jdbc.read_jdbc(spark, SOURCE, "t", custom_schema="k DECIMAL(12,2)", extra_options={"fetchsize": "1000"})
     options = table["scans"][-1].options
