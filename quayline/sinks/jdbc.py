@@ -78,12 +78,14 @@ def run_statements(spark: SparkSession, source: SourceRef, statements: list[str]
     """Run table definitions over one driver-side connection."""
     jvm = spark._jvm
     options = connection_options(source)
-    jvm.java.lang.Class.forName(
-        options["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    )
-    connection = jvm.java.sql.DriverManager.getConnection(
-        options["url"], options.get("user"), options.get("password")
-    )
+    # The driver may come from spark.jars, which only the context class loader sees.
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    driver = jvm.java.lang.Class.forName(options["driver"], True, loader).newInstance()
+    properties = jvm.java.util.Properties()
+    for key in ("user", "password"):
+        if key in options:
+            properties.setProperty(key, options[key])
+    connection = driver.connect(options["url"], properties)
     try:
         for statement in statements:
             connection.createStatement().execute(statement)

@@ -112,7 +112,10 @@ def raw_csv_copy_orders(t):
     return read_csv(t.spark, t.source().uri(copied.relative_uri), t["orders"].schema)
 
 
-@query("SELECT sum(8 + strlen(p_name) + 2 - 8 + strlen(p_brand) + strlen(CAST(p_partkey AS VARCHAR)) + 1)::BIGINT AS n_bytes FROM part")
+@query(
+    """SELECT sum(strlen(CAST(p_partkey AS VARCHAR)) + 1 + strlen(p_name) + 1 + strlen(p_brand) + 1)::BIGINT AS n_bytes
+       FROM part"""
+)
 def raw_csv_bytes_part(t):
     path = t.path("part")
     rows = t["part"].select("p_partkey", "p_name", "p_brand")

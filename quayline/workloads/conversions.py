@@ -11,7 +11,8 @@ from quayline.workloads.registry import query
 
 @query(
     """SELECT l_orderkey, l_linenumber,
-              CAST(ceil(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(18, 2)) AS price_up,
+              CAST(ceil(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(18, 2))
+                  AS price_up,
               CAST(ceil(CAST(-l_extendedprice * l_tax AS DECIMAL(18, 4)) * 10) / 10 AS DECIMAL(18, 1)) AS tax_up
        FROM lineitem"""
 )
@@ -27,8 +28,8 @@ def decimal_ceiling_lineitem(t):
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, CAST(ceil(CAST(l_extendedprice * l_tax AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(12, 2)) AS tax
-       FROM lineitem"""
+    """SELECT l_orderkey, l_linenumber,
+              CAST(ceil(CAST(l_extendedprice * l_tax AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(12, 2)) AS tax FROM lineitem"""
 )
 def csv_decimals_lineitem(t):
     path = t.path("decimals")
@@ -92,7 +93,10 @@ def map_json_roundtrip_events(t):
     return back.select("event_id", C.map_to_json(F.col("props")).alias("props"), F.col("props")["k"].alias("k"))
 
 
-@query("SELECT vec_id, label, embedding[1] AS first, embedding[-1] AS last, len(embedding)::INTEGER AS n, list_max(embedding) AS top FROM embeddings")
+@query(
+    """SELECT vec_id, label, embedding[1] AS first, embedding[-1] AS last, len(embedding)::INTEGER AS n,
+              list_max(embedding) AS top FROM embeddings"""
+)
 def array_roundtrip_embeddings(t):
     path = t.path("arrays")
     write_csv(t["embeddings"], path)
@@ -109,7 +113,8 @@ def array_roundtrip_embeddings(t):
 
 
 @query(
-    """SELECT doc_id, '''' || replace(replace(text, '\\', '\\\\'), '''', '''''') || '''' AS text_literal, CAST(n_chars AS VARCHAR) AS number_literal,
+    """SELECT doc_id, '''' || replace(replace(text, '\\', '\\\\'), '''', '''''') || '''' AS text_literal,
+              CAST(n_chars AS VARCHAR) AS number_literal,
               CASE WHEN n_chars % 2 = 0 THEN 'true' ELSE 'false' END AS bool_literal FROM documents"""
 )
 def sql_literal_documents(t):

@@ -23,8 +23,8 @@ def database_rows_events(t):
 
 
 @query(
-    """SELECT l_orderkey, CAST(ceil(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(14, 2)) AS saved
-       FROM lineitem"""
+    """SELECT l_orderkey,
+              CAST(ceil(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4)) * 100) / 100 AS DECIMAL(14, 2)) AS saved FROM lineitem"""
 )
 def database_decimals_lineitem(t):
     saved = (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)")

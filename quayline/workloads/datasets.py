@@ -117,7 +117,10 @@ def publish_rollback_events(t):
     )
 
 
-@query("SELECT c_custkey, c_acctbal > 0 AS in_credit, CAST(DATE '2020-01-01' + CAST(c_custkey % 100 AS INTEGER) AS DATE) AS since FROM customer")
+@query(
+    """SELECT c_custkey, c_acctbal > 0 AS in_credit,
+              CAST(DATE '2020-01-01' + CAST(c_custkey % 100 AS INTEGER) AS DATE) AS since FROM customer"""
+)
 def catalog_read_customer(t):
     rows = t["customer"].select(
         "c_custkey",

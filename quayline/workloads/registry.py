@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayline.refs import SourceRef
 from quayline.session import configure, scratch_path, scratch_root
+from quayline.sources import filesystem
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,7 +43,7 @@ class Tables:
         return scratch_path(self.spark, label)
 
     def source(self) -> SourceRef:
-        return SourceRef("localfs", id="shared", path=scratch_root(self.spark))
+        return SourceRef("localfs", id="shared", path=filesystem.qualified(self.spark, scratch_root(self.spark)))
 
     def relative(self, label: str) -> str:
         return self.path(label).rsplit("/", 1)[1]

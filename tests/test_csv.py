@@ -114,7 +114,19 @@ def test_typed_values(spark, tmp_path):
     assert all(v is None for v in second)
 
 
-@pytest.mark.parametrize("text, kind", [("128", "int8"), (" 1 ", "int32"), ("256", "uint8"), ("yes", "bool"), ("x", "float32"), ("1,5", "decimal(9,2)"), ("12345678.9", "decimal(9,2)"), ("2024-05-20T10:11:12+08:00", "timestamp")])
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("128", "int8"),
+        (" 1 ", "int32"),
+        ("256", "uint8"),
+        ("yes", "bool"),
+        ("x", "float32"),
+        ("1,5", "decimal(9,2)"),
+        ("12345678.9", "decimal(9,2)"),
+        ("2024-05-20T10:11:12+08:00", "timestamp"),
+    ],
+)
 def test_bad_value_stops(spark, tmp_path, text, kind):
     path = put(tmp_path, "f.csv", f'v,w\n"{text}",1\n')
     with pytest.raises(FAILS):

@@ -1,6 +1,8 @@
 """The database side is tested up to the text and options Spark is given: no database runs here."""
 
 import datetime as dt
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ import quayline.sources.jdbc as jdbc
 from quayline.errors import InvalidParameterError, MissingFieldError, MissingParameterError, UnsupportedTypeError
 from quayline.operators.paging import KeyStats, plan_pages
 from quayline.refs import PageRule, SourceRef, TableFormat, TableIndex
-from quayline.sinks.jdbc import jdbc_projection, mysql_ddl, synthetic_key, write_jdbc
+from quayline.sinks.jdbc import jdbc_projection, mysql_ddl, run_statements, synthetic_key, write_jdbc
 
 SOURCE = SourceRef("mysql", endpoint="host:3306", user="u", password="p", database="d")
 
@@ -194,6 +196,23 @@ def test_ddl():
         mysql_ddl("t", schema, TableFormat(indexes=(TableIndex(("zz",)),)))
 
 
+def test_statements_run_on_one_connection():
+    jvm = MagicMock()
+    driver = jvm.java.lang.Class.forName.return_value.newInstance.return_value
+    connection = driver.connect.return_value
+    connection.createStatement.return_value.execute.side_effect = [True, RuntimeError("refused")]
+    with pytest.raises(RuntimeError):
+        run_statements(SimpleNamespace(_jvm=jvm), SOURCE, ["DROP", "CREATE", "never"])
+    assert driver.connect.call_args.args[0] == "jdbc:mysql://host:3306/d"
+    assert [c.args for c in jvm.java.util.Properties.return_value.setProperty.call_args_list] == [
+        ("user", "u"),
+        ("password", "p"),
+    ]
+    executed = [c.args[0] for c in connection.createStatement.return_value.execute.call_args_list]
+    assert executed == ["DROP", "CREATE"]
+    connection.close.assert_called_once_with()
+
+
 def test_synthetic_key():
     assert synthetic_key().startswith("pk_") and len(synthetic_key()) == 9
     assert "`pk_" in mysql_ddl("t", T.StructType.fromDDL("a int"))[0]
