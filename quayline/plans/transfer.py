@@ -20,7 +20,7 @@ from quayline.sinks.jdbc import write_jdbc
 from quayline.sinks.orc import write_orc, write_parquet
 from quayline.sinks.warehouse import write_resource, write_table
 from quayline.sources import filesystem
-from quayline.sources.binary import read_binary
+from quayline.sources.binary import FILE_CHUNK, read_binary
 from quayline.sources.csv import infer_csv_schema, read_csv
 from quayline.sources.jdbc import PING_QUERY, connection_options, infer_jdbc_schema, query, read_jdbc
 from quayline.sources.orc import read_columnar
@@ -154,8 +154,9 @@ def copy_dataset(
             name = F.substring("path", len(root.rstrip("/")) + 2, 2**31 - 1)
         else:
             name = F.element_at(F.split("path", "/"), -1)
-        named = chunks.withColumn("name", name)
-        return write_dataset(named, target, "raw", **options)
+        # Chunks are full but for the last, so their positions are known.
+        named = chunks.withColumns({"name": name, "offset": F.col("chunk_no") * FILE_CHUNK})
+        return write_dataset(named, target, "raw", offset="offset", **options)
     df = read_dataset(spark, source, columns, partition_spec=partition_spec)
     if slice_bytes:
         options["max_records_per_file"] = records_per_slice(df, slice_bytes)

@@ -3,7 +3,8 @@
 Input rows are ``(name, chunk_no, binary_data)``. On a disk that all executors
 mount, every chunk gets its byte offset first and is then written in place by
 whichever task holds it, so a file of any size is written by many tasks at
-once. Offsets come from the chunk sizes alone; the bytes are never sorted.
+once. Offsets come from the chunk sizes alone, or are given; the bytes are
+never sorted.
 Stores that only accept whole objects get one ordered stream per file, through
 one task, in constant memory.
 
@@ -22,11 +23,13 @@ from pyspark.sql import functions as F
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.session import configure, staged
 from quayline.sources import filesystem
-from quayline.sources.binary import arrow_options, open_filesystem, read_binary
+from quayline.sources.binary import FILE_CHUNK, arrow_options, open_filesystem, read_binary
 
 SEGMENT_CHUNKS = 10_000
 # A list of this many file names, some ten megabytes, is copied to every executor; a longer one is not.
 BROADCAST_FILES = 50_000
+# Offsets are two numbers each: this many take some ten megabytes.
+BROADCAST_OFFSETS = 500_000
 OPEN_FILES = 128
 _DONE = "name string, chunks bigint, bytes bigint"
 
@@ -38,11 +41,14 @@ def write_binary(
     order: str = "chunk_no",
     layout: str | None = None,
     segment_chunks: int = SEGMENT_CHUNKS,
+    offset: str | None = None,
 ) -> dict[str, int]:
     """Replace folder ``path`` by the files the rows describe; NULL chunks are skipped.
 
     ``layout`` is ``'offset'`` (shared disk) or ``'stream'`` (whole objects);
-    by default the scheme of ``path`` decides. Returns chunk and byte totals.
+    by default the scheme of ``path`` decides. A column ``offset`` with each
+    chunk's byte position, where it is known, saves working it out: the write
+    then needs no shuffle and no staging. Returns chunk and byte totals.
     """
     spark = configure(df.sparkSession)
     for needed in (name, order, "binary_data"):
@@ -55,17 +61,22 @@ def write_binary(
         raise InvalidParameterError(f"cannot write single files to {target}")
     staging = f"{target}.staging-{uuid.uuid4().hex}"
     attempts = f"{staging}.attempts"
-    rows = df.select(
-        F.col(name).alias("name"), F.col(order).cast("bigint").alias("chunk_no"), F.col("binary_data")
-    ).where(F.col("binary_data").isNotNull())
+    present = df.where(F.col("binary_data").isNotNull())
+    rows = present.select(F.col(name).alias("name"), F.col(order).cast("bigint").alias("chunk_no"), "binary_data")
 
     filesystem.make_directory(spark, staging)
     try:
-        if layout == "offset":
+        if layout == "offset" and offset:
+            known = present.select(F.col(name).alias("name"), F.col(offset).alias("start"), "binary_data")
+            written = known.mapInArrow(_offset_writer(staging), _DONE)
+        elif layout == "offset":
             kept = rows.select(
                 F.monotonically_increasing_id().alias("row_id"), "*", F.octet_length("binary_data").alias("size")
             )
-            written = _place(staged(spark, kept, "chunks"), segment_chunks).mapInArrow(_offset_writer(staging), _DONE)
+            # Chunks rarely repeat: a dictionary of them would only cost memory.
+            chunks = staged(spark, kept, "chunks", **{"parquet.enable.dictionary": "false"})
+            placed = _place(chunks, segment_chunks, small=chunks.count() <= BROADCAST_OFFSETS)
+            written = placed.mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "stream":
             ordered = rows.repartition("name").sortWithinPartitions("name", "chunk_no")
             written = ordered.mapInArrow(_stream_writer(staging, attempts, options), _DONE)
@@ -87,32 +98,46 @@ def merge_files(
 ) -> dict[str, int]:
     """Join the files below ``folder``, in name order and after ``first``, into one file of ``path``.
 
-    The bytes move in chunks between many tasks; only file names are ranked in one place.
+    File lengths give every chunk's position, so the bytes move from many tasks
+    without a shuffle; only the list of file names is ordered in one place.
     """
     chunks = read_binary(spark, folder)
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     # Task and file numbers count as numbers: part-100000 comes after part-99999.
     numbers = [F.regexp_extract("path", p, 1).try_cast("int") for p in (r"part-(\d+)-", r"-c(\d+)\.")]
-    ranked = paths.select("path", F.row_number().over(W.orderBy(*numbers, "path")).alias("rank"))
-    if ranked.count() <= BROADCAST_FILES:
-        ranked = F.broadcast(ranked)
-    rows = chunks.join(ranked, "path").select(
+    by_name = W.orderBy(*numbers, "path")
+    placed = files.select(
+        "path",
+        F.row_number().over(by_name).alias("rank"),
+        (F.sum("length").over(by_name.rowsBetween(W.unboundedPreceding, 0)) - F.col("length")).alias("before"),
+    )
+    if placed.count() <= BROADCAST_FILES:
+        placed = F.broadcast(placed)
+    rows = chunks.join(placed, "path").select(
         F.lit(name).alias("name"),
         # Room for 2^31 chunks per file.
         (F.shiftleft(F.col("rank").cast("bigint"), 31) + F.col("chunk_no")).alias("chunk_no"),
+        (F.col("before") + F.col("chunk_no") * FILE_CHUNK + len(first)).alias("offset"),
         "binary_data",
     )
     if first:
-        head = spark.createDataFrame([(name, 0, bytearray(first))], rows.schema)
+        head = spark.range(1).select(
+            F.lit(name).alias("name"),
+            F.lit(0).cast("bigint").alias("chunk_no"),
+            F.lit(0).cast("bigint").alias("offset"),
+            F.lit(bytearray(first)).alias("binary_data"),
+        )
         rows = rows.unionByName(head)
-    return write_binary(rows, path, layout=layout)
+    return write_binary(rows, path, layout=layout, offset="offset")
 
 
-def _place(rows: DataFrame, segment_chunks: int) -> DataFrame:
+def _place(rows: DataFrame, segment_chunks: int, small: bool = False) -> DataFrame:
     """Add each chunk's byte offset in its file.
 
     Running sums go over segments of a bounded chunk range, then over the
-    segment totals: no group grows with the size of a file's content.
+    segment totals: no group grows with the size of a file's content. A
+    ``small`` list of offsets is sent to the bytes; otherwise both meet in a
+    shuffle.
     """
     sizes = rows.select(
         "row_id", "name", "chunk_no", "size", F.floor(F.col("chunk_no") / segment_chunks).alias("segment")
@@ -129,10 +154,11 @@ def _place(rows: DataFrame, segment_chunks: int) -> DataFrame:
     offsets = inside.join(starts, ["name", "segment"]).select(
         "row_id", (F.col("segment_start") + F.col("inside")).alias("start")
     )
-    # Hashing the small side leaves the bytes unsorted; row ids spread them evenly.
+    # Hashing the offsets leaves the bytes unsorted; row ids spread them evenly.
+    offsets = F.broadcast(offsets) if small else offsets.hint("shuffle_hash")
     return (
         rows.select("row_id", "name", "binary_data")
-        .join(offsets.hint("shuffle_hash"), "row_id")
+        .join(offsets, "row_id")
         .select("name", "start", "binary_data")
     )
 

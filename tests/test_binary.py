@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayline.errors import InvalidParameterError, MissingFieldError
-from quayline.sinks.binary import write_binary
+from quayline.sinks import binary
+from quayline.sinks.binary import merge_files, write_binary
 from quayline.sources.binary import CLIENT_CHUNK, arrow_options, open_filesystem, read_binary, s3_options
 from quayline.sources.warehouse import read_resource
 
@@ -77,6 +78,31 @@ def test_hot_file_and_many_segments(spark, tmp_path):
     assert (tmp_path / "out" / "hot").read_text() == want
 
 
+def test_long_offset_lists_are_shuffled(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(binary, "BROADCAST_OFFSETS", 1)
+    rows = named(read_binary(spark, folder, 1_000_000), folder)
+    write_binary(rows, str(tmp_path / "out"), segment_chunks=2)
+    assert (tmp_path / "out" / "big %20.bin").read_bytes() == BIG
+
+
+@pytest.mark.parametrize("layout", ["offset", "stream"])
+def test_given_offsets(spark, folder, tmp_path, layout):
+    rows = named(read_binary(spark, folder, 1_000_000), folder).withColumn("at", F.col("chunk_no") * 1_000_000)
+    write_binary(rows.repartition(5), str(tmp_path / "out"), layout=layout, offset="at")
+    assert (tmp_path / "out" / "big %20.bin").read_bytes() == BIG
+
+
+@pytest.mark.parametrize("layout", ["offset", "stream"])
+def test_merge_goes_by_task_number(spark, tmp_path, layout):
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    for task in (2, 99_999, 100_000):
+        (parts / f"part-{task:05d}-u-c000.csv").write_bytes(f"{task};".encode())
+    (parts / "part-00003-u-c000.csv").write_bytes(b"")
+    merge_files(spark, str(parts), str(tmp_path / "out"), "one", b"head;", layout=layout)
+    assert (tmp_path / "out" / "one").read_bytes() == b"head;2;99999;100000;"
+
+
 def test_failed_write_leaves_the_old_files(spark, tmp_path):
     target = tmp_path / "out"
     target.mkdir()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quayline.operators.paging import key_stats_frame, page_histogram
 from quayline.sinks.binary import _place
 from quayline.sinks.warehouse import create_table, write_partitions
+from quayline.sources.binary import read_binary
 from quayline.sources.charset import non_utf8_files
 from quayline.sources.csv import read_csv
 from quayline.sources.warehouse import read_table
@@ -67,3 +68,12 @@ def test_bytes_are_not_sorted_for_their_place(spark, tmp_path):
     text = plan(_place(spark.read.parquet(str(tmp_path / "r")), 100))
     assert "ShuffledHashJoin" in text
     assert not any("Sort" in line and "binary_data" in line for line in text.splitlines())
+    text = plan(_place(spark.read.parquet(str(tmp_path / "r")), 100, small=True))
+    assert "BroadcastHashJoin" in text
+    assert not any("Exchange" in line and "binary_data" in line for line in text.splitlines())
+
+
+def test_copy_of_bytes_needs_no_shuffle(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"x" * 100)
+    text = plan(read_binary(spark, str(tmp_path), 10))
+    assert "Exchange" not in text and "Python" not in text
