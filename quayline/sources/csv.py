@@ -123,12 +123,37 @@ def read_csv(
     scans = []
     for charset, files in groups.items():
         options = scan_options(fmt, charset, multiline, ragged)
-        scans.append(_scan(spark, files, options, as_columns(columns), select, fmt.field_map))
+        header = header_names(spark, files, options)
+        scans.append(_scan(spark.read, files, options, header, as_columns(columns), select, fmt.field_map))
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 
-def _scan(spark, files, options, declared, select, field_map) -> DataFrame:
-    header = header_names(spark, files, options)
+def stream_csv(
+    spark: SparkSession,
+    path: str,
+    columns,
+    header=None,
+    fmt: CsvFormat | None = None,
+    encoding: str = "UTF-8",
+    ragged: str = "fail",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Follow a folder of CSV files, with the types and checks of ``read_csv``.
+
+    ``header`` names the raw columns in file order; by default they are the
+    declared ones. Every file's own header line is checked against it.
+    """
+    configure(spark)
+    fmt, declared = fmt or CsvFormat(), as_columns(columns)
+    raw_of = {view: raw for raw, view in fmt.field_map.items()}
+    header = list(header or [raw_of.get(c.name, c.name) for c in declared])
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _scan(reader, path, scan_options(fmt, encoding, False, ragged), header, declared, None, fmt.field_map)
+
+
+def _scan(reader, files, options, header, declared, select, field_map) -> DataFrame:
     views = validate_field_map(header, field_map)
     raw_of = {view: raw for raw, view in views.items()}
     missing = [c.name for c in declared if c.name not in raw_of]
@@ -146,7 +171,7 @@ def _scan(spark, files, options, declared, select, field_map) -> DataFrame:
     schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in header])
     # One more than the header, so that a row that is too long is seen as such.
     wide = {"maxColumns": str(len(header) + 1)} if len(header) >= DEFAULT_MAX_COLUMNS else {}
-    df = spark.read.options(**options, **wide).schema(schema).csv(files)
+    df = reader.options(**options, **wide).schema(schema).csv(files)
     return df.select(*[_finish(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
 
 

@@ -42,8 +42,8 @@ class StreamCopy:
 
 def stream_copy(
     spark: SparkSession,
-    source: str,
-    schema: T.StructType,
+    source: str | DataFrame,
+    schema: T.StructType | None,
     target: str,
     source_format: str = "parquet",
     target_format: str = "parquet",
@@ -55,14 +55,19 @@ def stream_copy(
 ) -> StreamCopy:
     """Copy new files of ``source`` to ``target``, acknowledging every batch.
 
+    ``source`` is a folder, or a streaming DataFrame such as ``stream_csv`` gives.
     Each batch owns the folder ``batch_id=N`` and overwrites it, so a batch
     repeated after a crash does not duplicate rows. Without ``continuous``, a
     processing-time interval, the copy ends when it has caught up.
     """
     configure(spark)
-    reader = spark.readStream.format(source_format).schema(schema).options(**source_options)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if isinstance(source, DataFrame):
+        arriving = source
+    else:
+        reader = spark.readStream.format(source_format).schema(schema).options(**source_options)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        arriving = reader.load(source)
     copy = StreamCopy(None, target)
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
@@ -74,10 +79,8 @@ def stream_copy(
         if on_ack:
             on_ack(ack)
 
-    writer = (
-        reader.load(source)
-        .writeStream.foreachBatch(deliver)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
+    writer = arriving.writeStream.foreachBatch(deliver).option(
+        "checkpointLocation", checkpoint or scratch_path(spark, "stream")
     )
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     copy.query = writer.start()

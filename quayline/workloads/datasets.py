@@ -14,7 +14,9 @@ from quayline.plans import (
     write_dataset,
 )
 from quayline.refs import DatasetRef
+from quayline.sinks.csv import write_csv
 from quayline.sinks.orc import write_orc
+from quayline.sources.csv import stream_csv
 from quayline.sources.orc import read_columnar
 from quayline.streaming.transfer import acknowledged, stream_copy
 from quayline.workloads.registry import query
@@ -157,6 +159,15 @@ def stream_acks_events(t):
     return acks.agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).cast("int").alias("batches"))
 
 
+@query("SELECT o_orderkey, o_orderdate, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders")
+def stream_csv_orders(t):
+    source, target = t.path("arriving"), t.path("delivered")
+    orders = t["orders"].select("o_orderkey", "o_orderdate", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    write_csv(orders, source, max_records_per_file=200_000)
+    stream_copy(t.spark, stream_csv(t.spark, source, orders.schema), None, target).wait()
+    return t.spark.read.parquet(target).drop("batch_id")
+
+
 _EVERY_TYPE = {
     "tinyint": ("(event_id % 128)", "TINYINT"),
     "smallint": ("(event_id % 32768)", "SMALLINT"),

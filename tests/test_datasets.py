@@ -26,6 +26,7 @@ from quayline.plans.transfer import BINARY_SCHEMA, records_per_slice
 from quayline.refs import CsvFormat, DatasetRef, SourceRef
 from quayline.sinks.orc import write_orc
 from quayline.sinks.warehouse import create_table, write_partitions, write_table
+from quayline.sources.csv import stream_csv
 from quayline.sources.orc import read_columnar
 from quayline.sources.warehouse import partition_columns, read_table
 from quayline.streaming.transfer import acknowledged, stream_copy
@@ -263,6 +264,23 @@ def test_stream_resumes_without_repeating(spark, xyz, tmp_path):
     assert acknowledged(spark, target).agg(F.sum("row_count")).first()[0] == 20
 
 
+def test_stream_of_csv(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.csv").write_text("raw_id,extra,ok,day\n1,x,TRUE,0\n2,y,0,19000\n")
+    (source / "b.csv").write_text("raw_id,extra,ok,day\n3,z,,\n")
+    fmt = CsvFormat(field_map={"raw_id": "id"})
+    arriving = stream_csv(
+        spark, str(source), {"id": "uint8", "day": "date32", "ok": "bool"}, ["raw_id", "extra", "ok", "day"], fmt
+    )
+    stream_copy(spark, arriving, None, target).wait()
+    rows = spark.read.parquet(target).orderBy("id").collect()
+    assert [(r.id, str(r.day), r.ok) for r in rows] == [(1, "1970-01-01", True), (2, "2022-01-08", False), (3, "None", None)]
+    (source / "c.csv").write_text("extra,raw_id,ok,day\n4,z,,\n")
+    with pytest.raises(Exception):
+        stream_copy(spark, arriving, None, str(tmp_path / "other")).wait()
+
+
 def test_stream_can_be_cancelled(spark, xyz, tmp_path):
     xyz.write.parquet(str(tmp_path / "in"))
     running = stream_copy(spark, str(tmp_path / "in"), xyz.schema, str(tmp_path / "out"), continuous="1 second")
