@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from quayline.errors import InvalidParameterError, InvalidPartitionSpecError
 from quayline.functions.literal import quote_ident, quote_text
-from quayline.operators.columns import align_to_table, dropped_columns
+from quayline.operators.columns import align_to_table, column, dropped_columns
 from quayline.operators.filters import parse_partition_spec
 from quayline.session import configure
 from quayline.sinks.binary import write_binary
@@ -85,9 +85,17 @@ def write_table(
 
 
 def write_partitions(df: DataFrame, name: str) -> None:
-    """Overwrite the partitions that occur in ``df``, each taken from its own columns."""
+    """Overwrite the partitions that occur in ``df``, each taken from its own columns.
+
+    Rows are gathered by partition first, or every task would leave a small
+    file in every partition; adaptive execution splits the large partitions
+    among tasks and joins the small ones.
+    """
     spark = configure(df.sparkSession)
+    keys = partition_columns(spark, name)
     rows = align_to_table(df, spark.table(table_name(name)).schema)
+    if keys and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", *[column(k) for k in keys])
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     # insertInto takes the mode from the session only; the write is done when it returns.

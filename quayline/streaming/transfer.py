@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quayline.session import configure, scratch_path
+from quayline.sinks.csv import write_csv
 
 
 LATEST_ACKS = 1_000
@@ -73,7 +74,11 @@ def stream_copy(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").format(target_format).save(f"{target}/batch_id={batch_id}")
+        folder = f"{target}/batch_id={batch_id}"
+        if target_format == "csv":
+            write_csv(rows, folder)
+        else:
+            rows.write.mode("overwrite").format(target_format).save(folder)
         ack = Ack(batch_id, int(seen.get["rows"]))
         copy.acks.append(ack)
         if on_ack:
@@ -89,7 +94,7 @@ def stream_copy(
 
 def acknowledged(spark: SparkSession, target: str, target_format: str = "parquet") -> DataFrame:
     """``(batch_id, row_count)`` of what a transfer has delivered so far."""
-    rows = spark.read.format(target_format).load(target)
+    rows = spark.read.format(target_format).option("header", "true").load(target)
     return rows.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
         F.count(F.lit(1)).alias("row_count")
     )

@@ -281,6 +281,15 @@ def test_stream_of_csv(spark, tmp_path):
         stream_copy(spark, arriving, None, str(tmp_path / "other")).wait()
 
 
+@pytest.mark.parametrize("fmt", ["csv", "orc"])
+def test_stream_into_other_formats(spark, xyz, tmp_path, fmt):
+    xyz.write.parquet(str(tmp_path / "in"))
+    stream_copy(spark, str(tmp_path / "in"), xyz.schema, str(tmp_path / "out"), target_format=fmt).wait()
+    assert [tuple(r) for r in acknowledged(spark, str(tmp_path / "out"), fmt).collect()] == [(0, 10)]
+    ref = DatasetRef.of(SourceRef("localfs", path=str(tmp_path)), "out/batch_id=0", xyz.schema, file_format=fmt)
+    assert same(read_dataset(spark, ref), xyz)
+
+
 def test_stream_can_be_cancelled(spark, xyz, tmp_path):
     xyz.write.parquet(str(tmp_path / "in"))
     running = stream_copy(spark, str(tmp_path / "in"), xyz.schema, str(tmp_path / "out"), continuous="1 second")
