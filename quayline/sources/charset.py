@@ -10,6 +10,7 @@ all of them as a rule, are dropped by a filter and reach no aggregation.
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,11 @@ def non_utf8_files(spark: SparkSession, paths) -> DataFrame:
     return files.select("path", charset.alias("charset"))
 
 
+def _literal_path(uri: str) -> str:
+    """A file's URI as a path that a reader takes by the letter, not as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
 def paths_by_charset(spark: SparkSession, paths) -> dict[str, list[str]]:
     """Group a dataset's files for one read per charset.
 
@@ -68,5 +74,5 @@ def paths_by_charset(spark: SparkSession, paths) -> dict[str, list[str]]:
     listing = spark.read.format("binaryFile").load(roots).where(F.col("length") > 0)
     groups: dict[str, list[str]] = {}
     for (path,) in listing.select("_metadata.file_path").collect():
-        groups.setdefault(foreign.get(path, "UTF-8"), []).append(unquote(path))
+        groups.setdefault(foreign.get(path, "UTF-8"), []).append(_literal_path(path))
     return {charset: sorted(files) for charset, files in sorted(groups.items())}

@@ -67,7 +67,7 @@ def test_charset_is_decided_by_the_whole_file(spark, tmp_path):
 
 
 def test_mixed_charsets_and_an_empty_file(spark, tmp_path):
-    put(tmp_path, "a b.csv", "名,v\n汉,1\n", "gb18030")
+    put(tmp_path, "a [b] {c}%20.csv", "名,v\n汉,1\n", "gb18030")
     put(tmp_path, "u.csv", "名,v\né,2\n")
     put(tmp_path, "w.csv", "\ufeff名,v\n字,3\n", "utf-16-le")
     put(tmp_path, "empty.csv", "")
