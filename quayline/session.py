@@ -64,12 +64,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/quayline-{label}-{uuid.uuid4().hex}"
 
 
-def staged(spark: SparkSession, df, label: str, **options):
+def staged(spark: SparkSession, df, label: str, fmt: str = "parquet"):
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors and saves later jobs
-    from recomputing ``df``. ``options`` go to the Parquet writer.
+    from recomputing ``df``.
     """
     path = scratch_path(spark, label)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.format(fmt).save(path)
+    return spark.read.schema(df.schema).format(fmt).load(path)

@@ -73,8 +73,8 @@ def write_binary(
             kept = rows.select(
                 F.monotonically_increasing_id().alias("row_id"), "*", F.octet_length("binary_data").alias("size")
             )
-            # Chunks rarely repeat: a dictionary of them would only cost memory.
-            chunks = staged(spark, kept, "chunks", **{"parquet.enable.dictionary": "false"})
+            # ORC takes values of megabytes at about twice the speed of Parquet.
+            chunks = staged(spark, kept, "chunks", "orc")
             placed = _place(chunks, segment_chunks, small=chunks.count() <= BROADCAST_OFFSETS)
             written = placed.mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "stream":
