@@ -145,11 +145,12 @@ def copy_dataset(
 
     ``slice_bytes`` bounds the size of each file written, without a shuffle.
     """
-    if FileFormat(target.file_format) is FileFormat.BINARY and target.source.storage is not StorageKind.WAREHOUSE:
-        chunks = read_dataset(spark, source, content_type="raw")
-        if "binary_data" not in chunks.columns:
+    if FileFormat(target.file_format) is FileFormat.BINARY:
+        stored = resolve(source, "raw")
+        if stored.reader not in ("binary", "resource"):
             raise InvalidParameterError("only a file dataset can be copied to a binary target")
-        root = filesystem.qualified(spark, resolve(source, "raw").location)
+        chunks = read_dataset(spark, source, content_type="raw", chunk_bytes=FILE_CHUNK)
+        root = filesystem.qualified(spark, stored.location)
         if filesystem.is_directory(spark, root):
             name = F.substring("path", len(root.rstrip("/")) + 2, 2**31 - 1)
         else:

@@ -260,6 +260,8 @@ def resolve(ref: DatasetRef, content_type: str = "table") -> ReaderSpec:
     location = ref.source.uri(ref.relative_uri)
     if fmt is FileFormat.TABLE:
         raise InvalidParameterError("a file source holds csv, binary, orc or parquet datasets")
-    if fmt is FileFormat.BINARY or (fmt is FileFormat.CSV and content is not ContentType.TABLE):
+    # Raw content is the file as it lies there, whatever its format.
+    as_bytes = content is ContentType.RAW or (fmt is FileFormat.CSV and content is ContentType.CSV)
+    if fmt is FileFormat.BINARY or as_bytes:
         return ReaderSpec("binary", location, None)
     return ReaderSpec(fmt.value, location, ref.schema)

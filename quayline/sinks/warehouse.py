@@ -106,6 +106,8 @@ def write_partitions(df: DataFrame, name: str) -> None:
         spark.conf.set(mode, before)
 
 
-def write_resource(df: DataFrame, path: str, name: str = "name", order: str = "chunk_no") -> dict[str, int]:
+def write_resource(
+    df: DataFrame, path: str, name: str = "name", order: str = "chunk_no", offset: str | None = None
+) -> dict[str, int]:
     """Create or replace named blobs, each from all of its chunks."""
-    return write_binary(df, path, name, order)
+    return write_binary(df, path, name, order, offset=offset)

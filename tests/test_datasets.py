@@ -133,6 +133,29 @@ def test_slices(spark, xyz, source, tmp_path):
         assert len([f for f in os.listdir(tmp_path / fmt) if f.startswith("part")]) == 3
 
 
+def test_bytes_of_any_file_format_and_resources(spark, xyz, source, tmp_path):
+    stored = DatasetRef.of(source, "o", xyz.schema, file_format="orc")
+    write_dataset(xyz, stored)
+    raw = DatasetRef(source, "raw", "model", "binary")
+    copy_dataset(spark, stored, raw)
+    assert same(read_columnar(spark, str(tmp_path / "raw")), xyz)
+    resource = DatasetRef(SourceRef("warehouse", path=str(tmp_path)), "res", "model", "binary")
+    copy_dataset(spark, raw, resource)
+    assert same(read_columnar(spark, str(tmp_path / "res")), xyz)
+    back = DatasetRef(source, "back", "model", "binary")
+    copy_dataset(spark, resource, back)
+    assert same(read_columnar(spark, str(tmp_path / "back")), xyz)
+    with pytest.raises(InvalidParameterError):
+        copy_dataset(spark, DatasetRef(SourceRef("warehouse"), "t"), raw)
+
+
+def test_publish_slices(spark, xyz, source, name):
+    catalog = DatasetCatalog(spark)
+    ref = DatasetRef.of(source, "d", xyz.schema, file_format="orc", id=name)
+    publish_dataset(xyz.coalesce(1), ref, catalog, slice_bytes=24 * 5)
+    assert len(catalog.read(name).inputFiles()) == 2
+
+
 def test_csv_and_raw_content(spark, xyz, source):
     ref = DatasetRef.of(source, "d", xyz.schema)
     write_dataset(xyz, ref)

@@ -64,6 +64,7 @@ def test_options_reach_the_session(spark):
         (LOCAL, "csv", "table", "csv", "binary"),
         (LOCAL, "binary", "model", "table", "binary"),
         (LOCAL, "orc", "table", "table", "orc"),
+        (LOCAL, "orc", "table", "raw", "binary"),
         (MYSQL, "table", "table", "table", "jdbc"),
         (SourceRef("odps"), "csv", "table", "table", "warehouse"),
         (SourceRef("warehouse"), "binary", "model", "table", "resource"),
