@@ -11,13 +11,17 @@ def con():
     return database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# The corpus operators have tests of their own.
+NAMES = sorted(set(entry.queries()) - set(entry.LLM_QUERIES))
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name, entry.queries()[name], entry.oracle_sql().get(name)) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == set(entry.oracle_sql()) - set(entry.LLM_SQL)
 
 
 def test_entry(spark):
