@@ -28,9 +28,9 @@ DIMENSIONS = ["source", "lang", "topic"]
 # A cell takes about a hundred bytes: this many fit every executor; more are joined by shuffle.
 BROADCAST_CELLS = 200_000
 #: Language shares of the registered mixture; a language not named keeps its share of the tokens.
-LANGUAGE_SHARES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+LANGUAGE_SHARES = {"en": 0.6, "de": 0.14, "fr": 0.14, "es": 0.12}
 #: Exponent that tempers the shares of sources and topics.
-TEMPER = 0.7
+TEMPER = 0.9
 
 
 def n_tokens(text: Column) -> Column:
