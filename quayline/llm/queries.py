@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.llm import decontaminate, language, mixing, pages, quality, simhash, token_files, topk, url_filter
+from quayline.llm import decontaminate, language, mixing, pages, quality, repeats, simhash, token_files, topk, url_filter
 from quayline.llm.common import fold, table, utf8
 from quayline.session import scratch_path
 
@@ -74,6 +74,12 @@ def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
