@@ -15,7 +15,7 @@ range are also sent to the range beside it, to which they are neighbours.
 
 Null html is empty and gives empty text, null URLs form a host ``''`` of their
 own. Repeated rows are copies of one page: each is extracted, none is the
-other's partner. An empty table gives an empty result.
+other's partner; next to each other, they share the partner beside them. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -57,6 +57,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 COPY = 0.8
+# Small tables are not cut into ranges of fewer pages than this.
+RANGE_PAGES = 500
 ARTICLE, FRAMED, OPEN = "a", "f", "o"
 
 
@@ -183,7 +185,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by range, host, path and id; three of them are held at a time."""
+    """Rows come sorted by range, host, path and id; pages of equal text in a row count as one."""
 
     def result(rows):
         kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -191,15 +193,20 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     out, before, here = [], None, None
 
-    def emit(last, page, following):
-        if not page["ghost"]:
-            beside = [n for n in (last, following) if n is not None and n["range"] == page["range"]]
-            out.append({"page_id": page["page_id"], "url": page["url"], "text": main_text(page, beside)})
+    def emit(last, run, following):
+        if run["members"]:
+            beside = [n for n in (last, following) if n is not None and n["range"] == run["range"]]
+            text = main_text(run, beside)
+            out.extend({"page_id": i, "url": u, "text": text} for i, u in run["members"])
 
     for page in _pages(batches):
+        member = [] if page["ghost"] else [(page["page_id"], page["url"])]
+        if here is not None and all(here[c] == page[c] for c in ("range", "host", "lines")):
+            here["members"] += member
+            continue
         if here is not None:
             emit(before, here, page)
-        before, here = here, page
+        before, here = here, {**page, "members": member}
         if len(out) >= 500:
             yield result(out)
             out = []
@@ -226,7 +233,7 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
     rows = pages.select(
         F.col(page_id).cast("bigint").alias("page_id"), u.alias("url"), host(u).alias("host"), path(u).alias("path"), F.col(page).alias("html")
     )
-    n = tasks_for(spark)
+    n = max(1, min(tasks_for(spark), rows.count() // RANGE_PAGES))
     keys = rows.select("host", "path", "page_id").repartitionByRange(n, "host", "path", "page_id")
     # Two keys per range come to the driver: as many as there are partitions, however many pages.
     edges = keys.sortWithinPartitions("host", "path", "page_id").mapInPandas(_edges, keys.schema).collect()
