@@ -64,6 +64,8 @@ def choose_page_key(
         if not isinstance(types[declared], _PAGE_KEY_TYPES):
             raise InvalidParameterError(f"page key {declared!r} is not numeric")
         return declared
+    if primary_key and primary_key not in types:
+        raise InvalidParameterError(f"primary key {primary_key!r} does not exist")
     if primary_key and isinstance(types.get(primary_key), _PAGE_KEY_TYPES):
         return primary_key
     return None

@@ -25,8 +25,8 @@ from quayline.operators.columns import column
 PAGE_BYTES = 100 * 1024 * 1024
 SAMPLE_ROWS = 100
 
-# A page is a Spark task; beyond this many the pages get wider, never fewer rows.
-MAX_PAGES = 100_000
+# A page is a Spark task and a line of the plan: a step that asks for more of them is refused.
+MAX_PAGES = 10_000_000
 
 _EPOCH = dt.date(1970, 1, 1)
 
@@ -122,7 +122,7 @@ def _number(value):
     return value
 
 
-def plan_step(stats: KeyStats, page_bytes: int = PAGE_BYTES, max_pages: int = MAX_PAGES):
+def plan_step(stats: KeyStats, page_bytes: int = PAGE_BYTES):
     """Key distance per page: (max - min) / pages, whole for integer and date keys."""
     if stats.rows == 0 or stats.minimum is None:
         return None
@@ -130,7 +130,6 @@ def plan_step(stats: KeyStats, page_bytes: int = PAGE_BYTES, max_pages: int = MA
     if high == low:
         return 1
     pages = max(1, math.ceil(stats.row_bytes * stats.rows / page_bytes))
-    pages = min(pages, max_pages)
     span = high - low
     if isinstance(low, int) and isinstance(high, int):
         return max(1, -(-span // pages))
@@ -138,7 +137,10 @@ def plan_step(stats: KeyStats, page_bytes: int = PAGE_BYTES, max_pages: int = MA
 
 
 def plan_pages(stats: KeyStats, step=None, lower=None, upper=None, max_pages: int = MAX_PAGES) -> list[Page]:
-    """All pages of a table. The outer bounds are open unless given, so no row is missed."""
+    """All pages of a table, of exactly the step given.
+
+    The outer bounds are open unless given, so no row is missed.
+    """
     if stats.rows == 0:
         return []
     pages: list[Page] = []
@@ -159,8 +161,7 @@ def plan_pages(stats: KeyStats, step=None, lower=None, upper=None, max_pages: in
             while count and low + count * width <= high:
                 count += 1
         if count > max_pages:
-            factor = -(-count // max_pages)
-            width, count = width * factor, -(-count // factor)
+            raise InvalidParameterError(f"step {step} makes {count} pages; {max_pages} is the most")
 
         def bound(i):
             at = low + i * width

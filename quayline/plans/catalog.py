@@ -42,6 +42,8 @@ class DatasetCatalog:
         if file_format == "csv":
             csv = csv or CsvFormat()
             options = {**csv.dialect(), "header": str(csv.header).lower()}
+            if csv.encoding:
+                options["encoding"] = csv.encoding
         elif file_format == "binary":
             source = "binaryFile"
         schema = declared_schema(columns) if columns else None

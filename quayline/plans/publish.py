@@ -34,7 +34,7 @@ def publish_dataset(
     """
     check_upload(ref)
     if slice_bytes and ref.type == "table":
-        options["max_records_per_file"] = records_per_slice(df, slice_bytes)
+        options["max_records_per_file"] = records_per_slice(df, slice_bytes, ref)
     dataset_id = ref.id or f"dataset_{uuid.uuid4().hex}"
     version = f"{ref.relative_uri}/{uuid.uuid4().hex}"
     target = DatasetRef(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from quayline.errors import InvalidParameterError, SourceUnavailableError
 from quayline.operators.columns import project
 from quayline.operators.filters import text_filter
-from quayline.operators.paging import sampled_row_bytes
+from quayline.operators.paging import row_bytes
 from quayline.refs import FILE_KINDS, ContentType, DatasetRef, FileFormat, SourceRef, StorageKind, resolve
 from quayline.session import configure
 from quayline.sinks.binary import write_binary
@@ -52,17 +54,20 @@ def read_dataset(
 
     ``content_type`` asks for typed columns (``table``), the stored bytes
     (``raw``) or lines of CSV text (``csv``). ``limit`` takes that many rows as
-    a sample. ``options`` go to the reader.
+    a sample. ``columns``, ``where`` and ``limit`` hold for bytes too, over their
+    columns ``path``, ``chunk_no`` and ``binary_data``. ``options`` go to the reader.
     """
     configure(spark)
     content = ContentType(content_type)
     spec = resolve(ref, "table" if content is ContentType.CSV and ref.structured else content_type)
     if ref.source.storage in FILE_KINDS:
         ref.source.apply(spark)
-    if spec.reader == "binary":
-        return read_binary(spark, spec.location, **options)
-    if spec.reader == "resource":
-        return read_resource(spark, spec.location, **options)
+    if partition_spec and spec.reader != "warehouse":
+        raise InvalidParameterError("only warehouse tables have a partition spec")
+    if spec.reader in ("binary", "resource"):
+        read = read_binary if spec.reader == "binary" else read_resource
+        df = project(text_filter(read(spark, spec.location, **options), where), columns)
+        return df if limit is None else df.limit(limit)
     if spec.reader == "csv":
         # The filter may use columns outside the projection, so it comes first.
         df = read_csv(spark, spec.location, ref.columns, None if where else columns, ref.csv, **options)
@@ -107,12 +112,17 @@ def write_dataset(
 ) -> WriteResult:
     """Write a dataset, replacing what is there, and report the rows written.
 
-    ``raw`` content takes ``(name, chunk_no, binary_data)`` rows.
+    ``raw`` content takes ``(name, chunk_no, binary_data)`` rows. A frame that
+    reads from the place it would replace is refused.
     """
     spark = configure(df.sparkSession)
     spec = resolve(ref, content_type)
     if ref.source.storage in FILE_KINDS:
         ref.source.apply(spark)
+    if partition_spec and spec.reader != "warehouse":
+        raise InvalidParameterError("only warehouse tables have a partition spec")
+    if spec.reader in ("binary", "resource", "csv", "orc", "parquet"):
+        _refuse_own_input(df, spec.location)
     if spec.reader in ("binary", "resource"):
         write = write_binary if spec.reader == "binary" else write_resource
         return WriteResult(write(df, spec.location, **options)["chunks"], spec.location)
@@ -132,6 +142,20 @@ def write_dataset(
     return WriteResult(int(seen.get["rows"]), spec.location)
 
 
+def _refuse_own_input(df: DataFrame, location: str) -> None:
+    """Writing replaces the folder, so nothing below it may still have to be read."""
+    spark = df.sparkSession
+    root = filesystem.qualified(spark, location).rstrip("/")
+    # Both as Spark prints them; its file index holds these names on the driver for any scan.
+    roots = {_plain(root), _plain(quote(root, safe="/:"))}
+    if any(name == r or name.startswith(r + "/") for name in map(_plain, df.inputFiles()) for r in roots):
+        raise InvalidParameterError(f"{location} is read by the rows that would replace it")
+
+
+def _plain(uri: str) -> str:
+    return re.sub(r"^file:/+", "/", uri)
+
+
 def copy_dataset(
     spark: SparkSession,
     source: DatasetRef,
@@ -139,16 +163,21 @@ def copy_dataset(
     columns=None,
     partition_spec: str | None = None,
     slice_bytes: int | None = None,
+    target_partition_spec: str | None = None,
     **options,
 ) -> WriteResult:
     """Copy a dataset into another storage or format; bytes are copied as bytes.
 
-    ``slice_bytes`` bounds the size of each file written, without a shuffle.
+    ``partition_spec`` picks the rows of a source partition,
+    ``target_partition_spec`` names the partition to replace. ``slice_bytes``
+    bounds the size of each file written, without a shuffle.
     """
     if FileFormat(target.file_format) is FileFormat.BINARY:
         stored = resolve(source, "raw")
         if stored.reader not in ("binary", "resource"):
             raise InvalidParameterError("only a file dataset can be copied to a binary target")
+        if columns or partition_spec or target_partition_spec or slice_bytes:
+            raise InvalidParameterError("bytes are copied whole: no columns, partitions or slices")
         chunks = read_dataset(spark, source, content_type="raw", chunk_bytes=FILE_CHUNK)
         root = filesystem.qualified(spark, stored.location)
         if filesystem.is_directory(spark, root):
@@ -160,8 +189,8 @@ def copy_dataset(
         return write_dataset(named, target, "raw", offset="offset", **options)
     df = read_dataset(spark, source, columns, partition_spec=partition_spec)
     if slice_bytes:
-        options["max_records_per_file"] = records_per_slice(df, slice_bytes)
-    return write_dataset(df, target, **options)
+        options["max_records_per_file"] = records_per_slice(df, slice_bytes, target)
+    return write_dataset(df, target, partition_spec=target_partition_spec, **options)
 
 
 def acks_by_file(df: DataFrame) -> DataFrame:
@@ -191,6 +220,18 @@ def check_source(spark: SparkSession, source: SourceRef) -> bool:
     return True
 
 
-def records_per_slice(df: DataFrame, slice_bytes: int = UPLOAD_SLICE_BYTES) -> int:
-    """Rows that make up about ``slice_bytes``, from a sample of the row width."""
-    return max(1, int(slice_bytes / max(1.0, sampled_row_bytes(df))))
+def records_per_slice(df: DataFrame, slice_bytes: int = UPLOAD_SLICE_BYTES, target: DatasetRef | None = None) -> int:
+    """Rows that stay below ``slice_bytes`` together, from the widest of all rows.
+
+    A CSV target is measured by its lines, others by the values in memory, of
+    which columnar files take up less. One row is the least a slice can hold.
+    """
+    room = slice_bytes
+    if target is not None and FileFormat(target.file_format) is FileFormat.CSV:
+        width = F.octet_length("line") + 1
+        rows = render_csv(df, target.csv)
+        room -= sum(len(c.encode()) + 3 for c in df.columns)
+    else:
+        width, rows = row_bytes(df.schema), df
+    widest = rows.agg(F.max(width)).first()[0] or 1
+    return max(1, int(room // max(1, widest)))

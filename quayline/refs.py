@@ -70,13 +70,17 @@ def join_path(*parts: str | None) -> str:
 
 @dataclass(frozen=True)
 class CsvFormat:
-    """CSV dialect. Only the first character of each mark is used."""
+    """CSV dialect. Only the first character of each mark is used.
+
+    A declared ``encoding`` saves readers the pass that detects it.
+    """
 
     separator: str = ","
     quote: str = '"'
     escape: str = "\\"
     header: bool = True
     field_map: dict[str, str] = field(default_factory=dict)
+    encoding: str | None = None
 
     def dialect(self) -> dict[str, str]:
         marks = {"sep": self.separator, "quote": self.quote, "escape": self.escape}

@@ -25,7 +25,6 @@ from quayline.session import configure, staged
 from quayline.sources import filesystem
 from quayline.sources.binary import FILE_CHUNK, arrow_options, open_filesystem, read_binary
 
-SEGMENT_CHUNKS = 10_000
 # A list of this many file names, some ten megabytes, is copied to every executor; a longer one is not.
 BROADCAST_FILES = 50_000
 # Offsets are two numbers each: this many take some ten megabytes.
@@ -40,7 +39,6 @@ def write_binary(
     name: str = "name",
     order: str = "chunk_no",
     layout: str | None = None,
-    segment_chunks: int = SEGMENT_CHUNKS,
     offset: str | None = None,
 ) -> dict[str, int]:
     """Replace folder ``path`` by the files the rows describe; NULL chunks are skipped.
@@ -62,12 +60,13 @@ def write_binary(
     staging = f"{target}.staging-{uuid.uuid4().hex}"
     attempts = f"{staging}.attempts"
     present = df.where(F.col("binary_data").isNotNull())
-    rows = present.select(F.col(name).alias("name"), F.col(order).cast("bigint").alias("chunk_no"), "binary_data")
+    name = _inside(F.col(name))
+    rows = present.select(name.alias("name"), F.col(order).cast("bigint").alias("chunk_no"), "binary_data")
 
     filesystem.make_directory(spark, staging)
     try:
         if layout == "offset" and offset:
-            known = present.select(F.col(name).alias("name"), F.col(offset).alias("start"), "binary_data")
+            known = present.select(name.alias("name"), F.col(offset).alias("start"), "binary_data")
             written = known.mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "offset":
             kept = rows.select(
@@ -75,7 +74,7 @@ def write_binary(
             )
             # ORC takes values of megabytes at about twice the speed of Parquet.
             chunks = staged(spark, kept, "chunks", "orc")
-            placed = _place(chunks, segment_chunks, small=chunks.count() <= BROADCAST_OFFSETS)
+            placed = _place(chunks, small=chunks.count() <= BROADCAST_OFFSETS)
             written = placed.mapInArrow(_offset_writer(staging), _DONE)
         elif layout == "stream":
             ordered = rows.repartition("name").sortWithinPartitions("name", "chunk_no")
@@ -83,8 +82,8 @@ def write_binary(
         else:
             raise InvalidParameterError(f"layout must be 'offset' or 'stream', not {layout!r}")
         totals = written.agg(F.sum("chunks").alias("chunks"), F.sum("bytes").alias("bytes")).first()
-        filesystem.delete(spark, target)
-        filesystem.move(spark, staging, target)
+        _check_stored(spark, staging, totals["bytes"] or 0)
+        filesystem.swap(spark, staging, target)
     except BaseException:
         filesystem.delete(spark, staging)
         raise
@@ -131,17 +130,38 @@ def merge_files(
     return write_binary(rows, path, layout=layout, offset="offset")
 
 
-def _place(rows: DataFrame, segment_chunks: int, small: bool = False) -> DataFrame:
+def _inside(name):
+    """A file name, refused where it is absolute or would leave the target folder."""
+    leaves = name.isNull() | (name == "") | name.startswith("/") | name.rlike(r"(^|/)\.\.(/|$)")
+    message = F.concat(F.lit("file name leaves the target folder: "), F.coalesce(name, F.lit("NULL")))
+    return F.when(leaves, F.raise_error(message).cast("string")).otherwise(name)
+
+
+def _check_stored(spark: SparkSession, folder: str, expected: int) -> None:
+    """Refuse to publish a folder that holds fewer bytes than its tasks have written.
+
+    That is so where executors took a disk of their own for a shared one.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    stored = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if stored < expected:
+        raise OSError(f"{folder} holds {stored} of {expected} bytes written: not a disk that all executors share")
+
+
+def _place(rows: DataFrame, small: bool = False) -> DataFrame:
     """Add each chunk's byte offset in its file.
 
-    Running sums go over segments of a bounded chunk range, then over the
-    segment totals: no group grows with the size of a file's content. A
-    ``small`` list of offsets is sent to the bytes; otherwise both meet in a
-    shuffle.
+    Sizes are dealt into even ranges of (name, order), whatever the names and
+    order numbers are; running sums go over the ranges, then over their totals,
+    one for each range a file has a part in. A ``small`` list of offsets is sent
+    to the bytes; otherwise both meet in a shuffle.
     """
-    sizes = rows.select(
-        "row_id", "name", "chunk_no", "size", F.floor(F.col("chunk_no") / segment_chunks).alias("segment")
-    )
+    spark = rows.sparkSession
+    sizes = rows.select("row_id", "name", "chunk_no", "size")
+    ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sizes = sizes.repartitionByRange(ranges, "name", "chunk_no", "row_id")
+    # Written once: the range a chunk falls into comes from a sample.
+    sizes = staged(spark, sizes.withColumn("segment", F.spark_partition_id()), "sizes")
     totals = sizes.groupBy("name", "segment").agg(F.sum("size").alias("total"))
     earlier = W.partitionBy("name").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(

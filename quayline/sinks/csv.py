@@ -70,6 +70,7 @@ def write_csv(
     would need quotes instead of quoting them.
     """
     fmt = fmt or CsvFormat()
+    encoding = encoding or fmt.encoding
     if fmt.field_map:
         raw_of = {view: raw for raw, view in fmt.field_map.items()}
         df = df.select(*[column(c).alias(raw_of.get(c, c)) for c in df.columns])

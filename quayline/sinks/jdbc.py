@@ -14,7 +14,7 @@ from quayline.functions.literal import quote_ident
 from quayline.operators.columns import column
 from quayline.refs import SourceRef, TableFormat
 from quayline.session import configure
-from quayline.sources.jdbc import MAX_CONNECTIONS, connection_options
+from quayline.sources.jdbc import connection_options
 from quayline.types import mysql_type
 
 # Key prefix length of text columns in an index, and table options.
@@ -93,6 +93,10 @@ def run_statements(spark: SparkSession, source: SourceRef, statements: list[str]
         connection.close()
 
 
+# One database serves every executor.
+MAX_CONNECTIONS = 100
+
+
 def write_jdbc(
     df: DataFrame,
     source: SourceRef,

@@ -8,6 +8,8 @@ huge file neither has to fit in memory nor ties up a single task.
 from __future__ import annotations
 
 import math
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,6 @@ CLIENT_CHUNK = 128 * 1024
 
 INLINE_BYTES = 64 * 1024 * 1024
 RANGE_BYTES = 64 * 1024 * 1024
-MAX_RANGE_TASKS = 100_000
 
 # Schemes Arrow can open.
 _ARROW_SCHEMES = ("file", "s3", "s3a", "s3n", "hdfs", "viewfs", "gs", "gcs", "abfs", "abfss")
@@ -37,7 +38,7 @@ def read_binary(
     inline_bytes: int = INLINE_BYTES,
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
-    """Every file below ``path`` as chunks of at most ``chunk_bytes``."""
+    """Every file below ``path`` as chunks of at most ``chunk_bytes``; an empty file is one empty chunk."""
     configure(spark)
     if chunk_bytes <= 0:
         raise InvalidParameterError(f"chunk size must be positive, not {chunk_bytes}")
@@ -48,9 +49,11 @@ def read_binary(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Listing only: without the content column no file is opened.
     large = files.where(F.col("length") > inline_bytes).select("path", "length")
-    total = None if options is None else large.agg(F.sum("length")).first()[0]
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("length") > inline_bytes, F.col("length"))).alias("bytes"))
+    found = found.first()
+    total = None if options is None else found["bytes"]
 
-    small = files.where((F.col("length") > 0) & ((F.col("length") <= inline_bytes) | F.lit(options is None)))
+    small = files.where((F.col("length") <= inline_bytes) | F.lit(options is None))
     chunk_count = F.ceil(F.col("length") / chunk_bytes).cast("bigint")
     chunks = small.select(
         "path", "content", F.explode(F.sequence(F.lit(0).cast("bigint"), chunk_count - 1)).alias("chunk_no")
@@ -61,9 +64,24 @@ def read_binary(
             "binary_data"
         ),
     )
-    if not total:
-        return chunks
-    return chunks.unionByName(_read_ranges(large, total, chunk_bytes, range_bytes, options))
+    if total:
+        chunks = chunks.unionByName(_read_ranges(large, total, chunk_bytes, range_bytes, options))
+    names = files.inputFiles()
+    if len(names) > found["n"]:
+        chunks = chunks.unionByName(_empty_files(files, names))
+    return chunks
+
+
+def _empty_files(files: DataFrame, names: list[str]) -> DataFrame:
+    """One empty chunk for each file that the index lists but no scan delivers.
+
+    Spark leaves files without a byte out of its scans. The index holds their
+    names on the driver as it does those of all files.
+    """
+    paths = [(re.sub(r"^file:/+", "file:/", unquote(n)),) for n in names]
+    listed = files.sparkSession.createDataFrame(paths, "path string")
+    empty = listed.join(files.select("path"), "path", "left_anti")
+    return empty.select("path", F.lit(0).cast("bigint").alias("chunk_no"), F.lit(b"").alias("binary_data"))
 
 
 def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: int, options: dict) -> DataFrame:
@@ -73,7 +91,7 @@ def _read_ranges(large: DataFrame, total: int, chunk_bytes: int, range_bytes: in
     ranges = large.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("range_no"))
     # The rows are a few bytes each but stand for megabytes: fix the task count.
     cores = large.sparkSession.sparkContext.defaultParallelism
-    tasks = min(MAX_RANGE_TASKS, max(cores, math.ceil(total / max(span, RANGE_BYTES))))
+    tasks = max(cores, math.ceil(total / max(span, RANGE_BYTES)))
     return ranges.repartition(tasks, "path", "range_no").mapInArrow(
         _range_reader(chunk_bytes, per_range, options), CHUNK_SCHEMA
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column as SparkColumn
@@ -31,6 +32,9 @@ from quayline.types import NESTED, SIGNED_BITS, UNSIGNED_BITS, Column, as_column
 # Fixed value: fields per row Spark's CSV parser makes room for by default.
 DEFAULT_MAX_COLUMNS = 20_480
 
+# Column of the scan that holds a record as text where it does not fit the schema.
+_RECORD = "__record"
+
 # Declared types Spark's CSV parser reads strictly by itself, and the type it is
 # asked for; the rest are scanned as text and converted by an expression.
 _NATIVE = {
@@ -49,23 +53,24 @@ def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) ->
         **fmt.dialect(),
         "header": str(fmt.header).lower(),
         "encoding": encoding,
-        "mode": "FAILFAST" if ragged == "fail" else "PERMISSIVE",
+        # Malformed records are kept aside as text, so that the error can name column, value and type.
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _RECORD,
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         # Line splitting works on bytes, so it is unsafe for two- and four-byte charsets.
         "multiLine": str(multiline or wide).lower(),
         # With a given schema, check every file's own header against it.
         "enforceSchema": "false",
-    }
-    if ragged == "fail":
         # Pruned parsing looks only at the wanted fields and misses a short or long row.
-        options["columnPruning"] = "false"
+        "columnPruning": "false",
+    }
     return options
 
 
 def header_names(spark: SparkSession, paths, options: dict[str, str]) -> list[str]:
     """Column names from the header line, or positions where there is none."""
-    names = spark.read.options(**{**options, "mode": "PERMISSIVE", "maxColumns": "1000000"}).csv(paths).columns
+    names = spark.read.options(**{**options, "maxColumns": "1000000"}).csv(paths).columns
     if not names:
         raise HeaderMissingError(f"no CSV header line in {paths}")
     return names
@@ -111,20 +116,21 @@ def read_csv(
 
     ``columns`` declares view names and types and also selects: only declared
     columns are returned. Without it every header column is nullable text.
-    ``select`` narrows and orders the result. ``encoding=None`` looks at the
-    bytes. ``multiline`` lets a quoted field hold line breaks; a file is then
+    ``select`` narrows and orders the result. Without ``encoding``, here or
+    in the format, the bytes are looked at in a pass of their own. ``multiline`` lets a quoted field hold line breaks; a file is then
     read by one task, so keep such files moderate in size.
     """
     configure(spark)
     fmt = fmt or CsvFormat()
     roots = [paths] if isinstance(paths, str) else list(paths)
+    encoding = encoding or fmt.encoding
     groups = {encoding: roots} if encoding else paths_by_charset(spark, roots)
 
     scans = []
     for charset, files in groups.items():
         options = scan_options(fmt, charset, multiline, ragged)
         header = header_names(spark, files, options)
-        scans.append(_scan(spark.read, files, options, header, as_columns(columns), select, fmt.field_map))
+        scans.append(_scan(spark.read, files, options, header, as_columns(columns), select, fmt, ragged))
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 
@@ -150,11 +156,11 @@ def stream_csv(
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _scan(reader, path, scan_options(fmt, encoding, False, ragged), header, declared, None, fmt.field_map)
+    return _scan(reader, path, scan_options(fmt, encoding, False, ragged), header, declared, None, fmt, ragged)
 
 
-def _scan(reader, files, options, header, declared, select, field_map) -> DataFrame:
-    views = validate_field_map(header, field_map)
+def _scan(reader, files, options, header, declared, select, fmt, ragged) -> DataFrame:
+    views = validate_field_map(header, fmt.field_map)
     raw_of = {view: raw for raw, view in views.items()}
     missing = [c.name for c in declared if c.name not in raw_of]
     if missing:
@@ -167,12 +173,42 @@ def _scan(reader, files, options, header, declared, select, field_map) -> DataFr
             raise MissingFieldError(f"no such column: {', '.join(unknown)}")
         wanted = [by_name[s] for s in select]
 
-    native = {raw_of[c.name]: _NATIVE[c.type] for c in wanted if c.type in _NATIVE}
-    schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in header])
+    # Padded rows are malformed records to the parser, which then gives no numbers: all are converted here.
+    native = {raw_of[c.name]: _NATIVE[c.type] for c in wanted if c.type in _NATIVE and ragged == "fail"}
+    schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in [*header, _RECORD]])
     # One more than the header, so that a row that is too long is seen as such.
     wide = {"maxColumns": str(len(header) + 1)} if len(header) >= DEFAULT_MAX_COLUMNS else {}
     df = reader.options(**options, **wide).schema(schema).csv(files)
-    return df.select(*[_finish(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
+    record, first = column(_RECORD), column(raw_of[wanted[0].name]).cast("string")
+    if ragged == "fail":
+        fields = ", ".join(f"c{i} string" for i in range(len(header)))
+        text = F.from_csv(record, fields, fmt.dialect())
+        checks = [_complaint(text[f"c{header.index(raw_of[c.name])}"], c) for c in wanted if c.type in _NATIVE]
+        message = F.coalesce(*checks, F.concat(F.lit(f"row does not have {len(header)} fields: "), record))
+        malformed = record.isNotNull()
+    else:
+        message = F.concat(F.lit(f"row has more than {len(header)} fields: "), record)
+        malformed = _separators(record, fmt) >= len(header)
+    # A column of the file has to be part of the condition: Spark refuses to look at the record alone.
+    message = F.concat(message, F.lit(f" ({wanted[0].name} "), F.coalesce(first, F.lit("NULL")), F.lit(")"))
+    df = df.where(~F.coalesce(malformed, F.lit(False)) | F.raise_error(message).cast("boolean"))
+    pick = _finish if ragged == "fail" else convert
+    return df.select(*[pick(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
+
+
+def _complaint(text: SparkColumn, declared: Column) -> SparkColumn:
+    """What is wrong with a field, NULL if nothing is."""
+    failed = (text != "") & convert(text, declared, "null").isNull()
+    named = F.concat(F.lit(f"column {declared.name}: value '"), text, F.lit(f"' is not {declared.type}"))
+    return F.when(failed, named)
+
+
+def _separators(record: SparkColumn, fmt: CsvFormat) -> SparkColumn:
+    """Separators of a record outside of quotes."""
+    marks = fmt.dialect()
+    quote, escape, sep = (re.escape(marks[k]) for k in ("quote", "escape", "sep"))
+    bare = F.regexp_replace(record, rf"(?s){quote}(?:{escape}.|{quote}{quote}|[^{quote}{escape}])*{quote}", "")
+    return F.length(bare) - F.length(F.regexp_replace(bare, sep, ""))
 
 
 def _finish(scanned: SparkColumn, declared: Column) -> SparkColumn:
@@ -207,9 +243,12 @@ def infer_csv_schema(
     """Header names as nullable text columns, renamed by the field map."""
     configure(spark)
     fmt = fmt or CsvFormat()
-    if encoding is None:
-        encoding, paths = next(iter(paths_by_charset(spark, paths).items()))
-    names = header_names(spark, paths, scan_options(fmt, encoding, False, "pad"))
+    encoding = encoding or fmt.encoding
+    groups = {encoding: paths} if encoding else paths_by_charset(spark, paths)
+    found = [header_names(spark, files, scan_options(fmt, e, False, "pad")) for e, files in groups.items()]
+    names = found[0]
+    if any(sorted(other) != sorted(names) for other in found):
+        raise MissingFieldError(f"files of different charsets have different headers: {found}")
     return T.StructType(
         [T.StructField(v, T.StringType(), True) for v in validate_field_map(names, fmt.field_map).values()]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -44,3 +46,24 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme and authority."""
     fs, p = _fs_and_path(spark, path)
     return fs.makeQualified(p).toString()
+
+
+def swap(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``; the old one is deleted last, and comes back on failure."""
+    if not exists(spark, target):
+        move(spark, source, target)
+        return
+    aside = f"{target}.old-{uuid.uuid4().hex}"
+    move(spark, target, aside)
+    try:
+        move(spark, source, target)
+    except BaseException:
+        move(spark, aside, target)
+        raise
+    delete(spark, aside)
+
+
+def inside(spark: SparkSession, path: str, folder: str) -> bool:
+    """Whether a path is the folder or lies below it."""
+    path, folder = qualified(spark, path).rstrip("/"), qualified(spark, folder).rstrip("/")
+    return path == folder or path.startswith(folder + "/")

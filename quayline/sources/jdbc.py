@@ -40,9 +40,6 @@ MYSQL_DRIVER = "com.mysql.cj.jdbc.Driver"
 PING_QUERY = "SELECT 1 FROM DUAL"
 FETCH_ROWS = 10_000
 
-# One database serves every executor: pages beyond this share connections.
-MAX_CONNECTIONS = 100
-
 
 @dataclass(frozen=True)
 class JdbcScan:
@@ -91,6 +88,11 @@ def stats_sql(table: str, key: str) -> str:
     )
 
 
+def sample_sql(table: str, rows: int = SAMPLE_ROWS) -> str:
+    """A few rows of a table; Spark does not send its own limit to the database."""
+    return f"SELECT * FROM {table} LIMIT {int(rows)}"
+
+
 def histogram_sql(table: str, key: str, pages: list[Page]) -> str:
     """Rows per equal-width page, numbered from the first; open ends fall outside 0..n-1."""
     lower, step = page_grid(pages)
@@ -113,9 +115,9 @@ def rows_per_page(counts, pages: list[Page], null_keys: int) -> list[int]:
 
 
 def measure(spark: SparkSession, options: dict[str, str], table: str, key: str) -> KeyStats:
-    """Key statistics by aggregate, row width from a 100-row sample."""
+    """Key statistics by aggregate, row width from a sample that the database itself limits."""
     r = query(spark, options, stats_sql(table, key)).first()
-    width = sampled_row_bytes(load(spark, JdbcScan(options, table)), SAMPLE_ROWS)
+    width = sampled_row_bytes(query(spark, options, sample_sql(table)), SAMPLE_ROWS)
     return KeyStats(r["min_key"], r["max_key"], int(r["row_count"]), int(r["null_keys"]), width)
 
 
@@ -147,12 +149,13 @@ def read_jdbc(
     max_page_rows: int | None = None,
     extra_options: dict[str, str] | None = None,
     splits: int | None = None,
-    max_connections: int = MAX_CONNECTIONS,
+    max_connections: int | None = None,
     decimals: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Scan a table. Column pruning and ``where`` are pushed into the database.
 
-    ``pages`` or a numeric ``primary_key`` makes the scan parallel. Pages with
+    ``pages`` or a numeric ``primary_key`` makes the scan parallel; without
+    either, the database is asked for the table's primary key. Pages with
     more than ``max_page_rows`` rows, a repeated key say, are cut further by a
     hash of ``split_by``. ``columns``, ``where`` and the page key use view names
     of ``field_map``; predicates, ``split_by`` and ``decimals``, wanted precisions
@@ -164,6 +167,8 @@ def read_jdbc(
         options["customSchema"] = custom_schema
     name = quote_ident(table)
     predicates = list(pages.predicates) if pages else []
+    if not pages and not primary_key:
+        primary_key = primary_key_of(index_profile(query(spark, options, index_sql(source.database, table))))
     if not predicates and (pages or primary_key):
         schema = load(spark, JdbcScan(options, name)).schema
         raw_of = {view: raw for raw, view in (field_map or {}).items()}
@@ -176,8 +181,8 @@ def read_jdbc(
                 planned = _split(spark, options, name, key, planned, stats, split_by, max_page_rows)
             predicates = [page_predicate(p, key) for p in planned]
     rows = load(spark, JdbcScan(options, name, predicates))
-    if len(predicates) > max_connections:
-        # Narrow: a task reads its pages one after the other.
+    if max_connections and len(predicates) > max_connections:
+        # Narrow: a task reads its pages one after the other, and what follows has as many tasks.
         rows = rows.coalesce(max_connections)
     df = rename(as_read(rows, decimals), field_map)
     return project(text_filter(df, where), columns)
@@ -237,6 +242,7 @@ def with_origin(schema: T.StructType, database: str | None, table: str) -> T.Str
                 f.name,
                 f.dataType,
                 f.nullable,
+                # Names of the metadata entries.
                 {
                     **f.metadata,
                     "SQL_CATALOG_NAME": database or "",

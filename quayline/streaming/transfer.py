@@ -15,6 +15,7 @@ from quayline.sinks.csv import write_csv
 
 
 LATEST_ACKS = 1_000
+_ACKS = "batch_id bigint, row_count bigint"
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Ack:
 
 @dataclass
 class StreamCopy:
-    """A running or finished transfer. ``acks`` are the latest; ``acknowledged`` finds all."""
+    """A running or finished transfer. ``acks`` are the latest; ``acknowledged`` reads all."""
 
     query: StreamingQuery | None
     target: str
@@ -58,7 +59,8 @@ def stream_copy(
 
     ``source`` is a folder, or a streaming DataFrame such as ``stream_csv`` gives.
     Each batch owns the folder ``batch_id=N`` and overwrites it, so a batch
-    repeated after a crash does not duplicate rows. Without ``continuous``, a
+    repeated after a crash does not duplicate rows; its acknowledgement is a row
+    of the table that ``acknowledged`` reads. Without ``continuous``, a
     processing-time interval, the copy ends when it has caught up.
     """
     configure(spark)
@@ -80,6 +82,8 @@ def stream_copy(
         else:
             rows.write.mode("overwrite").format(target_format).save(folder)
         ack = Ack(batch_id, int(seen.get["rows"]))
+        record = batch.sparkSession.createDataFrame([(ack.batch_id, ack.row_count)], _ACKS)
+        record.write.mode("overwrite").parquet(f"{ack_table(target)}/batch={batch_id}")
         copy.acks.append(ack)
         if on_ack:
             on_ack(ack)
@@ -92,9 +96,11 @@ def stream_copy(
     return copy
 
 
-def acknowledged(spark: SparkSession, target: str, target_format: str = "parquet") -> DataFrame:
-    """``(batch_id, row_count)`` of what a transfer has delivered so far."""
-    rows = spark.read.format(target_format).option("header", "true").load(target)
-    return rows.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
+def ack_table(target: str) -> str:
+    """The folder beside the target that holds every acknowledgement."""
+    return f"{target.rstrip('/')}.acks"
+
+
+def acknowledged(spark: SparkSession, target: str) -> DataFrame:
+    """``(batch_id, row_count)`` of every batch a transfer has acknowledged, this run's and earlier ones."""
+    return spark.read.schema(_ACKS).parquet(ack_table(target)).select("batch_id", "row_count")

@@ -6,8 +6,10 @@ from quayline.plans import copy_dataset, read_dataset, write_dataset
 from quayline.refs import DatasetRef
 from quayline.sinks.binary import write_binary
 from quayline.sinks.csv import write_csv
-from quayline.sources.binary import read_binary
+from quayline.sinks.warehouse import write_resource
+from quayline.sources.binary import CLIENT_CHUNK, read_binary
 from quayline.sources.csv import read_csv
+from quayline.sources.jdbc import index_profile
 from quayline.sources.warehouse import read_resource
 from quayline.workloads.registry import query
 
@@ -112,17 +114,113 @@ def raw_csv_copy_orders(t):
     return read_csv(t.spark, t.source().uri(copied.relative_uri), t["orders"].schema)
 
 
-@query(
-    """SELECT sum(strlen(CAST(p_partkey AS VARCHAR)) + 1 + strlen(p_name) + 1 + strlen(p_brand) + 1)::BIGINT AS n_bytes
-       FROM part"""
-)
+@query("SELECT concat_ws(',', p_partkey, p_name, p_brand) AS line FROM part")
 def raw_csv_bytes_part(t):
     path = t.path("part")
     rows = t["part"].select("p_partkey", "p_name", "p_brand")
     ref = DatasetRef.of(t.source(), path.rsplit("/", 1)[1])
     write_csv(rows, path)
-    raw = read_dataset(t.spark, ref, content_type="raw")
-    header = len(",".join(rows.columns)) + 1
-    return raw.agg(
-        (F.sum(F.octet_length("binary_data")) - F.count_distinct("path") * header).alias("n_bytes")
+    raw = read_dataset(t.spark, ref, content_type="raw", chunk_bytes=65536)
+    return _lines(raw, ",".join(rows.columns))
+
+
+def _lines(raw, header):
+    """Lines of chunked text files without their headers; chunks end anywhere, also in a line."""
+    chunks = F.sort_array(F.collect_list(F.struct("chunk_no", F.col("binary_data").alias("data"))))
+    whole = raw.groupBy("path").agg(F.aggregate(chunks, F.lit(b""), lambda acc, c: F.concat(acc, c["data"])).alias("data"))
+    lines = whole.select(F.explode(F.split(F.decode("data", "UTF-8"), "\n")).alias("line"))
+    return lines.where((F.col("line") != "") & (F.col("line") != header))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 0 ELSE strlen(html) END AS n_bytes, CASE WHEN page_id % 3 = 0 THEN md5('') ELSE md5(html) END AS digest FROM pages")
+def binary_copy_empty_pages(t):
+    # Every third page is a file without a byte; it has to arrive as one.
+    html = F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(F.col("html"))
+    name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
+    blobs = t["pages"].select(name.alias("name"), F.lit(0).alias("chunk_no"), F.encode(html, "UTF-8").alias("binary_data"))
+    stored = DatasetRef.of(t.source(), t.relative("pages"), type="model", file_format="binary")
+    write_dataset(blobs, stored, "raw")
+    copied = DatasetRef.of(t.source(), t.relative("copied"), type="model", file_format="binary")
+    copy_dataset(t.spark, stored, copied)
+    rows = read_dataset(t.spark, copied)
+    return rows.select(
+        F.regexp_replace(_base_name(), r"\.html$", "").cast("bigint").alias("page_id"),
+        F.octet_length("binary_data").cast("bigint").alias("n_bytes"),
+        F.md5("binary_data").alias("digest"),
+    )
+
+
+_SOURCE_CHUNKS = """WITH blobs AS (SELECT source, encode(string_agg(text, '' ORDER BY {order})) AS b FROM documents GROUP BY source)
+       SELECT source, c AS chunk_no, octet_length(b[c * {n} + 1 : (c + 1) * {n}])::INTEGER AS n_bytes,
+              md5(b[c * {n} + 1 : (c + 1) * {n}]) AS digest
+       FROM blobs, LATERAL (
+           SELECT unnest(generate_series(0, ((octet_length(blobs.b) + {n} - 1) // {n}) - 1)) AS c) AS s"""
+
+
+def _source_chunks(rows):
+    return rows.select(
+        _base_name().alias("source"),
+        "chunk_no",
+        F.octet_length("binary_data").alias("n_bytes"),
+        F.md5("binary_data").alias("digest"),
+    )
+
+
+def _sources(t, order):
+    return t["documents"].select(
+        F.col("source").alias("name"), order.alias("chunk_no"), F.encode("text", "UTF-8").alias("binary_data")
+    )
+
+
+@query(_SOURCE_CHUNKS.format(n=65536, order="(doc_id * 2654435761) % 4294967296, doc_id"))
+def binary_concat_hashed_documents(t):
+    # Order numbers as sparse as hashes; the multiplier is odd, so they are distinct for ids below 2^32.
+    path = t.path("sources")
+    write_binary(_sources(t, (F.col("doc_id") * 2654435761) % 4294967296), path)
+    return _source_chunks(read_binary(t.spark, path, chunk_bytes=65536))
+
+
+@query("SELECT source, sum(strlen(text))::BIGINT AS n_bytes FROM documents GROUP BY source")
+def binary_concat_equal_order_documents(t):
+    # Equal order numbers leave the order open, but every byte has its place.
+    path = t.path("sources")
+    write_binary(_sources(t, F.lit(7)), path)
+    rows = read_binary(t.spark, path)
+    return rows.groupBy(_base_name().alias("source")).agg(F.sum(F.octet_length("binary_data")).cast("bigint").alias("n_bytes"))
+
+
+@query(_SOURCE_CHUNKS.format(n=131072, order="doc_id"))
+def client_chunks_documents(t):
+    path = t.path("sources")
+    write_binary(_sources(t, F.col("doc_id")), path)
+    return _source_chunks(read_binary(t.spark, path, chunk_bytes=CLIENT_CHUNK))
+
+
+@query(_SOURCE_CHUNKS.format(n=1024, order="doc_id"))
+def resource_write_documents(t):
+    path = t.path("resources")
+    write_resource(_sources(t, F.col("doc_id")), path)
+    return _source_chunks(read_resource(t.spark, path))
+
+
+@query("SELECT * FROM part")
+def raw_into_csv_part(t):
+    # The bytes of one CSV dataset written as another's files.
+    stored = DatasetRef.of(t.source(), t.relative("part"), t["part"].schema)
+    write_dataset(t["part"], stored)
+    raw = read_dataset(t.spark, stored, content_type="raw")
+    target = DatasetRef.of(t.source(), t.relative("raw"), t["part"].schema)
+    write_dataset(raw.withColumn("name", _base_name()), target, "raw")
+    return read_dataset(t.spark, target)
+
+
+@query("SELECT 'PRIMARY' AS index_name, TRUE AS is_unique, 'c0,c1' AS columns UNION ALL SELECT 'by_' || n_name, n_nationkey % 2 = 0, 'c0,c1,c2' FROM nation")
+def index_profile_nation(t):
+    # Index statistics as a database lists them, one index per nation, its columns in any order.
+    seq = F.explode(F.array(*[F.lit(i) for i in (2, 0, 1)])).alias("seq")
+    named = t["nation"].select(F.concat(F.lit("by_"), F.col("n_name")).alias("index_name"), (F.col("n_nationkey") % 2).cast("int").alias("non_unique"), seq)
+    primary = t["nation"].where("n_nationkey = 0").select(
+        F.lit("PRIMARY").alias("index_name"), F.lit(0).alias("non_unique"), F.explode(F.array(F.lit(1), F.lit(0))).alias("seq")
     )
+    statistics = named.union(primary).withColumn("column_name", F.concat(F.lit("c"), F.col("seq").cast("string")))
+    return index_profile(statistics).withColumn("columns", F.array_join("columns", ","))

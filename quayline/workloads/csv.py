@@ -1,5 +1,7 @@
 """CSV reading and writing over the given tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from quayline.plans import read_dataset, write_dataset
@@ -63,21 +65,38 @@ def _one_line(df):
     return df.withColumn("text", F.translate("text", "\r\n", "  "))
 
 
-@query("SELECT conv_id, turn, role, translate(text, chr(13) || chr(10), '  ') AS text FROM conversations")
+def _marked(t):
+    """Conversations with a column that no two charsets write alike."""
+    return _one_line(t["conversations"]).withColumn("mark", F.concat(F.lit("汉字 € "), F.col("role")))
+
+
+_MARKED_SQL = """SELECT conv_id, turn, role, translate(text, chr(13) || chr(10), '  ') AS text, '汉字 € ' || role AS mark
+                 FROM conversations"""
+
+
+@query(_MARKED_SQL)
 def csv_gb18030_conversations(t):
-    path = t.path("gb18030")
-    write_csv(_one_line(t["conversations"]).withColumn("mark", F.lit("汉字 €")), path, encoding="GB18030")
-    return read_csv(t.spark, path, t["conversations"].schema)
+    path, rows = t.path("gb18030"), _marked(t)
+    write_csv(rows, path, encoding="GB18030")
+    return read_csv(t.spark, path, rows.schema)
+
+
+@query(_MARKED_SQL)
+def csv_declared_charset_conversations(t):
+    rows = _marked(t)
+    ref = DatasetRef.of(t.source(), t.relative("declared"), rows.schema, csv=CsvFormat(encoding="GB18030"))
+    write_dataset(rows, ref)
+    return read_dataset(t.spark, ref)
 
 
-@query("SELECT conv_id, turn, role, translate(text, chr(13) || chr(10), '  ') AS text FROM conversations")
+@query(_MARKED_SQL)
 def csv_mixed_charsets_conversations(t):
     path = t.path("mixed")
-    rows = _one_line(t["conversations"]).withColumn("mark", F.lit("汉字 €"))
+    rows = _marked(t)
     third = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
     for i, encoding in enumerate(["UTF-8", "GB18030", "UTF-16"]):
         write_csv(rows.where(third == i), path, encoding=encoding, mode="append", max_records_per_file=20_000)
-    return read_csv(t.spark, path, t["conversations"].schema)
+    return read_csv(t.spark, path, rows.schema)
 
 
 # Charsets a byte order mark can announce.
@@ -237,19 +256,61 @@ def csv_bad_values_part(t):
     return bad_values(text, {"p_partkey": "int64", "p_brand": "bool", "p_size": "int32"})
 
 
-@query("SELECT concat_ws(',', p_partkey, p_name, p_brand, p_type, p_size) AS line FROM part")
+@query("SELECT concat_ws(',', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) AS line FROM part")
 def csv_render_part(t):
-    return render_csv(t["part"].drop("p_retailprice"))
+    return render_csv(t["part"])
 
 
-@query("SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS line FROM orders")
+@query(
+    """SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f'),
+                        o_orderpriority) AS line FROM orders"""
+)
 def csv_content_orders(t):
-    kept = t["orders"].drop("o_totalprice", "o_orderdate")
-    ref = DatasetRef.of(t.source(), t.relative("orders"), kept.schema)
-    write_dataset(kept, ref)
+    ref = DatasetRef.of(t.source(), t.relative("orders"), t["orders"].schema)
+    write_dataset(t["orders"], ref)
     return read_dataset(t.spark, ref, content_type="csv")
 
 
+@query("SELECT conv_id, turn, role FROM conversations")
+def csv_unquoted_conversations(t):
+    path, rows = t.path("unquoted"), t["conversations"].select("conv_id", "turn", "role")
+    write_csv(rows, path, quoting="none")
+    return read_csv(t.spark, path, rows.schema)
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_size % 3 > 0 THEN p_name END AS p_name, CASE WHEN p_size % 3 = 2 THEN p_size END AS p_size
+       FROM part"""
+)
+def csv_padded_part(t):
+    # Rows of one, two and three fields below a header of three.
+    path = t.path("ragged")
+    fields = F.array(F.col("p_partkey").cast("string"), "p_name", F.col("p_size").cast("string"))
+    lines = F.concat_ws(",", F.slice(fields, F.lit(1), F.col("p_size") % 3 + 1))
+    t["part"].select(lines.alias("value")).write.text(path)
+    names = CsvFormat(header=False, field_map={"_c0": "p_partkey", "_c1": "p_name", "_c2": "p_size"})
+    return read_csv(t.spark, path, {"p_partkey": "int64", "p_name": "string", "p_size": "int64"}, fmt=names, ragged="pad")
+
+
+@query(
+    """SELECT p_partkey, 'p_size' AS "column", 'size ' || p_size AS "value", 'int64' AS "type" FROM part
+       WHERE p_partkey = (SELECT min(p_partkey) FROM part)"""
+)
+def csv_padded_bad_value_part(t):
+    # One bad value in a padded read stops it, and the message names column, value and type.
+    path, first = t.path("bad"), t["part"].agg(F.min("p_partkey")).first()[0]
+    size = F.col("p_size").cast("string")
+    odd = F.when(F.col("p_partkey") == first, F.concat(F.lit("size "), size)).otherwise(size)
+    write_csv(t["part"].select("p_partkey", odd.alias("p_size")), path)
+    try:
+        read_csv(t.spark, path, {"p_partkey": "int64", "p_size": "int64"}, ragged="pad").collect()
+        found = None
+    except Exception as e:
+        found = re.search(r"column (\w+): value '([^']*)' is not (\w+)", str(e))
+    named = [F.lit(found[i + 1] if found else None).alias(n) for i, n in enumerate(("column", "value", "type"))]
+    return t["part"].where(F.col("p_partkey") == first).select("p_partkey", *named)
+
+
 @query(
     """SELECT event_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
               strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, event_type AS event_bytes FROM events"""

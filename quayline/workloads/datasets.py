@@ -4,7 +4,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quayline.errors import DatasetError
 from quayline.plans import (
     DatasetCatalog,
     acks_by_file,
@@ -13,13 +12,14 @@ from quayline.plans import (
     read_dataset,
     write_dataset,
 )
-from quayline.refs import DatasetRef
+from quayline.refs import DatasetRef, SourceRef
 from quayline.sinks.csv import write_csv
 from quayline.sinks.orc import write_orc
+from quayline.sinks.warehouse import create_table
 from quayline.sources.csv import stream_csv
 from quayline.sources.orc import read_columnar
 from quayline.streaming.transfer import acknowledged, stream_copy
-from quayline.workloads.registry import query
+from quayline.workloads.registry import ELEMENTS_SQL, elements, query
 
 
 @query("SELECT * FROM lineitem")
@@ -36,14 +36,11 @@ def orc_project_lineitem(t):
     return read_columnar(t.spark, path, columns=["l_quantity", "l_orderkey", "l_shipdate"])
 
 
-@query("SELECT vec_id, label, embedding[1] AS first, embedding[-1] AS last, len(embedding)::INTEGER AS n FROM embeddings")
+@query(f"SELECT vec_id, label, {ELEMENTS_SQL} AS elements FROM embeddings")
 def orc_arrays_embeddings(t):
     path = t.path("embeddings")
     write_orc(t["embeddings"], path, compression="snappy")
-    e = F.col("embedding")
-    return read_columnar(t.spark, path).select(
-        "vec_id", "label", e[0].alias("first"), F.element_at(e, -1).alias("last"), F.size(e).alias("n")
-    )
+    return read_columnar(t.spark, path).select("vec_id", "label", elements("embedding").alias("elements"))
 
 
 @query("SELECT * FROM orders WHERE o_orderkey < 0")
@@ -66,11 +63,11 @@ def copy_csv_to_orc_part(t):
     return read_dataset(t.spark, target)
 
 
-@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def copy_orc_to_csv_orders(t):
     orders = t["orders"]
     stored = DatasetRef.of(t.source(), t.relative("orders"), orders.schema, file_format="orc")
-    write_dataset(orders.where("o_orderstatus = 'F'"), stored)
+    write_dataset(orders, stored)
     kept = orders.select("o_orderkey", "o_orderdate", "o_totalprice")
     target = DatasetRef.of(t.source(), t.relative("orders"), kept.schema)
     copy_dataset(t.spark, stored, target, columns=kept.columns)
@@ -82,18 +79,17 @@ def ack_row_counts_lineitem(t):
     lineitem = t["lineitem"]
     ref = DatasetRef.of(t.source(), t.relative("lineitem"), lineitem.schema, file_format="parquet")
     result = write_dataset(lineitem, ref)
-    stored = t.spark.read.parquet(result.location)
-    return (
-        acks_by_file(stored)
-        .agg(F.sum("row_count").alias("acknowledged"))
-        .select("acknowledged", F.lit(result.rows).cast("bigint").alias("written"))
-        .crossJoin(stored.agg(F.count(F.lit(1)).alias("stored")))
+    acks = acks_by_file(t.spark.read.parquet(result.location))
+    return acks.agg(F.sum("row_count").alias("acknowledged")).select(
+        "acknowledged",
+        F.lit(result.rows).cast("bigint").alias("written"),
+        F.lit(t.spark.read.parquet(result.location).count()).cast("bigint").alias("stored"),
     )
 
 
-@query("SELECT event_id, user_id, value FROM events")
+@query("SELECT * FROM events")
 def publish_events(t):
-    rows = t["events"].select("event_id", "user_id", "value")
+    rows = t["events"]
     catalog = DatasetCatalog(t.spark)
     good = f"events_{uuid.uuid4().hex}"
     ref = DatasetRef.of(t.source(), t.relative("published"), rows.schema, file_format="orc", id=good)
@@ -101,21 +97,24 @@ def publish_events(t):
     return catalog.read(good)
 
 
-@query("SELECT event_type, count(*) AS row_count, FALSE AS registered FROM events GROUP BY event_type")
+@query("SELECT count(*) AS row_count, FALSE AS registered, FALSE AS files_left, TRUE AS failed FROM events")
 def publish_rollback_events(t):
     catalog = DatasetCatalog(t.spark)
-    events = t["events"]
+    events, last = t["events"], t["events"].agg(F.max("event_id")).first()[0]
+    stop = F.raise_error(F.lit("the source breaks off")).cast("bigint")
+    # The last event fails, when the files before it are already written.
+    rows = events.withColumn("event_id", F.when(F.col("event_id") == last, stop).otherwise(F.col("event_id")))
     bad = f"events_{uuid.uuid4().hex}"
-    ref = DatasetRef.of(t.source(), t.relative("rolled"), type="model", file_format="binary", id=bad)
+    ref = DatasetRef.of(t.source(), t.relative("rolled"), events.schema, id=bad)
     try:
-        # Rows without a binary_data column cannot become files: the upload fails.
-        publish_dataset(events.select("event_id"), ref, catalog)
-    except DatasetError:
-        pass
-    return (
-        events.groupBy("event_type")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("registered", F.lit(catalog.exists(bad)))
+        publish_dataset(rows, ref, catalog, max_records_per_file=max(1, events.count() // 10))
+        failed = False
+    except Exception:
+        failed = True
+    folder = t.source().uri(ref.relative_uri)
+    left = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).limit(1).count() > 0
+    return events.agg(F.count(F.lit(1)).alias("row_count")).withColumns(
+        {"registered": F.lit(catalog.exists(bad)), "files_left": F.lit(left), "failed": F.lit(failed)}
     )
 
 
@@ -201,3 +200,54 @@ def all_types_roundtrip_events(t):
     ref = DatasetRef.of(t.source(), t.relative("types"), rows.schema)
     write_dataset(rows, ref)
     return read_dataset(t.spark, ref).withColumn("binary", F.md5("binary"))
+
+
+@query("SELECT * FROM part")
+def copy_sliced_part(t):
+    stored = DatasetRef.of(t.source(), t.relative("part"), t["part"].schema, file_format="parquet")
+    write_dataset(t["part"], stored)
+    target = DatasetRef.of(t.source(), t.relative("slices"), t["part"].schema)
+    copy_dataset(t.spark, stored, target, slice_bytes=SLICE_BYTES)
+    return read_dataset(t.spark, target)
+
+
+SLICE_BYTES = 64 * 1024
+
+
+@query("SELECT count(*) AS row_count, TRUE AS within_bound, TRUE AS several FROM documents")
+def slice_bound_documents(t):
+    # Narrow rows first, wide ones last: their widths differ a thousandfold.
+    docs = t["documents"].select("doc_id", F.translate("text", "\r\n", "  ").alias("text")).orderBy(F.length("text"))
+    stored = DatasetRef.of(t.source(), t.relative("documents"), docs.schema, file_format="orc")
+    write_dataset(docs, stored)
+    target = DatasetRef.of(t.source(), t.relative("slices"), docs.schema)
+    # A slice holds one row at least, so the bound starts from the widest.
+    bound = docs.agg(F.max(F.octet_length("text"))).first()[0] * 2 + 1024
+    copy_dataset(t.spark, stored, target, slice_bytes=bound)
+    files = t.spark.read.format("binaryFile").load(t.source().uri(target.relative_uri))
+    sizes = files.agg((F.max("length") <= bound).alias("within_bound"), (F.count(F.lit(1)) > 1).alias("several"))
+    return sizes.withColumn("row_count", F.lit(read_dataset(t.spark, target).count()).cast("bigint"))
+
+
+@query("SELECT least(100, count(*)) AS row_count, least(100, count(*)) AS found FROM lineitem")
+def limited_read_lineitem(t):
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    ref = DatasetRef.of(t.source(), t.relative("lineitem"), t["lineitem"].schema, file_format="orc")
+    write_dataset(t["lineitem"], ref)
+    some = read_dataset(t.spark, ref, keys, limit=100)
+    known = t["lineitem"].select(*keys, F.lit(1).cast("bigint").alias("known")).distinct()
+    return some.join(known, keys, "left").agg(F.count(F.lit(1)).alias("row_count"), F.sum("known").alias("found"))
+
+
+@query("SELECT o_orderkey, o_totalprice, '2024' AS dt FROM orders UNION ALL SELECT c_custkey, c_acctbal, '2023' FROM customer")
+def copy_into_partition_orders(t):
+    name = f"copied_{uuid.uuid4().hex}"
+    rows = t["orders"].select("o_orderkey", "o_totalprice")
+    create_table(t.spark, name, rows.schema, "dt=any", t.path("copied"))
+    table = DatasetRef.of(SourceRef("odps"), name, file_format="table")
+    other = t["customer"].select(F.col("c_custkey").alias("o_orderkey"), F.col("c_acctbal").alias("o_totalprice"))
+    for frame, day in ((other, "2023"), (other, "2024"), (rows, "2024")):
+        stored = DatasetRef.of(t.source(), t.relative("rows"), frame.schema, file_format="parquet")
+        write_dataset(frame, stored)
+        copy_dataset(t.spark, stored, table, target_partition_spec=f"dt={day}")
+    return read_dataset(t.spark, table)

@@ -8,6 +8,7 @@ from quayline.operators.filters import range_filter
 from quayline.operators.paging import (
     key_stats,
     key_stats_frame,
+    page_grid,
     page_histogram,
     page_predicate,
     plan_pages,
@@ -131,3 +132,13 @@ def range_filter_lineitem(t):
 def explicit_predicates_part(t):
     rules = ["p_size < 10", "p_size >= 10 AND p_size < 30", "p_size >= 25"]
     return predicate_pages(t["part"], rules).select("page", "p_partkey", "p_size")
+
+
+@query("SELECT (l_orderkey - (SELECT min(l_orderkey) FROM lineitem)) // 2 AS page, count(*) AS row_count FROM lineitem GROUP BY 1")
+def small_step_pages_lineitem(t):
+    # The step given is kept, however many pages it makes.
+    keys = t["lineitem"].select("l_orderkey")
+    stats = key_stats(keys, "l_orderkey")
+    pages = [p for p in plan_pages(stats, step=2) if not p.null_key]
+    first, width = page_grid(pages)
+    return page_histogram(keys, "l_orderkey", first, width)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayline.refs import SourceRef
 from quayline.session import configure, scratch_path, scratch_root
@@ -47,3 +48,13 @@ class Tables:
 
     def relative(self, label: str) -> str:
         return self.path(label).rsplit("/", 1)[1]
+
+
+#: All elements of ``embedding`` as text, in millionths, which both sides write alike.
+ELEMENTS_SQL = "array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',')"
+
+
+def elements(name: str) -> Column:
+    """All elements of an array of numbers as text, in millionths."""
+    millionths = F.transform(name, lambda x: F.round(x.cast("double") * 1000000).cast("bigint").cast("string"))
+    return F.array_join(millionths, ",")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.sinks import binary
 from quayline.sinks.binary import merge_files, write_binary
+from quayline.sources import filesystem
 from quayline.sources.binary import CLIENT_CHUNK, arrow_options, open_filesystem, read_binary, s3_options
 from quayline.sources.warehouse import read_resource
 
@@ -23,6 +24,9 @@ def folder(tmp_path):
     return str(source)
 
 
+binary_done = binary._done
+
+
 def named(df, folder):
     return df.withColumn("name", F.substring("path", len("file:" + folder) + 2, 10_000))
 
@@ -32,8 +36,9 @@ def named(df, folder):
 def test_copy_is_byte_exact(spark, folder, tmp_path, inline, layout):
     rows = named(read_binary(spark, folder, CLIENT_CHUNK, inline_bytes=inline, range_bytes=1024 * 1024), folder)
     target = str(tmp_path / "out")
-    totals = write_binary(rows.repartition(7), target, layout=layout, segment_chunks=3)
-    assert totals == {"chunks": 42, "bytes": len(BIG) + len(NULS)}
+    totals = write_binary(rows.repartition(7), target, layout=layout)
+    assert totals == {"chunks": 43, "bytes": len(BIG) + len(NULS)}
+    assert (tmp_path / "out" / "empty").read_bytes() == b""
     assert (tmp_path / "out" / "big %20.bin").read_bytes() == BIG
     assert (tmp_path / "out" / "sub dir" / "nuls").read_bytes() == NULS
     assert [f for f in os.listdir(tmp_path) if "staging" in f] == []
@@ -73,15 +78,56 @@ def test_hot_file_and_many_segments(spark, tmp_path):
         F.col("id").alias("chunk_no"),
         F.format_string("%05d;", "id").cast("binary").alias("binary_data"),
     )
-    write_binary(df, str(tmp_path / "out"), segment_chunks=16)
+    write_binary(df, str(tmp_path / "out"))
     want = "".join(f"{i:05d};" for i in range(5000) if i % 3)
     assert (tmp_path / "out" / "hot").read_text() == want
 
 
+def test_order_numbers_may_be_sparse_or_equal(spark, tmp_path):
+    df = spark.range(2000).select(
+        F.lit("f").alias("name"),
+        (F.col("id") * 1_000_003).alias("sparse"),
+        F.lit(1).alias("equal"),
+        F.format_string("%05d;", "id").cast("binary").alias("binary_data"),
+    )
+    write_binary(df.orderBy(F.rand(1)), str(tmp_path / "s"), order="sparse")
+    assert (tmp_path / "s" / "f").read_text() == "".join(f"{i:05d};" for i in range(2000))
+    write_binary(df, str(tmp_path / "e"), order="equal")
+    text = (tmp_path / "e" / "f").read_text()
+    assert sorted(text.split(";")[:-1]) == [f"{i:05d}" for i in range(2000)]
+
+
+@pytest.mark.parametrize("name", ["../escape/x", "a/../../x", "/abs", "..", "", None])
+@pytest.mark.parametrize("layout", ["offset", "stream"])
+def test_names_stay_inside_the_target(spark, tmp_path, name, layout):
+    df = spark.createDataFrame([("ok..fine/a..b", 0, b"1"), (name, 0, b"2")], "name string, chunk_no int, binary_data binary")
+    with pytest.raises(Exception, match="leaves the target"):
+        write_binary(df, str(tmp_path / "deep" / "out"), layout=layout)
+    assert not (tmp_path / "deep" / "out").exists() and not (tmp_path / "deep" / "escape").exists()
+
+
+def test_bytes_on_disk_are_compared_with_bytes_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(binary, "_done", lambda pa, names, sizes: binary_done(pa, names, [s + 1 for s in sizes]))
+    df = spark.createDataFrame([("f", 0, b"x")], "name string, chunk_no int, binary_data binary")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "old").write_bytes(b"old")
+    with pytest.raises(OSError, match="holds 1 of 2 bytes"):
+        write_binary(df, str(tmp_path / "out"))
+    assert os.listdir(tmp_path) == ["out"] and os.listdir(tmp_path / "out") == ["old"]
+
+
+def test_swap_puts_the_old_one_back(spark, tmp_path, monkeypatch):
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "f").write_bytes(b"1")
+    with pytest.raises(Exception):
+        filesystem.swap(spark, str(tmp_path / "absent"), str(tmp_path / "old"))
+    assert os.listdir(tmp_path) == ["old"] and (tmp_path / "old" / "f").read_bytes() == b"1"
+
+
 def test_long_offset_lists_are_shuffled(spark, folder, tmp_path, monkeypatch):
     monkeypatch.setattr(binary, "BROADCAST_OFFSETS", 1)
     rows = named(read_binary(spark, folder, 1_000_000), folder)
-    write_binary(rows, str(tmp_path / "out"), segment_chunks=2)
+    write_binary(rows, str(tmp_path / "out"))
     assert (tmp_path / "out" / "big %20.bin").read_bytes() == BIG
 
 

@@ -90,16 +90,60 @@ def test_line_framing(spark, tmp_path):
 
 
 def test_ragged_rows(spark, tmp_path):
-    path = put(tmp_path, "f.csv", "a,b\n1\n2,x,beyond\n3,y\n")
-    declared = {"a": "int32", "b": "string"}
+    declared = {"a": "int32", "b": "string", "c": "int64"}
+    path = put(tmp_path, "f.csv", 'a,b,c\n1\n2,"x,\\",y"\n3,y,4\n,\n')
     for columns in (declared, {"a": "int32"}):
-        with pytest.raises(FAILS):
+        with pytest.raises(FAILS, match="does not have 3 fields: 1"):
             read_csv(spark, path, columns).collect()
-    assert rows(read_csv(spark, path, declared, ragged="pad")) == [(1, None), (2, "x"), (3, "y")]
+    padded = read_csv(spark, path, declared, ragged="pad")
+    assert sorted(rows(padded), key=str) == [(1, None, None), (2, 'x,",y', None), (3, "y", 4), (None, None, None)]
+    assert padded.count() == 4
+    for long in ("1,x,2,beyond", "1,x,2,", '1,"x,",2,3'):
+        for columns in (declared, {"b": "string"}):
+            with pytest.raises(FAILS, match="more than 3 fields: 1"):
+                read_csv(spark, put(tmp_path, "l.csv", f"a,b,c\n{long}\n"), columns, ragged="pad").collect()
     with pytest.raises(InvalidParameterError):
         read_csv(spark, path, declared, ragged="maybe")
 
 
+def test_padding_is_strict_about_values(spark, tmp_path):
+    path = put(tmp_path, "f.csv", "a,b,d,u\n1,x\nfoo,y,1,2\n")
+    declared = {"a": "int64", "b": "string", "d": "date32", "u": "uint8"}
+    with pytest.raises(FAILS, match="column a: value 'foo' is not int64"):
+        read_csv(spark, path, declared, ragged="pad").collect()
+    for bad, name in (("1,x,y,2", "d"), ("1,x,2,256", "u")):
+        with pytest.raises(FAILS, match=f"column {name}: value"):
+            read_csv(spark, put(tmp_path, "g.csv", f"a,b,d,u\n{bad}\n"), declared, ragged="pad").collect()
+
+
+def test_errors_name_column_value_and_type(spark, tmp_path):
+    path = put(tmp_path, "f.csv", "a,b,c,d\n1,2,x,3.5\n4,foo,y,6\n")
+    declared = {"a": "int32", "b": "int64", "c": "string", "d": "float64"}
+    for columns in (declared, {"b": "int64"}):
+        with pytest.raises(FAILS, match="column b: value 'foo' is not int64"):
+            read_csv(spark, path, columns).collect()
+    with pytest.raises(FAILS, match="column c: value 'x' is not int32"):
+        read_csv(spark, path, {"c": "int32"}).collect()
+    with pytest.raises(FAILS, match="column d: value '3.5' is not int8"):
+        read_csv(spark, path, {"d": "int8"}).collect()
+
+
+def test_declared_encoding_needs_no_look_at_the_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "g")
+    write_csv(spark.createDataFrame([("汉",)], "a string"), path, CsvFormat(encoding="GB18030"))
+    monkeypatch.setattr("quayline.sources.csv.paths_by_charset", None)
+    assert rows(read_csv(spark, path, fmt=CsvFormat(encoding="GB18030"))) == [("汉",)]
+
+
+def test_inference_looks_at_every_charset(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("a,b\n1,2\n".encode())
+    (folder / "b.csv").write_bytes("a,c\n1,汉\n".encode("gb18030"))
+    with pytest.raises(MissingFieldError):
+        infer_csv_schema(spark, str(folder))
+
+
 def test_typed_values(spark, tmp_path):
     path = put(
         tmp_path,

@@ -26,7 +26,7 @@ def table(spark, monkeypatch):
         F.lit("some text").alias("t"),
         F.lit(dt.datetime(2024, 1, 1, 0, 0, 0, 123456)).alias("at"),
     )
-    seen = {"scans": [], "queries": []}
+    seen = {"scans": [], "queries": [], "indexes": []}
 
     def load(_, scan):
         seen["scans"].append(scan)
@@ -39,6 +39,8 @@ def table(spark, monkeypatch):
 
     def query(session, options, sql):
         seen["queries"].append(sql)
+        if "information_schema" in sql:
+            return session.createDataFrame(seen["indexes"], "index_name string, non_unique int, seq int, column_name string")
         df.createOrReplaceTempView("t")
         return session.sql(sql)
 
@@ -96,6 +98,21 @@ def test_primary_key_pages_only_if_numeric(spark, table):
         jdbc.read_jdbc(spark, SOURCE, "t", pages=PageRule("t"))
 
 
+def test_primary_key_is_looked_up(spark, table):
+    table["indexes"] = [("PRIMARY", 0, 1, "id"), ("by_k", 1, 1, "k")]
+    found = jdbc.read_jdbc(spark, SOURCE, "t", ["id"], page_bytes=10_000)
+    assert len(table["scans"][-1].predicates) > 1 and same(found, table["df"].select("id"))
+    assert "information_schema" in table["queries"][0] and "TABLE_SCHEMA = 'd'" in table["queries"][0]
+    assert table["queries"][-1] == "SELECT * FROM `t` LIMIT 100"
+    jdbc.read_jdbc(spark, SOURCE, "t", pages=PageRule("id", step=100))
+    assert sum("information_schema" in q for q in table["queries"]) == 1
+
+
+def test_declared_primary_key_has_to_exist(spark, table):
+    with pytest.raises(InvalidParameterError, match="primary key 'nope' does not exist"):
+        jdbc.read_jdbc(spark, SOURCE, "t", primary_key="nope")
+
+
 def test_given_predicates_win(spark, table):
     rule = PageRule("id", predicates=("id < 100", "id >= 100"))
     assert jdbc.read_jdbc(spark, SOURCE, "t", pages=rule).count() == 1000

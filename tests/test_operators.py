@@ -59,7 +59,9 @@ def test_choose_page_key():
     for key in ("s", "ts", "none"):
         with pytest.raises(InvalidParameterError):
             choose_page_key(schema, key)
-        assert choose_page_key(schema, None, key) is None
+    assert choose_page_key(schema, None, "s") is None and choose_page_key(schema, None, "ts") is None
+    with pytest.raises(InvalidParameterError):
+        choose_page_key(schema, None, "none")
 
 
 def test_align(spark):
@@ -148,8 +150,13 @@ def test_pages_cover_dates_decimals_floats(spark):
 )
 def test_integer_pages_are_contiguous(low, span, step, max_pages):
     stats = KeyStats(low, low + span, 10, 0, 8.0)
+    if span // step + 1 > max_pages:
+        # The step is kept or refused, never changed.
+        with pytest.raises(InvalidParameterError):
+            plan_pages(stats, step=step, max_pages=max_pages)
+        return
     pages = plan_pages(stats, step=step, max_pages=max_pages)
-    assert 1 <= len(pages) <= max_pages
+    assert len(pages) == span // step + 1
     assert pages[0].lower is None and pages[-1].upper is None
     assert all(a.upper == b.lower for a, b in zip(pages, pages[1:]))
     assert all(p.upper > low for p in pages[:-1])

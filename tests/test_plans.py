@@ -21,7 +21,7 @@ def test_csv_scan_is_map_only_and_pruned(spark, tmp_path):
     (tmp_path / "f.csv").write_text("a,b,c\n1,true,2\n")
     text = plan(read_csv(spark, str(tmp_path), {"c": "int64", "b": "bool"}).where("c > 1"))
     assert "Exchange" not in text and "Python" not in text
-    assert "ReadSchema: struct<b:string,c:bigint>" in text
+    assert "ReadSchema: struct<b:string,c:bigint,__record:string>" in text
     assert "PushedFilters: [IsNotNull(c), GreaterThan(c,1)]" in text
 
 
@@ -65,10 +65,10 @@ def test_bytes_are_not_sorted_for_their_place(spark, tmp_path):
         F.lit(b"x").alias("binary_data"),
     )
     rows.write.parquet(str(tmp_path / "r"))
-    text = plan(_place(spark.read.parquet(str(tmp_path / "r")), 100))
+    text = plan(_place(spark.read.parquet(str(tmp_path / "r"))))
     assert "ShuffledHashJoin" in text
     assert not any("Sort" in line and "binary_data" in line for line in text.splitlines())
-    text = plan(_place(spark.read.parquet(str(tmp_path / "r")), 100, small=True))
+    text = plan(_place(spark.read.parquet(str(tmp_path / "r")), small=True))
     assert "BroadcastHashJoin" in text
     assert not any("Exchange" in line and "binary_data" in line for line in text.splitlines())
 
