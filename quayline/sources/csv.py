@@ -46,8 +46,8 @@ _NATIVE = {
 
 def scan_options(fmt: CsvFormat, encoding: str, multiline: bool, ragged: str) -> dict[str, str]:
     """Options of ``spark.read.csv`` for one charset."""
-    if ragged not in ("fail", "pad"):
-        raise InvalidParameterError(f"ragged must be 'fail' or 'pad', not {ragged!r}")
+    if ragged not in ("fail", "pad", "trim"):
+        raise InvalidParameterError(f"ragged must be 'fail', 'pad' or 'trim', not {ragged!r}")
     wide = encoding.upper().startswith(WIDE)
     options = {
         **fmt.dialect(),
@@ -117,7 +117,10 @@ def read_csv(
     ``columns`` declares view names and types and also selects: only declared
     columns are returned. Without it every header column is nullable text.
     ``select`` narrows and orders the result. Without ``encoding``, here or
-    in the format, the bytes are looked at in a pass of their own. ``multiline`` lets a quoted field hold line breaks; a file is then
+    in the format, the bytes are looked at in a pass of their own. ``ragged`` says
+    what becomes of rows that do not have as many fields as the header: ``fail``
+    stops, ``pad`` fills short ones with NULL and stops at long ones, ``trim``
+    also leaves out what a row has beyond the header. ``multiline`` lets a quoted field hold line breaks; a file is then
     read by one task, so keep such files moderate in size.
     """
     configure(spark)
@@ -191,7 +194,8 @@ def _scan(reader, files, options, header, declared, select, fmt, ragged) -> Data
         malformed = _separators(record, fmt) >= len(header)
     # A column of the file has to be part of the condition: Spark refuses to look at the record alone.
     message = F.concat(message, F.lit(f" ({wanted[0].name} "), F.coalesce(first, F.lit("NULL")), F.lit(")"))
-    df = df.where(~F.coalesce(malformed, F.lit(False)) | F.raise_error(message).cast("boolean"))
+    if ragged != "trim":
+        df = df.where(~F.coalesce(malformed, F.lit(False)) | F.raise_error(message).cast("boolean"))
     pick = _finish if ragged == "fail" else convert
     return df.select(*[pick(column(raw_of[c.name]), c).alias(c.name) for c in wanted])
 

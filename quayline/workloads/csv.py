@@ -239,7 +239,7 @@ def csv_ragged_rows_padded_part(t):
     lines = t["part"].select(F.when(F.col("p_size") % 2 == 0, short).otherwise(full).alias("p_partkey,p_brand,p_size"))
     lines.write.option("header", "true").option("quote", "").option("sep", "\u0001").csv(path)
     return read_csv(
-        t.spark, path, {"p_partkey": "int64", "p_brand": "string", "p_size": "int32"}, ragged="pad"
+        t.spark, path, {"p_partkey": "int64", "p_brand": "string", "p_size": "int32"}, ragged="trim"
     )
 
 
@@ -285,11 +285,12 @@ def csv_unquoted_conversations(t):
 def csv_padded_part(t):
     # Rows of one, two and three fields below a header of three.
     path = t.path("ragged")
-    fields = F.array(F.col("p_partkey").cast("string"), "p_name", F.col("p_size").cast("string"))
-    lines = F.concat_ws(",", F.slice(fields, F.lit(1), F.col("p_size") % 3 + 1))
-    t["part"].select(lines.alias("value")).write.text(path)
-    names = CsvFormat(header=False, field_map={"_c0": "p_partkey", "_c1": "p_name", "_c2": "p_size"})
-    return read_csv(t.spark, path, {"p_partkey": "int64", "p_name": "string", "p_size": "int64"}, fmt=names, ragged="pad")
+    fields = F.array(F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_size").cast("string"))
+    lines = F.array_join(F.slice(fields, F.lit(1), F.col("p_size") % 3 + 1), ",")
+    lines = t["part"].select(lines.alias("p_partkey,p_name,p_size"))
+    lines.write.option("header", "true").option("quote", "").option("sep", "\u0001").csv(path)
+    columns = {"p_partkey": "int64", "p_name": "string", "p_size": "int32"}
+    return read_csv(t.spark, path, columns, ragged="pad")
 
 
 @query(

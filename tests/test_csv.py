@@ -98,6 +98,8 @@ def test_ragged_rows(spark, tmp_path):
     padded = read_csv(spark, path, declared, ragged="pad")
     assert sorted(rows(padded), key=str) == [(1, None, None), (2, 'x,",y', None), (3, "y", 4), (None, None, None)]
     assert padded.count() == 4
+    trimmed = read_csv(spark, put(tmp_path, "t.csv", "a,b,c\n1,x,2,beyond\n2\n"), declared, ragged="trim")
+    assert sorted(rows(trimmed)) == [(1, "x", 2), (2, None, None)]
     for long in ("1,x,2,beyond", "1,x,2,", '1,"x,",2,3'):
         for columns in (declared, {"b": "string"}):
             with pytest.raises(FAILS, match="more than 3 fields: 1"):
