@@ -18,11 +18,15 @@ def _base_name(path="path"):
     return F.element_at(F.split(path, "/"), -1)
 
 
+# Pages are gathered into this many files, however many there are.
+_BLOBS = 16
+
+
 def _page_files(t):
     path = t.path("pages")
     blobs = t["pages"].select(
-        F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
-        F.lit(0).alias("chunk_no"),
+        F.concat((F.col("page_id") % _BLOBS).cast("string"), F.lit(".html")).alias("name"),
+        F.col("page_id").alias("chunk_no"),
         F.encode("html", "UTF-8").alias("binary_data"),
     )
     write_binary(blobs, path)
@@ -31,7 +35,7 @@ def _page_files(t):
 
 def _chunks(rows, suffix):
     return rows.select(
-        F.regexp_replace(_base_name(), suffix, "").cast("bigint").alias("page_id"),
+        F.regexp_replace(_base_name(), suffix, "").cast("bigint").alias("blob"),
         "chunk_no",
         F.octet_length("binary_data").alias("n_bytes"),
         F.md5("binary_data").alias("digest"),
@@ -39,9 +43,9 @@ def _chunks(rows, suffix):
 
 
 _PAGE_CHUNKS = """
-    SELECT page_id, c AS chunk_no, octet_length(b[c * {n} + 1 : (c + 1) * {n}])::INTEGER AS n_bytes,
+    SELECT blob, c AS chunk_no, octet_length(b[c * {n} + 1 : (c + 1) * {n}])::INTEGER AS n_bytes,
            md5(b[c * {n} + 1 : (c + 1) * {n}]) AS digest
-    FROM (SELECT page_id, encode(html) AS b FROM pages) p, LATERAL (
+    FROM (SELECT page_id % 16 AS blob, encode(string_agg(html, '' ORDER BY page_id)) AS b FROM pages GROUP BY 1) p, LATERAL (
         SELECT unnest(generate_series(0, ((octet_length(p.b) + {n} - 1) // {n}) - 1)) AS c) AS s
 """
 
@@ -53,7 +57,7 @@ def binary_chunks_pages(t):
 
 @query(_PAGE_CHUNKS.format(n=2000))
 def binary_ranges_pages(t):
-    # A small inline limit sends most files through the byte-range reader.
+    # A small inline limit sends the files through the byte-range reader.
     rows = read_binary(t.spark, _page_files(t), chunk_bytes=2000, inline_bytes=2500, range_bytes=4000)
     return _chunks(rows, r"\.html$")
 
@@ -69,13 +73,16 @@ def binary_concat_pages(t):
     # Three chunks per page, in one stream per file.
     size = F.ceil(F.octet_length(F.col("html").cast("binary")) / 3).cast("int")
     pieces = t["pages"].select(
-        F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
-        F.explode(F.sequence(F.lit(0), F.lit(2))).alias("chunk_no"),
+        F.concat((F.col("page_id") % _BLOBS).cast("string"), F.lit(".html")).alias("name"),
+        "page_id",
+        F.explode(F.sequence(F.lit(0), F.lit(2))).alias("piece"),
         F.col("html").cast("binary").alias("b"),
         size.alias("size"),
     )
     chunks = pieces.select(
-        "name", "chunk_no", F.substring("b", F.col("chunk_no") * F.col("size") + 1, F.col("size")).alias("binary_data")
+        "name",
+        (F.col("page_id") * 3 + F.col("piece")).alias("chunk_no"),
+        F.substring("b", F.col("piece") * F.col("size") + 1, F.col("size")).alias("binary_data"),
     )
     write_binary(chunks, path, layout="stream")
     return _chunks(read_binary(t.spark, path, chunk_bytes=4096), r"\.html$")
