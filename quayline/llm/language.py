@@ -36,6 +36,8 @@ PIECE = 500
 LEVEL = 6
 BLOCK = 1024
 MARGIN = 0.004
+# Dictionaries travel with every task, about a hundred kilobytes each: more languages than this are refused.
+LANGUAGES = 500
 UNDETERMINED = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -48,6 +50,9 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """Raw dictionary content by language; at most ``docs * piece`` bytes each, whatever the corpus size."""
     spark = configure(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    names = rows.select(lang).distinct().limit(LANGUAGES + 1).count()
+    if names > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages are labelled")
     rank = F.row_number().over(W.partitionBy("lang").orderBy("key", "doc_id"))
     # Ids alone are ranked; the limit is applied in every task before anything is shuffled.
     keys = rows.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id).cast("string")).alias("key"))
