@@ -56,10 +56,13 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     rank = F.row_number().over(W.partitionBy("lang").orderBy("key", "doc_id"))
     # Ids alone are ranked; the limit is applied in every task before anything is shuffled.
     keys = rows.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id).cast("string")).alias("key"))
+    keys = keys.where("doc_id is not null").distinct()
     chosen = keys.withColumn("rank", rank).where(F.col("rank") <= docs).select("doc_id").distinct()
     start = F.pmod(F.xxhash64(F.col(text)), F.greatest(F.length(text) - piece + 1, F.lit(1))).cast("int") + 1
     picked = rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "chosen_id")), F.col(doc_id) == F.col("chosen_id"), "left_semi")
     pieces = picked.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.substring(F.col(text), start, F.lit(piece)).alias("piece"))
+    # Rows that share an id count once, so that what reaches the driver keeps its bound.
+    pieces = pieces.groupBy("lang", "doc_id").agg(F.min("piece").alias("piece"))
     found: dict[str, list[str]] = {}
     seen = set()
     for r in sorted(pieces.collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["piece"])):
