@@ -6,8 +6,8 @@ document with a smaller id, or earlier in the same one.
 Every string of that length has one anchor, the ``ANCHOR`` bytes in it with the
 smallest hash. Consecutive starts with the same anchor form a piece; equal
 strings lie in pieces with equal anchors, at the same distance from it. So
-texts are cut into pieces, pieces are dealt out by anchor, and equal pieces
-keep their first place only. An anchor with one piece left is done. Anchors
+texts are cut into pieces, pieces are dealt out by anchor, and of equal pieces
+all but the first go. An anchor with one piece left is done. Anchors
 with several different pieces are where repeats begin, end or differ: their
 pieces go into shards, every shard gets its suffix array and Burrows-Wheeler
 transform, and the transforms are merged by refining their interleave one
@@ -143,7 +143,7 @@ def _cut(texts: list[bytes], length: int):
         yield buffer()
 
 
-_PIECES = "anchor bigint, piece bigint, row bigint, at int, n int"
+_PIECES = "anchor bigint, piece bigint, row bigint, at int, n int, again boolean"
 
 
 def _pieces(length: int):
@@ -162,10 +162,22 @@ def _pieces(length: int):
             if not parts[0]:
                 continue
             anchor, piece, row, at, n = map(np.concatenate, parts)
-            # Equal pieces of a batch are combined before the shuffle; they come in order of row and place.
-            keep = ~pd.DataFrame({"a": anchor, "p": piece}).duplicated().to_numpy()
-            columns = (anchor[keep].view(np.int64), piece[keep].view(np.int64), row[keep], at[keep].astype(np.int32), n[keep].astype(np.int32))
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["anchor", "piece", "row", "at", "n"])
+            # Pieces come in order of row and place; those a batch has had before are settled, and joined to runs.
+            again = pd.DataFrame({"a": anchor, "p": piece}).duplicated().to_numpy()
+            fresh = ~again
+            runs = _runs(row[again], at[again], n[again])
+            # Settled runs need no anchor; their place deals them out.
+            spread = (runs[0] ^ (runs[1] << 32)) * np.int64(-7046029254386353131)
+            none = np.zeros(len(spread), dtype=np.int64)
+            columns = (
+                np.concatenate((anchor[fresh].view(np.int64), spread)),
+                np.concatenate((piece[fresh].view(np.int64), none)),
+                np.concatenate((row[fresh], runs[0])),
+                np.concatenate((at[fresh], runs[1])).astype(np.int32),
+                np.concatenate((n[fresh], runs[2])).astype(np.int32),
+                np.concatenate((np.zeros(fresh.sum(), dtype=bool), np.ones(len(spread), dtype=bool))),
+            )
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["anchor", "piece", "row", "at", "n", "again"])
 
     return run
 
@@ -276,15 +288,21 @@ def first_starts(texts: list[bytes], rows: np.ndarray, at: np.ndarray, length: i
     return row[best][lead], place[best][lead]
 
 
-def _as_runs(row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """Sorted starts as runs (row, at, n)."""
-    order = np.lexsort((place, row))
-    row, place = row[order], place[order]
+def _runs(row: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted ranges of starts with those joined that touch."""
+    if not len(row):
+        return row, place, n
     cut = np.ones(len(row), dtype=bool)
-    cut[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
+    cut[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + n[:-1])
     edge = np.flatnonzero(cut)
-    n = np.diff(np.append(edge, len(row)))
-    columns = (row[edge].astype(np.int64), place[edge].astype(np.int32), n.astype(np.int32))
+    return row[edge], place[edge], np.add.reduceat(n, edge)
+
+
+def _as_runs(row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Starts as runs (row, at, n)."""
+    order = np.lexsort((place, row))
+    row, place, n = _runs(row[order], place[order], np.ones(len(row), dtype=np.int64))
+    columns = (row.astype(np.int64), place.astype(np.int32), n.astype(np.int32))
     return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["row", "at", "n"])
 
 
@@ -321,18 +339,15 @@ def _merge(length: int):
     return run
 
 
-_J = "row bigint, text binary, kept array<struct<at:int,n:int,m:int,anchor:bigint>>"
-
-
-def _bytes_of(length: int, crowded: bool):
-    """Bytes of the pieces to compare, from the documents and their lists of first pieces."""
+def _bytes_of(length: int, limit: int, crowded: bool):
+    """Bytes of the pieces to compare, from the documents and their lists of such pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, text, kept in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("kept").to_pylist()):
-                for p in kept or ():
-                    if p["m"] > 1 and (p["m"] > CROWDED) == crowded:
+            for row, text, marks in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
+                for p in marks:
+                    if (p["m"] > limit) == crowded:
                         out.append((p["anchor"], row, p["at"], text[p["at"] : p["at"] + p["n"] + length - 1]))
             if not out:
                 continue
@@ -353,35 +368,46 @@ def _bytes_of(length: int, crowded: bool):
     return run
 
 
-def covered_bytes(size: int, kept: list[tuple[int, int]], length: int) -> np.ndarray:
-    """Which bytes of a document go, from the runs of starts that stay."""
-    gone = np.zeros(size, dtype=bool)
+def covered_bytes(size: int, gone: tuple, stay: tuple, length: int) -> np.ndarray:
+    """Which bytes of a document go: all under the starts in the runs ``gone`` that are in no run of ``stay``."""
     starts = size - length + 1
-    if starts <= 0:
-        return gone
-    stay = np.zeros(starts + 1, dtype=np.int32)
-    for at, n in kept:
-        stay[at] += 1
-        stay[at + n] -= 1
-    again = np.cumsum(stay[:-1]) <= 0
+    if starts <= 0 or not len(gone[0]):
+        return np.zeros(size, dtype=bool)
+    again = np.zeros(starts + 1, dtype=np.int32)
+    kept = np.zeros(starts + 1, dtype=np.int32)
+    for to, (at, n) in ((again, gone), (kept, stay)):
+        np.add.at(to, at, 1)
+        np.add.at(to, at + n, -1)
+    again = (np.cumsum(again[:-1]) > 0) & (np.cumsum(kept[:-1]) <= 0)
     cover = np.zeros(size + 1, dtype=np.int32)
     cover[:starts] += again
     cover[length : length + starts] -= again
     return np.cumsum(cover[:-1]) > 0
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A column of lists of runs: first item of each row (and the end), places, numbers."""
+    sizes = np.asarray(column.value_lengths().fill_null(0)).astype(np.int64)
+    items = column.flatten()
+    return np.concatenate(([0], np.cumsum(sizes))), np.asarray(items.field("at")), np.asarray(items.field("n"))
+
+
 def _finish(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for batch in batches:
             out: list = [[], [], [], []]
-            columns = (batch.column(c).to_pylist() for c in ("text", "kept", "merged"))
-            for text, kept, merged in zip(*columns):
-                runs = [(p["at"], p["n"]) for p in kept or () if p["m"] == 1] + [(p["at"], p["n"]) for p in merged or ()]
-                gone = covered_bytes(len(text), runs, length)
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
-                spans = [{"first": int(a), "last": int(b)} for a, b in zip(edge[::2], edge[1::2])]
-                rest = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
+            m_slot, m_at, m_n = _flat(batch.column("marks"))
+            k_slot, k_at, k_n = _flat(batch.column("stay"))
+            for i, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                m, k = slice(m_slot[i], m_slot[i + 1]), slice(k_slot[i], k_slot[i + 1])
+                gone = covered_bytes(len(text), (m_at[m], m_n[m]), (k_at[k], k_n[k]), length)
+                spans, rest = [], text
+                if gone.any():
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
+                    spans = [{"first": int(a), "last": int(b)} for a, b in zip(edge[::2], edge[1::2])]
+                    rest = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
                 for to, value in zip(out, (len(text), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest())):
                     to.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -410,22 +436,26 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
         raise ValueError("three 64-byte windows cover the pieces of strings of 65 to 128 bytes only")
     rows = _numbered(docs, doc_id, text)
     pieces = rows.select("row", "text").mapInArrow(_pieces(length), _PIECES).repartition("anchor")
-    same = W.partitionBy("anchor", "piece").orderBy("row", "at")
-    first = pieces.withColumn("nth", F.row_number().over(same)).where("nth = 1")
-    first = first.withColumn("m", F.count("*").over(W.partitionBy("anchor")).cast("int"))
-    first = staged(spark, first.select("row", "at", "n", "m", F.when(F.col("m") > 1, F.col("anchor")).alias("anchor")), "first")
-    by_row = first.groupBy("row").agg(F.collect_list(F.struct("at", "n", "m", "anchor")).alias("kept"))
+    same = W.partitionBy("anchor", "again", "piece").orderBy("row", "at")
+    pieces = pieces.withColumn("nth", F.when(~F.col("again"), F.row_number().over(same)).otherwise(2))
+    different = F.count(F.when(F.col("nth") == 1, 1)).over(W.partitionBy("anchor", "again"))
+    pieces = pieces.withColumn("m", F.when(F.col("nth") == 1, different).otherwise(0).cast("int"))
+    # A piece that is alone at its anchor stays and needs no mention: what is marked goes, but for the starts that win.
+    marks = pieces.where("m <> 1").select("row", "at", "n", "m", F.when(F.col("m") > 1, F.col("anchor")).alias("anchor"))
+    marks = staged(spark, marks, "marks")
+    by_row = marks.groupBy("row").agg(F.collect_list(F.struct("at", "n", "m", "anchor")).alias("marks"))
     # The texts are shuffled once; both uses read the same exchange.
     joined = rows.join(by_row, "row", "left")
-    compared = joined.where(F.exists("kept", lambda p: p["m"] > 1)).select("row", "text", F.filter("kept", lambda p: p["m"] > 1).alias("kept"))
-    pieces = compared.mapInArrow(_bytes_of(length, False), "anchor bigint, row bigint, at int, bytes binary")
+    compared = joined.where(F.exists("marks", lambda p: p["m"] > 1))
+    compared = compared.select("row", "text", F.filter("marks", lambda p: p["m"] > 1).alias("marks"))
+    pieces = compared.mapInArrow(_bytes_of(length, crowded, False), "anchor bigint, row bigint, at int, bytes binary")
     merged = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_merge(length), _RUNS)
-    if first.where(F.col("m") > CROWDED).limit(1).count():
-        strings = compared.mapInArrow(_bytes_of(length, True), "one bigint, two bigint, row bigint, at int")
+    if marks.where(F.col("m") > crowded).limit(1).count():
+        strings = compared.mapInArrow(_bytes_of(length, crowded, True), "one bigint, two bigint, row bigint, at int")
         earliest = strings.groupBy("one", "two").agg(F.min(F.struct("row", "at")).alias("first"))
         merged = merged.unionByName(earliest.select("first.row", "first.at", F.lit(1).alias("n")))
-    again = merged.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("merged"))
-    final = joined.join(again, "row", "left").select("doc_id", "text", "kept", "merged")
+    stay = merged.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("stay"))
+    final = joined.join(stay, "row", "left").select("doc_id", "text", "marks", "stay")
     return final.mapInArrow(
         _finish(length),
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<first:bigint,last:bigint>>, kept_sha256 string",
