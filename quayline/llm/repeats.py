@@ -43,8 +43,9 @@ from quayline.session import configure, staged
 LENGTH = 100
 ANCHOR = 32
 CROWDED = 4_096
-SHARD_BYTES = 1 << 18
-CHUNK_BYTES = 1 << 20
+# Small enough for a core's cache.
+SHARD_BYTES = 1 << 17
+CHUNK_BYTES = 1 << 18
 BUFFER_BITS = 20
 _U = np.uint64
 
@@ -182,37 +183,40 @@ def _pieces(length: int):
     return run
 
 
-def shard_transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def shard_transform(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and Burrows-Wheeler transform of a shard; bytes are one higher, 0 ends each text.
 
-    Ends rank by the order of their texts, before all bytes.
+    Ends rank by the order of their texts, before all bytes. Suffixes that agree
+    in more than ``depth`` characters may come in any order: a merge that looks
+    at ``depth`` characters cannot tell them apart.
     """
     sizes = np.array([len(t) + 1 for t in texts])
-    data = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8).astype(np.int64) + 1
+    data = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8) + np.uint8(1)
     stop = np.cumsum(sizes) - 1
     data[stop] = 0
     n = len(data)
-    # Eight bytes at a time, then doubling; an end is unique, so no comparison runs over it.
-    rank = np.zeros(n, dtype=np.int64)
-    rank[:] = data + len(texts)
-    rank[stop] = np.arange(len(texts))
-    ordered = np.sort(np.unique(rank))
-    rank = np.searchsorted(ordered, rank)
-    step = 1
+    text = np.repeat(np.arange(len(texts)), sizes)
+    left = stop[text] - np.arange(n)  # characters before the end
+    # Seven characters to a number, then doubling.
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(7):
+        key[: n - k] |= np.where(left[: n - k] > k, data[k:].astype(np.int64), 0) << (8 * (6 - k))
+    step = 7
     while True:
-        second = np.zeros(n, dtype=np.int64)
-        if step < n:
-            second[: n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
+        if new[-1] == n - 1 or step > depth and not (left[order][1:][new[1:] == new[:-1]] < step).any():
+            break
         rank = np.empty(n, dtype=np.int64)
         rank[order] = new
+        # Beyond a text's end, its number decides; real continuations rank after all of these.
+        follow = text.copy()
+        far = left >= step
+        follow[far] = rank[np.flatnonzero(far) + step] + len(texts)
+        key = rank * (n + len(texts) + 1) + follow
         step *= 2
-        if new[-1] == n - 1 or step >= n:
-            break
-    before = data[order - 1].astype(np.uint16)
+    before = data[order - 1]
     before[np.isin(order, np.concatenate(([0], stop[:-1] + 1)))] = 0
     return order, before
 
@@ -228,21 +232,26 @@ def merge_transforms(transforms: list[np.ndarray], ends: list[int], depth: int)
     kind = np.uint8 if shards < 256 else np.uint16
     z = np.repeat(np.arange(shards, dtype=kind), [len(b) for b in transforms])
     fixed = np.repeat(np.arange(shards, dtype=kind), ends)
-    joined = np.concatenate(transforms)
     n, stops = len(z), len(fixed)
+    if n >= 1 << 24:
+        raise ValueError("too many characters for one merge")
     lcp = np.full(n, depth, dtype=np.int32)
     head = np.zeros(n, dtype=bool)
     head[0] = True
     lcp[0] = 0
+    symbols = np.empty(n, dtype=np.uint8)
     for h in range(1, depth + 1):
-        symbols = np.empty_like(joined)
-        symbols[np.argsort(z, kind="stable")] = joined
+        for shard, transform in enumerate(transforms):
+            symbols[z == shard] = transform
         order = np.argsort(symbols, kind="stable")
-        block = np.cumsum(head, dtype=np.int32)[order]
-        z, symbols = z[order], symbols[order]
+        # Block and character in one number move together.
+        packed = np.cumsum(head, dtype=np.uint32)
+        packed <<= np.uint32(8)
+        packed |= symbols
+        z, packed = z[order], packed[order]
         new = np.empty(n, dtype=bool)
         new[0] = True
-        new[1:] = (block[1:] != block[:-1]) | (symbols[1:] != symbols[:-1])
+        np.not_equal(packed[1:], packed[:-1], out=new[1:])
         # Ends come first, in the order of their texts, and are all different.
         z[:stops], new[:stops] = fixed, True
         if stops < n:
@@ -268,7 +277,7 @@ def first_starts(texts: list[bytes], rows: np.ndarray, at: np.ndarray, length: i
     arrays, transforms, base, owner, inner = [], [], 0, [], []
     for members in shards:
         own = [texts[i] for i in members]
-        order, bwt = shard_transform(own)
+        order, bwt = shard_transform(own, length)
         arrays.append(order + base)
         transforms.append(bwt)
         sizes = np.array([len(t) + 1 for t in own])
@@ -281,11 +290,47 @@ def first_starts(texts: list[bytes], rows: np.ndarray, at: np.ndarray, length: i
     owner, inner = np.concatenate(owner)[merged], np.concatenate(inner)[merged]
     room = np.array([len(t) for t in texts])[owner] - inner >= length
     interval = np.cumsum(lcp < length)[room]
-    row, place = rows[owner[room]], at[owner[room]] + inner[room]
-    best = np.lexsort((place, row, interval))
-    lead = np.ones(len(best), dtype=bool)
-    lead[1:] = interval[best][1:] != interval[best][:-1]
-    return row[best][lead], place[best][lead]
+    owner, inner = owner[room], inner[room]
+    if not len(owner):
+        return rows[:0], at[:0]
+    # Order of documents and place in one number; members of an interval lie side by side.
+    rank = np.unique(rows, return_inverse=True)[1][owner]
+    place = at[owner] + inner
+    begin = np.flatnonzero(np.concatenate(([True], interval[1:] != interval[:-1])))
+    least = np.minimum.reduceat((rank << 40) | place, begin)
+    return np.unique(rows)[least >> 40], least & ((1 << 40) - 1)
+
+
+def _needed(texts: list[bytes], anchors: np.ndarray, length: int):
+    """Parts of the pieces that can hold a string some other piece has: owner, first start, number of starts.
+
+    A string holds its anchor and 32 bytes more to the right of it, or to the
+    left. Where no other piece agrees in these 64 bytes, the starts on that
+    side are single.
+    """
+    sizes = np.array([len(t) for t in texts])
+    begin = np.cumsum(sizes) - sizes
+    of32, of64 = _hashes(np.frombuffer(b"".join(texts), dtype=np.uint8))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    inner = np.arange(len(owner)) - begin[owner]
+    starts = sizes - length + 1
+    # The anchor is the first place with its hash that lies in the first string.
+    match = np.flatnonzero((of32.view(np.int64) == anchors[owner]) & (inner <= length - ANCHOR) & (inner >= starts[owner] - 1))
+    found, where = np.unique(owner[match], return_index=True)
+    place = inner[match][where]
+    margin = length - 2 * ANCHOR
+    right = place - (starts[found] - 1) <= margin
+    left = place >= ANCHOR
+    agree = np.zeros((2, len(found)), dtype=bool)
+    for side, (has, shift) in enumerate(((right, 0), (left, -ANCHOR))):
+        at = (begin[found] + place + shift)[has]
+        _, back, count = np.unique(of64[at], return_inverse=True, return_counts=True)
+        agree[side, has] = count[back] > 1
+    # Starts up to `place - ANCHOR` see the left side, those from `place - margin` on the right side.
+    low = np.where(agree[1], 0, np.maximum(0, place - margin))
+    high = np.where(agree[0], starts[found], np.minimum(starts[found], place - ANCHOR + 1))
+    some = agree.any(axis=0) & (low < high)
+    return found[some], low[some], (high - low)[some]
 
 
 def _runs(row: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -315,7 +360,21 @@ def _merge(length: int):
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
         rows, at = np.asarray(t.column("row")), np.asarray(t.column("at")).astype(np.int64)
-        return _as_runs(*first_starts(t.column("bytes").to_pylist(), rows, at, length))
+        texts = t.column("bytes").to_pylist()
+        owner, low, n = _needed(texts, np.asarray(t.column("anchor")), length)
+        parts = [texts[i][a : a + c + length - 1] for i, a, c in zip(owner.tolist(), low.tolist(), n.tolist())]
+        row, place = rows[:0], at[:0]
+        if parts:
+            row, place = first_starts(parts, rows[owner], at[owner] + low, length)
+        # What was not compared is single and stays.
+        starts = np.array([len(x) for x in texts]) - length + 1
+        head, tail = starts.copy(), np.zeros(len(texts), dtype=np.int64)
+        head[owner], tail[owner] = low, starts[owner] - low - n
+        count = np.concatenate((head, tail))
+        begin = np.concatenate((at, at + starts - tail))
+        inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        single = np.repeat(begin, count) + inner
+        return _as_runs(np.concatenate((row, np.repeat(np.concatenate((rows, rows)), count))), np.concatenate((place, single)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
