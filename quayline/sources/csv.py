@@ -185,9 +185,14 @@ def _scan(reader, files, options, header, declared, select, fmt, ragged) -> Data
     record, first = column(_RECORD), column(raw_of[wanted[0].name]).cast("string")
     if ragged == "fail":
         fields = ", ".join(f"c{i} string" for i in range(len(header)))
-        text = F.from_csv(record, fields, fmt.dialect())
-        checks = [_complaint(text[f"c{header.index(raw_of[c.name])}"], c) for c in wanted if c.type in _NATIVE]
-        message = F.coalesce(*checks, F.concat(F.lit(f"row does not have {len(header)} fields: "), record))
+
+        def complaint(r):
+            text = F.from_csv(r, fields, fmt.dialect())
+            checks = [_complaint(text[f"c{header.index(raw_of[c.name])}"], c) for c in wanted if c.type in _NATIVE]
+            return F.coalesce(*checks, F.concat(F.lit(f"row does not have {len(header)} fields: "), r))
+
+        # Inside a lambda the many checks stay out of the generated code of the rows that are fine.
+        message = F.get(F.transform(F.array(record), complaint), F.lit(0))
         malformed = record.isNotNull()
     else:
         message = F.concat(F.lit(f"row has more than {len(header)} fields: "), record)
