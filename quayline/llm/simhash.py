@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -105,25 +105,39 @@ def near_duplicates(
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def text_key() -> Column:
+    """A hash of the text that tells null from empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
+
+
+def row_order() -> list[Column]:
+    """What rows of ``doc_id`` and ``text_key`` are chosen by: smallest id, nulls last, then smallest text hash."""
+    return [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_key")]
+
+
+def rows_chosen(docs: DataFrame, chosen: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are chosen by ``row_order``, each once; ``keys`` has the keys of all rows."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"))
+    kept = rows.select("row", *row_order()).join(chosen, ["no_id", "id", "text_key"], "left_semi")
+    # Rows that repeat exactly would all stay; there is a key to look for them without their texts.
+    repeated = keys.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
+    if repeated:
+        kept = kept.dropDuplicates(["no_id", "id", "text_key"])
+    return kept.select("row.*")
+
+
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component: smallest id, nulls last, then smallest text hash."""
     spark = configure(docs.sparkSession)
-    key = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("text_key"), utf8("text").alias("bytes"))
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), utf8("text").alias("bytes"))
     prints = keyed.mapInArrow(_keyed_fingerprints(shingle), "doc_id bigint, text_key bigint, fp bigint")
     prints = staged(spark, prints, "fingerprints")
     labelled = _components(prints, radius)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key")
+    order = F.struct(*row_order())
     first = staged(spark, prints.groupBy("fp").agg(F.min(order).alias("first")).join(labelled, "fp"), "first")
     chosen = first.groupBy("label").agg(F.min("first").alias("first")).select("first.*")
     chosen = staged(spark, chosen.distinct(), "chosen")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), key.alias("text_key"))
-    kept = rows.join(chosen, ["no_id", "id", "text_key"], "left_semi")
-    # Rows that repeat exactly would all stay; there is a key to look for them without their texts.
-    repeated = prints.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
-    if repeated:
-        kept = kept.dropDuplicates(["no_id", "id", "text_key"])
-    return kept.select("row.*")
+    return rows_chosen(docs, chosen, prints)
 
 
 def _keyed_fingerprints(shingle: int):
