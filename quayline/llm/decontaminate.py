@@ -8,7 +8,8 @@ phrases are searched backwards at once by rank pairs, occurrences are located
 from every eighth suffix position, and the words they cover merge into spans.
 
 The phrases of at most ``BLOCK_BYTES`` of benchmark text travel with the tasks; a
-larger benchmark is searched in several such blocks, one after the other.
+larger benchmark is searched in several such blocks, one after the other, each
+over the original texts; the driver holds one block at a time.
 
 Null and empty texts have no words and no hits. An item without words has no
 phrase. Repeated rows are judged each for itself, items that share an id count
@@ -247,15 +248,15 @@ def _search(phrases: Phrases):
     return run
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[Phrases]:
-    """The benchmark's phrases in blocks of bounded size."""
+def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> tuple[int, Iterator[Phrases]]:
+    """The number of blocks of bounded size, and the benchmark's phrases block by block: none is built before it is asked for."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("item"), utf8(text).alias("text")).where("item is not null")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    return [
+    return blocks, (
         Phrases(sorted((r["item"], bytes(r["text"])) for r in rows.where(part == b).collect())) for b in range(blocks)
-    ]
+    )
 
 
 def find_contamination(
@@ -264,40 +265,50 @@ def find_contamination(
     """``(doc_id, n_words, spans, bytes, items)`` per row of ``docs``: hit spans in words and in bytes, sorted item ids."""
     spark = configure(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
-    schema = FOUND.replace("row_id", "doc_id")
-    blocks = benchmark_blocks(benchmark, item_id, item_text)
-    if len(blocks) == 1:
-        return rows.mapInArrow(_search(blocks[0]), schema)
-    # Block after block over the same numbered rows; the spans of all blocks unite at the end.
+    n, blocks = benchmark_blocks(benchmark, item_id, item_text)
+    if n == 1:
+        return rows.mapInArrow(_search(next(blocks)), FOUND.replace("row_id", "doc_id"))
     numbered = staged(spark, rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
-    found = None
+    found = _found(numbered, blocks).join(numbered.select("row_id", "doc_id"), "row_id")
+    return found.select("doc_id", "n_words", "spans", "bytes", "items")
+
+
+def _found(numbered: DataFrame, blocks: Iterator[Phrases]) -> DataFrame:
+    """What all blocks find in the texts of ``numbered(row_id, text)``, one row each.
+
+    Every block searches the texts as they are, and what it finds is written
+    before the next is built; the spans of all blocks unite at the end.
+    """
+    spark = numbered.sparkSession
+    rows, found = numbered.select(F.col("row_id").alias("doc_id"), "text"), None
     for block in blocks:
-        one = numbered.select(F.col("row_id").alias("doc_id"), "text").mapInArrow(_search(block), schema)
-        one = one.withColumnRenamed("doc_id", "row_id")
+        one = rows.mapInArrow(_search(block), FOUND.replace("row_id", "doc_id")).withColumnRenamed("doc_id", "row_id")
+        one = staged(spark, one, "found")
         found = one if found is None else found.unionByName(one)
     joined = found.groupBy("row_id").agg(
         F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.flatten(F.collect_list("bytes")).alias("bytes"),
+        F.flatten(F.collect_list(F.arrays_zip("spans", "bytes"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    united = joined.select("row_id", "n_words", *[_united(c).alias(c) for c in ("spans", "bytes")], "items")
-    return united.join(numbered.select("row_id", "doc_id"), "row_id").drop("row_id")
+    united = joined.withColumn("hits", _united("hits"))
+    return united.select("row_id", "n_words", F.col("hits.spans").alias("spans"), F.col("hits.bytes").alias("bytes"), "items")
 
 
 def _united(column: str):
-    """Overlapping or touching spans of a column merged into one."""
+    """Hits whose words overlap or touch merged into one, with the bytes from the first to the last of these."""
+    span = "struct<first:bigint,last:bigint>"
+    last = "element_at(acc, -1)"
+    merged = ", ".join(
+        f"'{c}', named_struct('first', {last}.{c}.first, 'last', greatest({last}.{c}.last, x.{c}.last))" for c in ("spans", "bytes")
+    )
     return F.expr(
-        f"""aggregate(array_sort({column}), cast(array() as array<struct<first:bigint,last:bigint>>), (acc, x) ->
-            if(size(acc) > 0 and element_at(acc, -1).last >= x.first,
-               concat(slice(acc, 1, size(acc) - 1),
-                      array(named_struct('first', element_at(acc, -1).first,
-                                         'last', greatest(element_at(acc, -1).last, x.last)))),
+        f"""aggregate(array_sort({column}), cast(array() as array<struct<spans:{span},bytes:{span}>>), (acc, x) ->
+            if(size(acc) > 0 and {last}.spans.last >= x.spans.first,
+               concat(slice(acc, 1, size(acc) - 1), array(named_struct({merged}))),
                concat(acc, array(x))))"""
     )
 
 
-
 def digest(found: DataFrame) -> DataFrame:
     """Counts and the digest of the items from the spans found."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["last"] - s["first"])
@@ -316,11 +327,16 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Every other column stays, ``n_chars`` follows the text where there is one.
     """
-    blocks = benchmark_blocks(benchmark)
-    out = docs
-    for block in blocks:
-        out = out.mapInArrow(_cut(block), docs.schema)
-    return out
+    n, blocks = benchmark_blocks(benchmark)
+    if n == 1:
+        return docs.mapInArrow(_cut(next(blocks)), docs.schema)
+    # No block sees what another has cut: all spans are those of the original text.
+    spark = configure(docs.sparkSession)
+    rows = docs.select(F.struct("*").alias("row"), utf8("text").alias("text"), F.monotonically_increasing_id().alias("row_id"))
+    numbered = staged(spark, rows, "numbered")
+    found = _found(numbered, blocks).where("size(spans) > 0").select("row_id", "n_words", "spans", "bytes")
+    joined = numbered.select("row", "row_id").join(found, "row_id", "left")
+    return joined.select("row", "n_words", "spans", "bytes").mapInArrow(_cut_found, docs.schema)
 
 
 def _cut(phrases: Phrases):
@@ -328,24 +344,36 @@ def _cut(phrases: Phrases):
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             counts, spans, _ = search_shard(texts, phrases)
-            new = batch.column("text").to_pylist()
-            keep = []
-            for i, (text, hit) in enumerate(zip(texts, spans)):
-                gone = sum(b - a for a, b in hit)
-                if not hit or gone < counts[i]:
-                    keep.append(i)
-                if hit:
-                    left, at = [], 0
-                    for a, b in byte_spans(text, hit):
-                        left.append(text[at:a])
-                        at = b
-                    new[i] = b"".join([*left, text[at:]]).decode()
-            columns = [
-                pa.array(new, batch.schema.field(c).type) if c == "text"
-                else pa.array([len(t) if t is not None and h else n for t, h, n in zip(new, spans, batch.column(c).to_pylist())], batch.schema.field(c).type) if c == "n_chars"
-                else batch.column(c)
-                for c in batch.schema.names
-            ]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).take(pa.array(keep, pa.int64()))
+            yield _rest(batch, counts, spans, [byte_spans(t, s) if s else [] for t, s in zip(texts, spans)])
 
     return run
+
+
+def _cut_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = lambda c: [[(x["first"], x["last"]) for x in s or ()] for s in batch.column(c).to_pylist()]
+        rows = batch.column("row")
+        names = [rows.type.field(i).name for i in range(rows.type.num_fields)]
+        yield _rest(pa.RecordBatch.from_arrays(rows.flatten(), names), batch.column("n_words").to_pylist(), pairs("spans"), pairs("bytes"))
+
+
+def _rest(batch: pa.RecordBatch, counts: list[int], spans: list[list[tuple[int, int]]], cuts: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """The rows without what is cut from their texts."""
+    new = batch.column("text").to_pylist()
+    keep = []
+    for i, (hit, cut) in enumerate(zip(spans, cuts)):
+        if not hit or sum(b - a for a, b in hit) < counts[i]:
+            keep.append(i)
+        if hit:
+            text, left, at = new[i].encode(), [], 0
+            for a, b in cut:
+                left.append(text[at:a])
+                at = b
+            new[i] = b"".join([*left, text[at:]]).decode()
+    columns = [
+        pa.array(new, batch.schema.field(c).type) if c == "text"
+        else pa.array([len(t) if t is not None and h else n for t, h, n in zip(new, spans, batch.column(c).to_pylist())], batch.schema.field(c).type) if c == "n_chars"
+        else batch.column(c)
+        for c in batch.schema.names
+    ]
+    return pa.RecordBatch.from_arrays(columns, batch.schema.names).take(pa.array(keep, pa.int64()))
