@@ -12,8 +12,9 @@ larger benchmark is searched in several such blocks, one after the other, each
 over the original texts; the driver holds one block at a time.
 
 Null and empty texts have no words and no hits. An item without words has no
-phrase. Repeated rows are judged each for itself, items that share an id count
-once.
+phrase. An item without an id is searched and cut like any other and its words
+count as hit, but it is in no list of items and not in their number. Repeated
+rows are judged each for itself, items that share an id count once.
 """
 
 from __future__ import annotations
@@ -131,13 +132,15 @@ class FMIndex:
 class Phrases:
     """The benchmark's distinct windows as numbered words, by length."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         vocabulary: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
         for item, text in items:
             ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
             for i in range(max(1, len(ids) - window + 1)) if ids else ():
-                owners[tuple(ids[i : i + window])].add(item)
+                named = owners[tuple(ids[i : i + window])]
+                if item is not None:
+                    named.add(item)
         self.vocabulary = vocabulary
         self.alphabet = len(vocabulary) + 1
         by_length = defaultdict(list)
@@ -250,12 +253,12 @@ def _search(phrases: Phrases):
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> tuple[int, Iterator[Phrases]]:
     """The number of blocks of bounded size, and the benchmark's phrases block by block: none is built before it is asked for."""
-    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), utf8(text).alias("text")).where("item is not null")
+    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), utf8(text).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     return blocks, (
-        Phrases(sorted((r["item"], bytes(r["text"])) for r in rows.where(part == b).collect())) for b in range(blocks)
+        Phrases([(r["item"], bytes(r["text"])) for r in rows.where(part == b).collect()]) for b in range(blocks)
     )
 
 

@@ -49,3 +49,15 @@ def test_one_block_is_held_at_a_time(spark, monkeypatch):
     for block in blocks:
         del block
     assert len(most) == n and max(most) <= 2
+
+
+def test_items_without_an_id_are_searched(spark, monkeypatch):
+    known, nameless = words(50, 12), words(51, 12)
+    docs = spark.createDataFrame([(1, f"a {known} b {nameless} c", "en", "s", 0), (2, f"d {nameless} e", "en", "s", 0)], DOCUMENTS)
+    bench = spark.createDataFrame([(7, known), (None, nameless), (None, None)], "item_id bigint, text string")
+    for size in (decontaminate.BLOCK_BYTES, 60):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        found = decontaminate.digest(decontaminate.find_contamination(docs, bench))
+        rows = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in found.collect())
+        assert rows == [(1, 27, 24, 1, True), (2, 14, 12, 0, True)]
+        assert sorted(r.text for r in decontaminate.remove_spans(docs, bench).collect()) == ["a  b  c", "d  e"]
