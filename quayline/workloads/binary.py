@@ -1,5 +1,6 @@
 """Files as bytes over the given tables."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayline.plans import copy_dataset, read_dataset, write_dataset
@@ -132,10 +133,26 @@ def raw_csv_bytes_part(t):
 
 
 def _lines(raw, header):
-    """Lines of chunked text files without their headers; chunks end anywhere, also in a line."""
-    chunks = F.sort_array(F.collect_list(F.struct("chunk_no", F.col("binary_data").alias("data"))))
-    whole = raw.groupBy("path").agg(F.aggregate(chunks, F.lit(b""), lambda acc, c: F.concat(acc, c["data"])).alias("data"))
-    lines = whole.select(F.explode(F.split(F.decode("data", "UTF-8"), "\n")).alias("line"))
+    """Lines of chunked text files without their headers; chunks end anywhere, also in a line or a character.
+
+    Lines within a chunk stay where they are. Only what stands before a chunk's
+    first line break and after its last one meets its neighbours, line by line.
+    """
+    # One character a byte, so that a character cut in two survives.
+    cut = raw.select("path", "chunk_no", F.split(F.decode("binary_data", "ISO-8859-1"), "\n").alias("pieces"))
+    broken = F.size("pieces") > 1
+    inner = cut.select(F.explode(F.slice("pieces", 2, F.greatest(F.size("pieces") - 2, F.lit(0)))).alias("line"))
+    ends = cut.select("path", "chunk_no", broken.alias("broken"), F.element_at("pieces", 1).alias("head"), F.element_at("pieces", -1).alias("tail"))
+    # A line is named by the chunk in which it begins, a file's first line by -1.
+    so_far = W.partitionBy("path").orderBy("chunk_no").rowsBetween(W.unboundedPreceding, -1)
+    begun = F.coalesce(F.max(F.when(F.col("broken"), F.col("chunk_no"))).over(so_far), F.lit(-1))
+    ends = ends.withColumn("begun", begun.cast("bigint"))
+    head = F.struct(F.col("begun"), F.col("head").alias("piece"))
+    tail = F.struct(F.col("chunk_no").cast("bigint").alias("begun"), F.col("tail").alias("piece"))
+    ends = ends.select("path", "chunk_no", F.explode(F.when(F.col("broken"), F.array(head, tail)).otherwise(F.array(head))).alias("end"))
+    pieces = F.sort_array(F.collect_list(F.struct("chunk_no", "end.piece")))
+    joined = ends.groupBy("path", F.col("end.begun").alias("begun")).agg(F.array_join(F.transform(pieces, lambda p: p["piece"]), "").alias("line"))
+    lines = inner.union(joined.select("line")).select(F.decode(F.encode("line", "ISO-8859-1"), "UTF-8").alias("line"))
     return lines.where((F.col("line") != "") & (F.col("line") != header))
 
 
