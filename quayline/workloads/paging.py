@@ -8,7 +8,6 @@ from quayline.operators.filters import range_filter
 from quayline.operators.paging import (
     key_stats,
     key_stats_frame,
-    page_grid,
     page_histogram,
     page_predicate,
     plan_pages,
@@ -136,9 +135,6 @@ def explicit_predicates_part(t):
 
 @query("SELECT (l_orderkey - (SELECT min(l_orderkey) FROM lineitem)) // 2 AS page, count(*) AS row_count FROM lineitem GROUP BY 1")
 def small_step_pages_lineitem(t):
-    # The step given is kept, however many pages it makes.
+    # The step given is kept, however many pages it makes; none of them is listed.
     keys = t["lineitem"].select("l_orderkey")
-    stats = key_stats(keys, "l_orderkey")
-    pages = [p for p in plan_pages(stats, step=2) if not p.null_key]
-    first, width = page_grid(pages)
-    return page_histogram(keys, "l_orderkey", first, width)
+    return page_histogram(keys, "l_orderkey", key_stats(keys, "l_orderkey").minimum, 2)
