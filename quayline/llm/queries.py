@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.llm import decontaminate, language, mixing, pages, quality, repeats, simhash, token_files, topk, url_filter
+from quayline.llm import clusters, decontaminate, hard_negatives, language, mixing, pages, quality, repeats, simhash
+from quayline.llm import token_counts, token_files, topk, url_filter
 from quayline.llm.common import fold, table, utf8
 from quayline.session import scratch_path
 
@@ -105,6 +106,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings")).summary()
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")))
+
+
 def _url_sql() -> str:
     parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     fits = []
@@ -174,5 +192,58 @@ from rows_ join p using (source, lang, topic)"""
     )
 
 
+def _clusters_sql() -> str:
+    """The same rounds of assignment and update, unrolled, over one row per vector and component."""
+    ctes = [
+        f"""kept as materialized (select row_number() over () as r, vec_id, [floor({clusters.SCALE} * x::double)::bigint for x in embedding] as v
+  from embeddings where len(embedding) = {clusters.WIDTH} and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+x as materialized (select r, unnest(range(1, {clusters.WIDTH} + 1)) as i, unnest(v) as x from kept),
+c0 as materialized (select (row_number() over (order by key, v) - 1)::int as c, unnest(range(1, {clusters.WIDTH} + 1)) as i, unnest(v) as m
+  from (select v, sha256('{clusters.SEED}:' || vec_id) as key from kept order by key, v limit {clusters.K}))"""
+    ]
+    for n in range(clusters.ROUNDS + 1):
+        ctes.append(
+            f"""d{n} as materialized (select r, c, sum((x - m) * (x - m))::bigint as d from x join c{n} using (i) group by r, c),
+a{n} as materialized (select r, min_by(c, (d, c)) as c, min(d) as d from d{n} group by r)"""
+        )
+        if n < clusters.ROUNDS:
+            ctes.append(
+                f"""s{n} as materialized (select c, i, sum(x)::bigint as s, count(*) as n from x join a{n} using (r) group by c, i),
+c{n + 1} as materialized (select c, i, coalesce((s - ((s % n) + n) % n) // n, m)::bigint as m from c{n} left join s{n} using (c, i))"""
+            )
+    last = clusters.ROUNDS
+    return (
+        "with " + ",\n".join(ctes) + f""",
+h as (select c, sha256(string_agg(m::varchar, ',' order by i)) as h from c{last} group by c),
+t as (select c, sum(d)::bigint as t from a{last} group by c)
+select vec_id, c as cluster, d as distance, t as cluster_inertia, (select sum(t) from t)::bigint as inertia, h as centroid_sha256
+from a{last} join kept using (r) join h using (c) join t using (c)"""
+    )
+
+
+def _hard_negatives_sql() -> str:
+    """Every anchor against all rows."""
+    scale, every = hard_negatives.SCALE, hard_negatives.EVERY
+    return f"""
+with x as materialized (
+  select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    [floor({scale} * x::double) for x in embedding] as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as materialized (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from x a, x b where a.vec_id % {every} = 0 and a.vec_id <> b.vec_id),
+p as materialized (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {hard_negatives.POSITIVES})
+select anchor_id, positive_id, (row_number() over w)::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and {hard_negatives.LOW} * positive_score <= 100 * score and 100 * score <= {hard_negatives.HIGH} * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= {hard_negatives.NEGATIVES}"""
+
+
 ORACLE_SQL["op9_url_filter"] = _url_sql()
+ORACLE_SQL["op12_clusters"] = _clusters_sql()
+ORACLE_SQL["op13_hard_negatives"] = _hard_negatives_sql()
 ORACLE_SQL["op3_mixing"] = _mixing_sql()
