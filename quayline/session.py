@@ -24,8 +24,8 @@ _SETTINGS = {
     "spark.sql.legacy.javaCharsets": "true",
     # A partition value such as dt=020 has to stay the text '020'.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # Binary chunks are megabytes each: bound Arrow batches by bytes, not rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Texts and binary chunks can be megabytes each: bound Arrow batches by bytes, not rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
 _local_scratch: dict[str, str] = {}
