@@ -328,7 +328,7 @@ def digest(found: DataFrame) -> DataFrame:
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit spans cut out of the texts; documents of which no word is left go.
 
-    Every other column stays, ``n_chars`` follows the text where there is one.
+    Every other column stays, ``n_chars`` follows the text where there is such a column of whole numbers.
     """
     n, blocks = benchmark_blocks(benchmark)
     if n == 1:
@@ -375,7 +375,7 @@ def _rest(batch: pa.RecordBatch, counts: list[int], spans: list[list[tuple[int,
             new[i] = b"".join([*left, text[at:]]).decode()
     columns = [
         pa.array(new, batch.schema.field(c).type) if c == "text"
-        else pa.array([len(t) if t is not None and h else n for t, h, n in zip(new, spans, batch.column(c).to_pylist())], batch.schema.field(c).type) if c == "n_chars"
+        else pa.array([len(t) if t is not None and h else n for t, h, n in zip(new, spans, batch.column(c).to_pylist())], batch.schema.field(c).type) if c == "n_chars" and pa.types.is_integer(batch.schema.field(c).type)
         else batch.column(c)
         for c in batch.schema.names
     ]

@@ -11,6 +11,7 @@ The dictionaries come from a bounded sample: per language the ``DOCS`` labelled
 documents with the smallest hashes of their ids, ``PIECE`` characters of each,
 from a hashed place.
 
+Extra columns are ignored and may have any name. An empty table has no dictionaries and an empty result.
 Null texts and texts without a letter are ``und`` and rejected, with score 0.
 Rows repeat and tie freely; equal sizes go to the alphabetically first
 language. Without any labelled row everything is ``und``.
@@ -32,6 +33,7 @@ from quayline.llm.common import worker_state
 from quayline.session import configure
 
 DOCS = 200
+SHARES = 64
 PIECE = 500
 LEVEL = 6
 BLOCK = 1024
@@ -49,18 +51,21 @@ def letters(text: str) -> bytes:
 def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", docs: int = DOCS, piece: int = PIECE) -> dict[str, bytes]:
     """Raw dictionary content by language; at most ``docs * piece`` bytes each, whatever the corpus size."""
     spark = configure(labelled.sparkSession)
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    names = rows.select(lang).distinct().limit(LANGUAGES + 1).count()
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = rows.where("lang is not null and text is not null")
+    names = rows.select("lang").distinct().limit(LANGUAGES + 1).count()
     if names > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages are labelled")
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("key", "doc_id"))
-    # Ids alone are ranked; the limit is applied in every task before anything is shuffled.
-    keys = rows.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id).cast("string")).alias("key"))
-    keys = keys.where("doc_id is not null").distinct()
-    chosen = keys.withColumn("rank", rank).where(F.col("rank") <= docs).select("doc_id").distinct()
-    start = F.pmod(F.xxhash64(F.col(text)), F.greatest(F.length(text) - piece + 1, F.lit(1))).cast("int") + 1
-    picked = rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "chosen_id")), F.col(doc_id) == F.col("chosen_id"), "left_semi")
-    pieces = picked.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.substring(F.col(text), start, F.lit(piece)).alias("piece"))
+    # Ids alone are ranked, within shares of a language first: no task gets more of one language than the shares' best.
+    keys = rows.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("key")).where("doc_id is not null").distinct()
+    keys = keys.withColumn("share", F.pmod("key", F.lit(SHARES)))
+    for within in (["lang", "share"], ["lang"]):
+        rank = F.row_number().over(W.partitionBy(*within).orderBy("key", "doc_id"))
+        keys = keys.withColumn("rank", rank).where(F.col("rank") <= docs).drop("rank")
+    chosen = keys.select("doc_id").distinct()
+    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - piece + 1, F.lit(1))).cast("int") + 1
+    picked = rows.join(F.broadcast(chosen), "doc_id", "left_semi")
+    pieces = picked.select("lang", "doc_id", F.substring("text", start, F.lit(piece)).alias("piece"))
     # Rows that share an id count once, so that what reaches the driver keeps its bound.
     pieces = pieces.groupBy("lang", "doc_id").agg(F.min("piece").alias("piece"))
     found: dict[str, list[str]] = {}

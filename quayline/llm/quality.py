@@ -264,8 +264,10 @@ def train(
     labelled = labelled.groupBy(F.col(doc_id).cast("bigint").alias("label_id")).agg(F.min(label).alias("label"))
     chosen = staged(spark, labelled.orderBy(F.xxhash64("label_id"), "label_id").limit(sample), "sample")
     # At most ``sample`` pairs of numbers go to every executor.
-    picked = docs.join(F.broadcast(chosen), F.col(doc_id).cast("bigint") == F.col("label_id"), "left_semi")
-    rows = measure(picked, doc_id, text).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    # Other columns of the table, whatever their names, stay out of the join.
+    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    picked = named.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"), "left_semi")
+    rows = measure(picked, "doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
     rows = rows.select("doc_id", "label", *STATISTICS).orderBy(F.xxhash64("doc_id"), *STATISTICS).limit(sample)
     table = rows.toPandas()
     return fit(table[STATISTICS].to_numpy(dtype=np.float64), table["label"].to_numpy(dtype=np.float64))

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Columns whose names the operators use themselves.
-CLASHING = DOCUMENTS + ", topic string, fp string, row string, key string, score double, probability double, label string, weight int"
+CLASHING = DOCUMENTS + ", topic string, fp string, row string, key string, score double, probability double, label string, weight int, chosen_id int, label_id int, rank int, share int, node int, token int, least int, piece string, bytes binary, text_key int, no_id int, id int, row_id int"
 
 
 def words(seed, n, alphabet="abcdefghij"):
@@ -35,7 +35,7 @@ def docs(spark):
 
 @pytest.fixture(scope="session")
 def clashing(spark):
-    return spark.createDataFrame([(*r, *("x",) * 4, 0.5, 0.5, "x", 1) for r in documents()], CLASHING)
+    return spark.createDataFrame([(*r, *("x",) * 4, 0.5, 0.5, "x", *(1,) * 8, "x", b"x", *(1,) * 4) for r in documents()], CLASHING)
 
 
 @pytest.fixture(scope="session")

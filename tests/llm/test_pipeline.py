@@ -3,7 +3,8 @@
 import corpus_pipeline
 from quayline.llm import mixing
 from tests.llm.conftest import documents
-from tests.llm.test_text_operators import check_contamination, plain_components, plain_fingerprint
+from tests.llm.test_near_copies import plain_groups
+from tests.llm.test_text_operators import check_contamination
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def test_stages_keep_what_they_should(spark):
     assert one.columns == columns and docs.count() * 0.97 <= one.count() < docs.count() + 1
     two = corpus_pipeline.drop_near_duplicates(spark, one, SF_DIR)
     rows = one.collect()
-    groups = plain_components([plain_fingerprint(r.text) for r in rows])
+    groups = plain_groups([r.text for r in rows])
     first = {}
     for r, g in zip(rows, groups):
         first[g] = min(first.get(g, r.doc_id), r.doc_id)
@@ -42,8 +43,8 @@ def test_run(spark):
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and len(rows) > 50
 
 
-def test_awkward_documents(spark, docs, no_docs, tmp_path):
-    for df in (docs, no_docs):
+def test_awkward_documents(spark, docs, clashing, no_docs, tmp_path):
+    for df in (docs, clashing, no_docs):
         for name, stage in corpus_pipeline.STAGES:
             df = stage(spark, df, SF_DIR)
             path = f"{tmp_path}/{name}-{df.count()}"
