@@ -2,7 +2,9 @@
 
 from quayline.plans.catalog import DatasetCatalog
 from quayline.plans.publish import check_upload, publish_dataset
+from quayline.plans.splits import read_splits
 from quayline.plans.transfer import (
+    UPLOAD_SLICE_BYTES,
     WriteResult,
     acks_by_file,
     check_source,
@@ -14,6 +16,7 @@ from quayline.plans.transfer import (
 
 __all__ = [
     "DatasetCatalog",
+    "UPLOAD_SLICE_BYTES",
     "WriteResult",
     "acks_by_file",
     "check_source",
@@ -22,5 +25,6 @@ __all__ = [
     "infer_schema",
     "publish_dataset",
     "read_dataset",
+    "read_splits",
     "write_dataset",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from quayline.errors import InvalidParameterError
 from quayline.plans.catalog import DatasetCatalog
-from quayline.plans.transfer import WriteResult, records_per_slice, write_dataset
+from quayline.plans.transfer import WriteResult, write_dataset
 from quayline.refs import UPLOAD_TYPES, DatasetRef, resolve
 from quayline.sources import filesystem
 from quayline.types import as_columns
@@ -30,11 +30,11 @@ def publish_dataset(
     Readers see the dataset only once every file is complete, and nothing is
     renamed, which object stores do slowly. On failure the files and the
     registration are removed and the error is raised again. ``slice_bytes``
-    bounds the size of a table's files.
+    bounds the size of a table's files, which are then moved into place one by one.
     """
     check_upload(ref)
     if slice_bytes and ref.type == "table":
-        options["max_records_per_file"] = records_per_slice(df, slice_bytes, ref)
+        options["slice_bytes"] = slice_bytes
     dataset_id = ref.id or f"dataset_{uuid.uuid4().hex}"
     version = f"{ref.relative_uri}/{uuid.uuid4().hex}"
     target = DatasetRef(

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from quayline.errors import InvalidParameterError, SourceUnavailableError
 from quayline.operators.columns import project
 from quayline.operators.filters import text_filter
-from quayline.operators.paging import row_bytes
 from quayline.refs import FILE_KINDS, ContentType, DatasetRef, FileFormat, SourceRef, StorageKind, resolve
 from quayline.session import configure
 from quayline.sinks.binary import write_binary
@@ -29,6 +28,7 @@ from quayline.sources.orc import read_columnar
 from quayline.sources.warehouse import read_resource, read_table, table_name
 
 BINARY_SCHEMA = T.StructType([T.StructField("binary_data", T.BinaryType(), False)])
+# Fixed value: the slice size of an upload that names no other.
 UPLOAD_SLICE_BYTES = 64 * 1024 * 1024
 
 
@@ -108,11 +108,13 @@ def write_dataset(
     ref: DatasetRef,
     content_type: str = "table",
     partition_spec: str | None = None,
+    slice_bytes: int | None = None,
     **options,
 ) -> WriteResult:
     """Write a dataset, replacing what is there, and report the rows written.
 
-    ``raw`` content takes ``(name, chunk_no, binary_data)`` rows. A frame that
+    ``slice_bytes`` bounds the length of each file of a CSV dataset, and the size in memory of what
+    a columnar file holds: a task opens the next file where a row would not fit. ``raw`` content takes ``(name, chunk_no, binary_data)`` rows. A frame that
     reads from the place it would replace is refused.
     """
     spark = configure(df.sparkSession)
@@ -121,6 +123,10 @@ def write_dataset(
         ref.source.apply(spark)
     if partition_spec and spec.reader != "warehouse":
         raise InvalidParameterError("only warehouse tables have a partition spec")
+    if slice_bytes:
+        if spec.reader not in ("csv", "orc", "parquet"):
+            raise InvalidParameterError("only file datasets of rows are written in slices")
+        options["slice_bytes"] = slice_bytes
     if spec.reader in ("binary", "resource", "csv", "orc", "parquet"):
         _refuse_own_input(df, spec.location)
     if spec.reader in ("binary", "resource"):
@@ -170,7 +176,7 @@ def copy_dataset(
 
     ``partition_spec`` picks the rows of a source partition,
     ``target_partition_spec`` names the partition to replace. ``slice_bytes``
-    bounds the size of each file written, without a shuffle.
+    bounds the size of each file written, without a shuffle; see ``write_dataset``.
     """
     if FileFormat(target.file_format) is FileFormat.BINARY:
         stored = resolve(source, "raw")
@@ -188,9 +194,7 @@ def copy_dataset(
         named = chunks.withColumns({"name": name, "offset": F.col("chunk_no") * FILE_CHUNK})
         return write_dataset(named, target, "raw", offset="offset", **options)
     df = read_dataset(spark, source, columns, partition_spec=partition_spec)
-    if slice_bytes:
-        options["max_records_per_file"] = records_per_slice(df, slice_bytes, target)
-    return write_dataset(df, target, partition_spec=target_partition_spec, **options)
+    return write_dataset(df, target, partition_spec=target_partition_spec, slice_bytes=slice_bytes, **options)
 
 
 def acks_by_file(df: DataFrame) -> DataFrame:
@@ -219,19 +223,3 @@ def check_source(spark: SparkSession, source: SourceRef) -> bool:
         raise SourceUnavailableError(f"{source.uri()} does not exist")
     return True
 
-
-def records_per_slice(df: DataFrame, slice_bytes: int = UPLOAD_SLICE_BYTES, target: DatasetRef | None = None) -> int:
-    """Rows that stay below ``slice_bytes`` together, from the widest of all rows.
-
-    A CSV target is measured by its lines, others by the values in memory, of
-    which columnar files take up less. One row is the least a slice can hold.
-    """
-    room = slice_bytes
-    if target is not None and FileFormat(target.file_format) is FileFormat.CSV:
-        width = F.octet_length("line") + 1
-        rows = render_csv(df, target.csv)
-        room -= sum(len(c.encode()) + 3 for c in df.columns)
-    else:
-        width, rows = row_bytes(df.schema), df
-    widest = rows.agg(F.max(width)).first()[0] or 1
-    return max(1, int(room // max(1, widest)))

@@ -12,6 +12,7 @@ from quayline.operators.columns import column
 from quayline.refs import CsvFormat
 from quayline.session import configure, scratch_path
 from quayline.sinks.binary import merge_files
+from quayline.sinks.slices import write_slices
 from quayline.sources.charset import WIDE
 
 
@@ -62,9 +63,11 @@ def write_csv(
     quoting: str = "minimal",
     single_file: bool = False,
     max_records_per_file: int | None = None,
+    slice_bytes: int | None = None,
 ) -> None:
     """Write a CSV dataset, one file per task.
 
+    ``slice_bytes`` bounds the length of each file, header included; a file holds one row at least.
     ``single_file`` joins these files into one, its bytes still written by many
     tasks where the disk is shared. ``quoting='none'`` refuses values that
     would need quotes instead of quoting them.
@@ -80,6 +83,20 @@ def write_csv(
     elif quoting != "minimal":
         raise InvalidParameterError(f"quoting must be 'minimal' or 'none', not {quoting!r}")
     options = write_options(out, fmt)
+    if slice_bytes:
+        if single_file or max_records_per_file or mode != "overwrite":
+            raise InvalidParameterError("slices are written anew and are neither one file nor bounded by rows")
+        charset = encoding or "UTF-8"
+        line = F.concat(csv_line(out, fmt), F.lit("\n"))
+        room = slice_bytes - (len(header_line(out, fmt).encode(charset)) if fmt.header else 0)
+
+        def write(rows: DataFrame, folder: str, column: str | None) -> None:
+            writer = rows.write.options(**options).option("encoding", charset)
+            (writer.partitionBy(column) if column else writer).csv(folder)
+
+        width = F.octet_length(line) if charset.upper() == "UTF-8" else F.octet_length(F.encode(line, charset))
+        write_slices(out, path, width, max(1, room), write)
+        return
     target = path
     if single_file:
         if mode != "overwrite" or (encoding or "UTF-8").upper().startswith(WIDE):
@@ -123,5 +140,10 @@ def render_csv(df: DataFrame, fmt: CsvFormat | None = None, dates: str = "epoch_
     """Every row as one line of CSV text, in column ``line``."""
     fmt = fmt or CsvFormat()
     out = csv_projection(df, dates)
+    return out.select(csv_line(out, fmt).alias("line"))
+
+
+def csv_line(out: DataFrame, fmt: CsvFormat) -> Column:
+    """A row of CSV values as its line."""
     options = {k: v for k, v in write_options(out, fmt).items() if k != "header"}
-    return out.select(F.to_csv(F.struct(*[column(c) for c in out.columns]), options).alias("line"))
+    return F.to_csv(F.struct(*[column(c) for c in out.columns]), options)

@@ -122,6 +122,24 @@ def _range_reader(chunk_bytes: int, per_range: int, options: dict):
     return read
 
 
+def read_ranges(pieces: DataFrame, chunk_bytes: int, options: dict) -> DataFrame:
+    """The chunks of pieces of files ``(path, start, stop)`` that begin at whole chunks, where the pieces are."""
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                fs, name = open_filesystem(row["path"], options)
+                with fs.open_input_file(name) as stream:
+                    for at in range(row["start"], row["stop"], chunk_bytes):
+                        data = stream.read_at(min(chunk_bytes, row["stop"] - at), at)
+                        columns = [pa.array([row["path"]], pa.string()), pa.array([at // chunk_bytes], pa.int64()), pa.array([data], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, ["path", "chunk_no", "binary_data"])
+
+    return pieces.select("path", "start", "stop").mapInArrow(read, CHUNK_SCHEMA)
+
+
 def arrow_options(spark: SparkSession, path: str) -> dict[str, str] | None:
     """What tasks need to open ``path`` with Arrow; None if Arrow has no such file system."""
     scheme, _, rest = path.partition("://")

@@ -26,6 +26,8 @@ from quayline.functions import (
 from quayline.operators.columns import column, validate_field_map
 from quayline.refs import CsvFormat
 from quayline.session import configure
+from quayline.sources import framing
+from quayline.sources.binary import arrow_options
 from quayline.sources.charset import WIDE, paths_by_charset
 from quayline.types import NESTED, SIGNED_BITS, UNSIGNED_BITS, Column, as_columns, spark_type
 
@@ -111,6 +113,7 @@ def read_csv(
     encoding: str | None = None,
     multiline: bool = False,
     ragged: str = "fail",
+    range_bytes: int = framing.RANGE_BYTES,
 ) -> DataFrame:
     """Scan a CSV dataset.
 
@@ -120,8 +123,9 @@ def read_csv(
     in the format, the bytes are looked at in a pass of their own. ``ragged`` says
     what becomes of rows that do not have as many fields as the header: ``fail``
     stops, ``pad`` fills short ones with NULL and stops at long ones, ``trim``
-    also leaves out what a row has beyond the header. ``multiline`` lets a quoted field hold line breaks; a file is then
-    read by one task, so keep such files moderate in size.
+    also leaves out what a row has beyond the header. ``multiline`` lets a quoted field hold line breaks. Such files,
+    and those of two- or four-byte charsets, are read whole by a task up to ``range_bytes``; longer ones are read
+    in ranges of that size by separate tasks, in two passes over the bytes.
     """
     configure(spark)
     fmt = fmt or CsvFormat()
@@ -133,10 +137,67 @@ def read_csv(
     for charset, files in groups.items():
         options = scan_options(fmt, charset, multiline, ragged)
         header = header_names(spark, files, options)
-        scans.append(_scan(spark.read, files, options, header, as_columns(columns), select, fmt, ragged))
+        if options["multiLine"] == "true" and (found := _ranges(spark, files, charset, fmt, range_bytes)) is not None:
+            scans.append(_scan_ranges(found, options, header, as_columns(columns), select, fmt, ragged, charset))
+        else:
+            scans.append(_scan(spark.read, files, options, header, as_columns(columns), select, fmt, ragged))
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 
+def csv_dialect(fmt: CsvFormat, quoted: bool) -> framing.Dialect:
+    marks = fmt.dialect()
+    return framing.Dialect(marks["sep"], marks["quote"], marks["escape"], quoted)
+
+
+def _ranges(spark: SparkSession, files, charset: str, fmt: CsvFormat, range_bytes: int) -> DataFrame | None:
+    """The ranges of files that are too long for one task; None where they are not, or cannot be read in ranges."""
+    dialect, paths = csv_dialect(fmt, True), [files] if isinstance(files, str) else list(files)
+    if not dialect.fits(charset) or arrow_options(spark, paths[0]) is None:
+        return None
+    listed = framing.listed(spark, paths)
+    if not framing.rangeable(listed, range_bytes):
+        return None
+    return framing.cut_ranges(listed, range_bytes)
+
+
+def scan_ranges(spark: SparkSession, paths, ranges, charset: str, columns, select, fmt: CsvFormat, ragged: str, multiline: bool, partitions) -> DataFrame:
+    """The typed rows of ranges of CSV files, dealt to tasks by ``partitions``."""
+    options = scan_options(fmt, charset, multiline, ragged)
+    quoted = options["multiLine"] == "true"
+    if not csv_dialect(fmt, quoted).fits(charset):
+        raise InvalidParameterError(f"CSV in {charset} with these marks cannot be read in ranges")
+    header = header_names(spark, paths, options)
+    return _scan_ranges(ranges, options, header, as_columns(columns), select, fmt, ragged, charset, quoted, partitions)
+
+
+def _scan_ranges(ranges, options, header, declared, select, fmt, ragged, charset, quoted: bool = True, partitions=None) -> DataFrame:
+    """The typed rows of ranges ``(path, split, start, stop)``; ``partitions`` deals the framed ranges to tasks."""
+    spark = ranges.sparkSession
+    dialect = csv_dialect(fmt, quoted)
+    some = ranges.select("path").first()
+    stores = arrow_options(spark, some["path"]) if some else {}
+    framed = framing.frame(ranges, charset, dialect, stores)
+    records = framing.read_records((partitions or framing.spread)(framed), charset, dialect, stores)
+    parse = {k: v for k, v in options.items() if k not in ("header", "encoding", "enforceSchema", "columnPruning")}
+    # What a record holds is data: its own line breaks are kept, none is looked for.
+    parse.update({"multiLine": "true", "lineSep": "\n"})
+
+    def load(schema: T.StructType, wide: dict) -> DataFrame:
+        rows = records
+        if fmt.header:
+            texts = ", ".join(f"c{i} string" for i in range(len(header)))
+            own = F.from_csv("record", texts, {**parse, **wide, "mode": "PERMISSIVE"})
+            same = F.array(*[own[f"c{i}"] for i in range(len(header))]).eqNullSafe(F.array(*[F.lit(h) for h in header]))
+            message = F.concat(F.lit(f"a file's header is not {', '.join(header)}: "), F.col("record"))
+            rows = rows.where(~F.col("head") | F.when(same, F.lit(False)).otherwise(F.raise_error(message).cast("boolean")))
+        names = [f"c{i}" for i in range(len(header))] + [_RECORD]
+        ddl = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema.fields))
+        row = rows.select(F.from_csv("record", ddl, {**parse, **wide}).alias("row"))
+        return row.select(*[F.col("row")[n].alias(f.name) for n, f in zip(names, schema.fields)])
+
+    return _rows(load, header, declared, select, fmt, ragged)
+
+
 def stream_csv(
     spark: SparkSession,
     path: str,
@@ -163,6 +224,14 @@ def stream_csv(
 
 
 def _scan(reader, files, options, header, declared, select, fmt, ragged) -> DataFrame:
+    def load(schema: T.StructType, wide: dict) -> DataFrame:
+        return reader.options(**options, **wide).schema(schema).csv(files)
+
+    return _rows(load, header, declared, select, fmt, ragged)
+
+
+def _rows(load, header, declared, select, fmt, ragged) -> DataFrame:
+    """The declared columns of what ``load(schema, options)`` parses, checked and converted."""
     views = validate_field_map(header, fmt.field_map)
     raw_of = {view: raw for raw, view in views.items()}
     missing = [c.name for c in declared if c.name not in raw_of]
@@ -181,7 +250,7 @@ def _scan(reader, files, options, header, declared, select, fmt, ragged) -> Data
     schema = T.StructType([T.StructField(h, native.get(h, T.StringType()), True) for h in [*header, _RECORD]])
     # One more than the header, so that a row that is too long is seen as such.
     wide = {"maxColumns": str(len(header) + 1)} if len(header) >= DEFAULT_MAX_COLUMNS else {}
-    df = reader.options(**options, **wide).schema(schema).csv(files)
+    df = load(schema, wide)
     record, first = column(_RECORD), column(raw_of[wanted[0].name]).cast("string")
     if ragged == "fail":
         fields = ", ".join(f"c{i} string" for i in range(len(header)))

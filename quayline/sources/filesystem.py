@@ -42,6 +42,17 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """``(folder, name)`` of the data files anywhere below ``path``, in order; hidden ones are left out."""
+    fs, p = _fs_and_path(spark, path)
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        at = found.next().getPath()
+        if not at.getName().startswith(("_", ".")):
+            out.append((at.getParent().toString(), at.getName()))
+    return sorted(out)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme and authority."""
     fs, p = _fs_and_path(spark, path)

@@ -134,6 +134,45 @@ def csv_multiline_documents(t):
     return rows.select("doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars")
 
 
+#: Ranges of the queries below: small, so that the given tables are many of them.
+RANGE_BYTES = 64 * 1024
+
+
+@query(
+    "SELECT doc_id, md5(text) AS digest, lang, source, n_chars, TRUE AS several_tasks FROM documents"
+)
+def csv_multiline_ranges_documents(t):
+    path = t.path("documents")
+    # One file whose fields hold line breaks, read by many tasks.
+    write_csv(t["documents"], path, single_file=True)
+    rows = read_csv(t.spark, path, t["documents"].schema, encoding="UTF-8", multiline=True, range_bytes=RANGE_BYTES)
+    several = F.lit(rows.rdd.getNumPartitions() > 1)
+    return rows.select("doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars", several.alias("several_tasks"))
+
+
+@query(
+    "SELECT e.encoding, c.conv_id, c.turn, c.role, md5(c.text) AS digest, TRUE AS several_tasks FROM conversations c CROSS JOIN (VALUES "
+    + ", ".join(f"('{e}')" for e in [*_MARKED, "GB18030"])
+    + ") AS e(encoding)"
+)
+def csv_charset_ranges_conversations(t):
+    """One multi-line file in every charset, with its byte order mark where it has one, found and read in ranges."""
+    talks, parts = t["conversations"], []
+    for encoding in [*_MARKED, "GB18030"]:
+        path = t.path("wide")
+        mark = "\ufeff" if encoding in _MARKED else ""
+        # The Chinese column makes sure that GB18030 is told from UTF-8.
+        marked = talks.select(F.col("conv_id").alias(mark + "conv_id"), "turn", "role", "text", F.lit("汉字").alias("mark"))
+        write_csv(marked.coalesce(1), path, encoding=encoding)
+        rows = read_csv(t.spark, path, talks.schema, multiline=True, range_bytes=RANGE_BYTES)
+        several = F.lit(rows.rdd.getNumPartitions() > 1).alias("several_tasks")
+        parts.append(rows.select(F.lit(encoding).alias("encoding"), "conv_id", "turn", "role", F.md5("text").alias("digest"), several))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query(
     """SELECT item_id, md5(text) AS digest FROM benchmark
        UNION ALL SELECT doc_id, md5(text) FROM documents"""

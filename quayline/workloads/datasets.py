@@ -10,12 +10,15 @@ from quayline.plans import (
     copy_dataset,
     publish_dataset,
     read_dataset,
+    read_splits,
     write_dataset,
 )
-from quayline.refs import DatasetRef, SourceRef
+from quayline.plans.splits import even_pieces
+from quayline.refs import CsvFormat, DatasetRef, SourceRef
 from quayline.sinks.csv import write_csv
 from quayline.sinks.orc import write_orc
 from quayline.sinks.warehouse import create_table
+from quayline.sources import framing
 from quayline.sources.csv import stream_csv
 from quayline.sources.orc import read_columnar
 from quayline.streaming.transfer import acknowledged, stream_copy
@@ -229,6 +232,53 @@ def slice_bound_documents(t):
     return sizes.withColumn("row_count", F.lit(read_dataset(t.spark, target).count()).cast("bigint"))
 
 
+@query("SELECT count(*) AS row_count, TRUE AS within_bound, TRUE AS full FROM documents")
+def slice_fill_documents(t):
+    """One row is far wider than the others: it costs its own file, all other files are filled to the bound."""
+    docs = t["documents"].select("doc_id", F.translate("text", "\r\n", "  ").alias("text"))
+    widest = docs.agg(F.max(F.octet_length("text"))).first()[0]
+    # Wider than the bound by itself, a thousand times the mean and more.
+    huge = docs.limit(1).select(F.lit(-1).cast("bigint").alias("doc_id"), F.repeat(F.lit("w"), 64 * widest).alias("text"))
+    rows = docs.unionByName(huge).repartition(8)
+    bound = 32 * widest
+    ref = DatasetRef.of(t.source(), t.relative("slices"), rows.schema)
+    write_dataset(rows, ref, slice_bytes=bound)
+    files = t.spark.read.format("binaryFile").load(t.source().uri(ref.relative_uri)).select("path", "length")
+    task = F.regexp_extract("path", r"part-(\d+)-(\d+)-", 1)
+    number = F.regexp_extract("path", r"part-(\d+)-(\d+)-", 2).cast("int")
+    placed = files.select("length", task.alias("task"), number.alias("number"))
+    ends = placed.groupBy("task").agg(F.max("number").alias("last"))
+    # What is missing in a file is less than the row that did not fit; quoted text is at most twice as long.
+    room = placed.join(ends, "task").where("number < last and length <= " + str(bound)).select(F.lit(bound) - F.col("length") < 2 * widest + 64)
+    before_huge = placed.where(F.col("length") > bound).count()
+    short = room.where(~F.col(room.columns[0])).count()
+    alone = read_dataset(t.spark, ref).where("doc_id >= 0").count()
+    # The file before the huge row may be short, as the row fits into no file.
+    checks = placed.agg((F.count_if(F.col("length") > bound) == 1).alias("within_bound"))
+    return checks.select(F.lit(alone).cast("bigint").alias("row_count"), "within_bound", F.lit(short <= before_huge).alias("full"))
+
+
+@query("SELECT count(*) AS row_count, 7::BIGINT AS splits, TRUE AS even FROM documents")
+def even_splits_documents(t):
+    docs = t["documents"]
+    ref = DatasetRef.of(t.source(), t.relative("documents"), docs.schema, csv=CsvFormat(encoding="UTF-8"))
+    write_dataset(docs.repartition(3), ref)
+    rows = read_splits(t.spark, ref, 7, multiline=True)
+    known = rows.join(docs.withColumnRenamed("text", "known"), "doc_id", "left").where("text = known or coalesce(known, '') = ''")
+    files = framing.listed(t.spark, t.source().uri(ref.relative_uri))
+    sizes = even_pieces(files, 7).groupBy("split").agg(F.sum(F.col("stop") - F.col("start")).alias("bytes"))
+    even = sizes.agg((F.max("bytes") - F.min("bytes") <= 1).alias("even"))
+    splits = F.lit(rows.rdd.getNumPartitions()).cast("bigint").alias("splits")
+    return even.select(F.lit(known.count()).cast("bigint").alias("row_count"), splits, "even")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def even_splits_orders(t):
+    ref = DatasetRef.of(t.source(), t.relative("orders"), t["orders"].schema)
+    write_dataset(t["orders"], ref)
+    return read_splits(t.spark, ref, 5, ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
 @query("SELECT least(100, count(*)) AS row_count, least(100, count(*)) AS found FROM lineitem")
 def limited_read_lineitem(t):
     keys = ["l_orderkey", "l_partkey", "l_suppkey"]
