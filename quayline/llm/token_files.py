@@ -17,7 +17,9 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -32,47 +34,83 @@ from quayline.sources.binary import arrow_options, open_filesystem
 
 END_ID = 2
 BATCH = 512
-CACHED = 400_000
+# Words kept by each of the cache's two generations, the longest of them, and characters encoded at a time.
+CACHED, LONGEST, TOGETHER = 400_000, 64, 1 << 20
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint, width int"
 # No pre-token of a byte-level BPE crosses these cuts: before white space, and between a letter and ASCII punctuation.
 _WS = r"[ \t\n\r\x0b\x0c]"
 _WORD = re.compile(
-    rf"{_WS}*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[!-&(-/:-@\[-`{{-~])|{_WS}*[^ \t\n\r\x0b\x0c]+|{_WS}+"
+    rf"{_WS}*+(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?=[!-&(-/:-@\[-`{{-~])|[^ \t\n\r\x0b\x0c]++)|{_WS}++"
 )
 # Other white space makes cuts ambiguous, as does a special token's text; such texts are encoded whole.
 _WHOLE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]|<\|")
 
 
+def _ambiguous(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _WHOLE.search(text) is not None
+
+
 class Encoder:
-    """Token ids of texts as packed bytes, with a bounded cache of words already encoded."""
+    """Token ids of texts as packed bytes, with a bounded cache of words already encoded.
+
+    Words not seen yet are encoded together for many texts. The cache has two generations:
+    words met again while the younger one fills up are taken over into it.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = {2: "H", 4: "I"}[self.kind.itemsize]
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         pre = type(self.tokenizer.pre_tokenizer).__name__
         self.by_word = pre == "ByteLevel" and self.tokenizer.normalizer is None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word or _WHOLE.search(text):
-            return self._encode([text])[0]
-        words = _WORD.findall(text)
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            if len(self.cache) > CACHED:
-                self.cache.clear()
-            new = [w for w in set(words) if w not in self.cache]
-            self.cache.update(zip(new, self._encode(new)))
-            return b"".join(map(self.cache.__getitem__, words))
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _learn(self, split: list[list[str]]) -> set[str]:
+        """Have the words of all texts in the cache; returns those that were not."""
+        unseen = set(chain.from_iterable(filterfalse(self.cache.__contains__, words) for words in split))
+        if len(self.cache) + len(unseen) > CACHED:
+            self.old, self.cache = self.cache, {}
+            unseen = set(chain.from_iterable(split))
+        new = []
+        for word in unseen:
+            found = self.old.get(word)
+            if found is None:
+                new.append(word)
+            else:
+                self.cache[word] = found
+        self.cache.update(zip(new, self._encode(new)))
+        return unseen
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        split = [None if _ambiguous(t) else _WORD.findall(t) for t in texts]
+        unseen = self._learn([words for words in split if words])
+        for text, words in zip(texts, split):
+            yield self._encode([text])[0] if words is None else b"".join(map(self.cache.__getitem__, words))
+        for word in unseen:
+            if len(word) > LONGEST:
+                del self.cache[word]
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
+        if not self.by_word:
+            yield from (self._encode([t])[0] if t else b"" for t in texts)
+            return
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
 
 
 def _writer(vocabulary: str, folder: str, options: dict, end_id: int):
@@ -92,8 +130,8 @@ def _writer(vocabulary: str, folder: str, options: dict, end_id: int):
             if not batch.num_rows:
                 continue
             out = out or fs.open_output_stream(f"{root}/{name}.bin")
-            for text in batch.column("text"):
-                data = encoder(text.as_py() or "") + end
+            for ids_of in encoder(text.as_py() for text in batch.column("text")):
+                data = ids_of + end
                 sizes.append(len(data) // encoder.kind.itemsize)
                 out.write(data)
             column = batch.column("doc_id")

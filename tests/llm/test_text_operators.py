@@ -206,7 +206,10 @@ def test_spans_are_cut_out(spark):
     phrase = words(1, 15)
     rows = [(1, f"Before: {phrase}! After.", "en", "s", 0), (2, phrase, "en", "s", 0), (3, None, None, None, None), (4, "clean", "en", "s", 5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    kept = decontaminate.remove_spans(df, spark.createDataFrame([(1, phrase)], "item_id bigint, text string"))
+    items = spark.createDataFrame([(1, phrase)], "item_id bigint, text string")
+    named = df.withColumn("n_chars", queries.F.lit("many"))
+    assert {r.n_chars for r in decontaminate.remove_spans(named, items).collect()} == {"many"}
+    kept = decontaminate.remove_spans(df, items)
     assert sorted(map(tuple, kept.collect())) == [(1, "Before: ! After.", "en", "s", 16), (3, None, None, None, None), (4, "clean", "en", "s", 5)]
 
 
@@ -249,13 +252,20 @@ def test_token_files_round_trip(spark, docs, clashing, no_docs):
     assert token_files.read_tokens(spark, manifest).count() == 0
 
 
-def test_word_cache_equals_whole_texts():
+def test_word_cache_equals_whole_texts(monkeypatch):
     with open(VOCABULARY, encoding="utf-8") as f:
         encoder = token_files.Encoder(f.read())
     tokenizer = Tokenizer.from_file(VOCABULARY)
     texts = ["a  b", "a\n\n b ", " it's  don't!", "x\u00a0 y  z", "\x1c! \x1c", "<|endoftext|> a<|endoftext|>", "naïve,«x».", "１２a3", "tab\t\tb", "a_b-c", "“q”. 'll", "\u2003 a", "é.è"]
-    for t in texts:
-        assert np.frombuffer(encoder(t), dtype=encoder.kind).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    texts += ["", "x" * 100 + " " + "x" * 100] + [f"w{i % 7} v{i}" for i in range(40)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, dtype=encoder.kind).tolist() for b in encoder(texts)] == want
+    assert not any(len(w) > token_files.LONGEST for w in encoder.cache)
+    # Small generations and batches: words come and go.
+    monkeypatch.setattr(token_files, "CACHED", 9)
+    monkeypatch.setattr(token_files, "TOGETHER", 12)
+    assert [np.frombuffer(b, dtype=encoder.kind).tolist() for b in encoder(iter(texts * 2))] == want * 2
+    assert len(encoder.cache) <= 20 and encoder.old
 
 
 # Language
@@ -273,6 +283,7 @@ def test_language_on_held_out_rows(spark):
 def test_language_of_awkward_rows(docs, clashing, no_docs):
     dictionaries = language.train(docs)
     assert set(dictionaries) == {"en", "de", "fr"}
+    assert language.train(clashing) == dictionaries
     for df in (docs, clashing):
         found = language.identify(df, dictionaries).collect()
         assert len(found) == len(documents())
@@ -310,9 +321,11 @@ def test_rules_compile_to_columns(spark, docs, clashing, no_docs):
     assert quality.score(no_docs, model).count() == 0
 
 
-def test_quality_without_both_classes(spark, docs):
+def test_quality_without_both_classes(spark, docs, clashing):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, None), (None, 0)], "doc_id bigint, quality int")
     model = quality.train(docs, labels)
+    again = quality.train(clashing, labels.withColumn("text", labels.quality))
+    assert (again.bias, again.rules) == (model.bias, model.rules)
     assert not model.rules and 0.5 < float(model.predict(np.zeros((1, len(quality.STATISTICS))))[0]) < 1
     assert quality.train(docs, labels.where("false")).predict(np.zeros((1, 1)))[0] == 0.5
 
