@@ -43,12 +43,14 @@ CACHED, LONGEST = 400_000, 64
 
 # Characters with the Unicode property White_Space.
 _ASCII_WHITE, _OTHER_WHITE = r" \t\n\r\x0b\x0c", r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# The byte-level rule for ASCII; other words are cut by the tokenizer's own.
-_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+# The byte-level rule for ASCII and Latin letters; words with other characters are cut by the tokenizer's own.
+_LATIN = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+", re.ASCII)
+_PLAIN = re.compile(rf"[\x00-\x7f{_LATIN}]*")
 _LONG_ENDING = ("'re", "'ve", "'ll")
 _RUN = re.compile(f"[{_ASCII_WHITE}{_OTHER_WHITE}]+")
 # No piece crosses a cut before ASCII white space, nor one between an ASCII letter and ASCII punctuation.
-_WORD = re.compile(rf"[{_ASCII_WHITE}]*(?:[A-Za-z]+(?=[!-&(-/:-@\[-`{{-~])|[^{_ASCII_WHITE}]+)|[{_ASCII_WHITE}]+")
+_WORD = re.compile(rf"[{_ASCII_WHITE}]*+(?:[A-Za-z]++(?=[!-&(-/:-@\[-`{{-~])|[^{_ASCII_WHITE}]++)|[{_ASCII_WHITE}]++")
 # With other white space beside it such a cut may fall into a run: these texts are one word.
 _WHOLE = re.compile(f"[{_OTHER_WHITE}]")
 
@@ -63,25 +65,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class _Words(dict):
-    """Token counts of words; the generation before the last is dropped when a new one starts."""
+class _Counts(dict):
+    """Token counts of words or pieces; the generation before the last is dropped when a new one starts."""
 
     def __init__(self, count):
         super().__init__()
         self.count, self.old = count, {}
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, text: str) -> int:
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
-        found = self.old.get(word)
+        found = self.old.get(text)
         if found is None:
-            found = self.count(word)
-        if len(word) <= LONGEST:
-            self[word] = found
+            found = self.count(text)
+        if len(text) <= LONGEST:
+            self[text] = found
         return found
 
 
+def _bytes(text: str) -> str:
+    """A character for each byte of the text."""
+    return text if text.isascii() else text.encode().decode("latin-1")
+
+
 class PrefixCounter:
     """Token counts by the merges of a byte-level BPE file."""
 
@@ -102,8 +109,10 @@ class PrefixCounter:
         self.special = re.compile("|".join(map(re.escape, strings))) if strings else None
         self.cut = Tokenizer.from_str(vocabulary).pre_tokenizer.pre_tokenize_str
         self._read(model)
-        self.fits: dict[int, bool] = {}
-        self.words = _Words(lambda word: self.prefixes_of_word(word)[-1])
+        #: For each token the ones that may follow it or not, as far as known.
+        self.fits: dict[int, dict[int, bool]] = {}
+        self.known = 0
+        self.words, self.pieces = _Counts(self._word), _Counts(lambda piece: self.prefixes_of_piece(_bytes(piece))[-1])
 
     def _read(self, model: dict) -> None:
         ids, letters = model["vocab"], byte_letters()
@@ -144,23 +153,31 @@ class PrefixCounter:
             else:
                 gone_two, two = built[two], self.left[two]
 
+    def _follows(self, one: int, two: int, row: dict[int, bool]) -> bool:
+        if self.known >= 4 * CACHED:
+            for other in self.fits.values():
+                other.clear()
+            self.known = 0
+        self.known += 1
+        row[two] = fit = self.stay_apart(one, two)
+        return fit
+
     def prefixes_of_piece(self, piece: str) -> list[int]:
         """Token counts at every byte of one piece, given with a character for each byte; the first is 0."""
-        last, counts = [0] * (len(piece) + 1), [0] * (len(piece) + 1)
-        fits, size = self.fits, self.size
+        last, counts, rows = [0] * (len(piece) + 1), [0] * (len(piece) + 1), [None] * (len(piece) + 1)
+        fits = self.fits
         for end, (length, token) in self.tokens.iter(piece):
             end += 1
             if counts[end]:
                 continue
             start = end - length
             if start:
-                before = last[start]
-                key = before * size + token
-                fit = fits.get(key)
+                row = rows[start]
+                if row is None:
+                    row = rows[start] = fits.setdefault(last[start], {})
+                fit = row.get(token)
                 if fit is None:
-                    if len(fits) >= 4 * CACHED:
-                        fits.clear()
-                    fit = fits[key] = self.stay_apart(before, token)
+                    fit = self._follows(last[start], token, row)
                 if not fit:
                     continue
             last[end], counts[end] = token, counts[start] + 1
@@ -170,17 +187,19 @@ class PrefixCounter:
         """Token counts after every character of one piece."""
         if text.isascii():
             return self.prefixes_of_piece(text)[1:]
-        raw = text.encode("utf-8", "surrogatepass")
-        at = self.prefixes_of_piece(raw.decode("latin-1"))
+        raw = text.encode()
+        at = self.prefixes_of_piece(_bytes(text))
         # A character ends where the next one begins.
         return [at[i] for i in range(1, len(raw)) if raw[i] & 0xC0 != 0x80] + [at[-1]]
 
+    def _word(self, word: str) -> int:
+        """The tokens of a text without special strings."""
+        pieces = _PIECE.findall(word) if _PLAIN.fullmatch(word) else [word[a:b] for _, (a, b) in self.cut(word)]
+        return sum(map(self.pieces.__getitem__, pieces))
+
     def prefixes_of_word(self, word: str) -> list[int]:
         """Token counts after every character of a text without special strings."""
-        if word.isascii():
-            spans = [m.span() for m in _PIECE.finditer(word)]
-        else:
-            spans = [span for _, span in self.cut(word)]
+        spans = [m.span() for m in _PIECE.finditer(word)] if _PLAIN.fullmatch(word) else [span for _, span in self.cut(word)]
         out: list[int] = []
         base = run_end = 0
         for start, end in spans:

@@ -56,7 +56,7 @@ def test_each_token_is_its_own_encoding(counter, tokenizer):
 
 def test_words_are_kept_in_two_generations(counter, monkeypatch):
     monkeypatch.setattr(token_counts, "CACHED", 5)
-    words = token_counts._Words(counter.words.count)
+    words = token_counts._Counts(counter.words.count)
     texts = [f" w{i % 13}" for i in range(100)]
     assert [words[t] for t in texts] == [counter.words[t] for t in texts] and len(words) <= 5 and len(words.old) <= 5
 
