@@ -29,15 +29,18 @@ def fold(column: str, folds: int) -> Column:
 
 
 def worker_state(key: str, make: Callable):
-    """An object kept for the life of a Python worker process.
+    """An object kept in a Python worker process until another one is asked for.
 
     Task functions travel by value, so their module globals start afresh in
-    every task; tokenizers and caches should not.
+    every task; tokenizers and caches should not. What an earlier operator has
+    left in the worker goes, so that a pipeline needs no more than its largest stage.
     """
     holder = sys.modules.setdefault("quayline_worker_state", types.ModuleType("quayline_worker_state"))
-    if not hasattr(holder, key):
-        setattr(holder, key, make())
-    return getattr(holder, key)
+    if getattr(holder, "key", None) != key:
+        holder.key = holder.value = None
+        holder.value = make()
+        holder.key = key
+    return holder.value
 
 
 def tasks_for(spark: SparkSession) -> int:
