@@ -433,8 +433,9 @@ def frame(ranges: DataFrame, encoding: str, dialect: Dialect, options: dict) ->
 def spread(ranges: DataFrame) -> DataFrame:
     """Ranges dealt to tasks: rows of a few bytes that stand for megabytes."""
     spark = ranges.sparkSession
-    n = max(1, ranges.count())
-    return ranges.repartition(min(n, max(spark.sparkContext.defaultParallelism, math.ceil(n / 2))), "path", "start")
+    held = ranges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("stop") - F.col("start")).alias("bytes")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil((held["bytes"] or 0) / (2 * RANGE_BYTES)))
+    return ranges.repartition(max(1, min(held["n"], tasks)), "path", "start")
 
 
 def read_records(framed: DataFrame, encoding: str, dialect: Dialect, options: dict) -> DataFrame:

@@ -16,6 +16,8 @@ from quayline.operators.paging import (
     split_hot_pages,
     with_page,
 )
+from quayline.operators.weighted import weighted_pages, with_weighted_page
+from quayline.session import staged
 from quayline.workloads.registry import query
 
 _ORDER_WIDTH = "8 + 8 + strlen(o_orderstatus) + 8 + 8 + strlen(o_orderpriority)"
@@ -138,3 +140,24 @@ def small_step_pages_lineitem(t):
     # The step given is kept, however many pages it makes; none of them is listed.
     keys = t["lineitem"].select("l_orderkey")
     return page_histogram(keys, "l_orderkey", key_stats(keys, "l_orderkey").minimum, 2)
+
+
+_SKEWED = "l_orderkey * l_orderkey * l_orderkey"
+_LINE_WIDTH = "3 * 8 + 4 + 4 * 8 + strlen(l_returnflag) + strlen(l_linestatus) + 8 + 8"
+
+
+@query(
+    f"""WITH keys AS (SELECT {_SKEWED} AS k, count(*) AS n, sum({_LINE_WIDTH})::BIGINT AS w FROM lineitem GROUP BY 1),
+            placed AS (SELECT k, n, w, (sum(w) OVER (ORDER BY k) - w)::BIGINT // {64 * 1024} AS cell FROM keys),
+            cells AS (SELECT cell, min(k) AS lower_key, sum(n)::BIGINT AS row_count, sum(w)::BIGINT AS weight FROM placed GROUP BY cell)
+        SELECT row_number() OVER (ORDER BY cell) - 1 AS page, lower_key, lead(lower_key) OVER (ORDER BY cell) AS upper_key,
+               row_count, weight, row_count AS found, weight < {2 * 64 * 1024} AS within_twice FROM cells"""
+)
+def weighted_pages_lineitem(t):
+    """A key whose values grow by the cube: pages of equal key distance would hold from none to most of the rows."""
+    skewed = t["lineitem"].withColumn("k", F.expr(_SKEWED))
+    pages = staged(t.spark, weighted_pages(skewed, "k", 64 * 1024), "pages")
+    found = with_weighted_page(skewed.select("k"), "k", pages).groupBy("page").agg(F.count(F.lit(1)).alias("found"))
+    within = (F.col("weight") < 2 * 64 * 1024).alias("within_twice")
+    named = [F.col("lower").alias("lower_key"), F.col("upper").alias("upper_key"), F.col("rows").alias("row_count")]
+    return pages.join(found, "page").select("page", *named, "weight", "found", within)
