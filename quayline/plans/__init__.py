@@ -2,6 +2,7 @@
 
 from quayline.plans.catalog import DatasetCatalog
 from quayline.plans.publish import check_upload, publish_dataset
+from quayline.plans.registry_log import RegistryLog
 from quayline.plans.splits import read_splits
 from quayline.plans.transfer import (
     UPLOAD_SLICE_BYTES,
@@ -16,6 +17,7 @@ from quayline.plans.transfer import (
 
 __all__ = [
     "DatasetCatalog",
+    "RegistryLog",
     "UPLOAD_SLICE_BYTES",
     "WriteResult",
     "acks_by_file",

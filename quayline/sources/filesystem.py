@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,6 +43,37 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, or not at all if there is one of that name; tells which.
+
+    The text is written beside and then takes its name, which fails where the name is taken: by a
+    hard link on local disks, by a rename on file systems whose renames refuse existing targets.
+    """
+    fs, target = _fs_and_path(spark, path)
+    fs.mkdirs(target.getParent())
+    beside = f"{target.getParent()}/.{target.getName()}.{uuid.uuid4().hex}"
+    _, source = _fs_and_path(spark, beside)
+    stream = fs.create(source, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if target.toUri().getScheme() in (None, "file"):
+            place = spark._jvm.java.nio.file.Paths.get
+            empty = spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 0)
+            try:
+                spark._jvm.java.nio.file.Files.createLink(place(target.toUri().getPath(), empty), place(source.toUri().getPath(), empty))
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" in str(e.java_exception):
+                    return False
+                raise
+            return True
+        return not fs.exists(target) and fs.rename(source, target)
+    finally:
+        fs.delete(source, False)
+
+
 def files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """``(folder, name)`` of the data files anywhere below ``path``, in order; hidden ones are left out."""
     fs, p = _fs_and_path(spark, path)

@@ -1,11 +1,13 @@
 """Whole-dataset operations over the given tables."""
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from quayline.plans import (
     DatasetCatalog,
+    RegistryLog,
     acks_by_file,
     copy_dataset,
     publish_dataset,
@@ -279,6 +281,34 @@ def even_splits_orders(t):
     return read_splits(t.spark, ref, 5, ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice, o_orderstatus AS dataset_id, 2::BIGINT AS version FROM orders WHERE o_orderstatus <> 'P'
+       UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus, 1::BIGINT FROM orders WHERE o_orderstatus = 'P'"""
+)
+def registry_by_source_orders(t):
+    """A dataset for each order status in one of two sources; all that a source has are found by its id and read."""
+    log = RegistryLog(t.spark, t.path("registry"))
+    root = t.source()
+    for source in ("open", "done"):
+        log.create_source(SourceRef("localfs", id=source, path=f"{root.path}/{t.relative(source)}"))
+    rows = t["orders"].select("o_orderkey", "o_totalprice")
+    for (status,) in t["orders"].select("o_orderstatus").distinct().collect():
+        ref = DatasetRef.of(log.source("open" if status == "P" else "done"), f"orders_{status}", rows.schema, file_format="orc", id=status)
+        write_dataset(t["orders"].where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice"), ref)
+        log.create_dataset(ref)
+    for ref in log.datasets_of("done"):
+        log.update_dataset(replace(ref, name=f"orders of status {ref.id}"), known=1)
+    parts = []
+    for source in ("open", "done"):
+        known = log.datasets(source).select(F.col("id").alias("dataset_id"), "version")
+        for ref in log.datasets_of(source):
+            parts.append(read_dataset(t.spark, ref).withColumn("dataset_id", F.lit(ref.id)).join(F.broadcast(known), "dataset_id"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query("SELECT least(100, count(*)) AS row_count, least(100, count(*)) AS found FROM lineitem")
 def limited_read_lineitem(t):
     keys = ["l_orderkey", "l_partkey", "l_suppkey"]
