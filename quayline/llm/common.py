@@ -37,12 +37,28 @@ def worker_state(key: str, make: Callable):
     """
     holder = sys.modules.setdefault("quayline_worker_state", types.ModuleType("quayline_worker_state"))
     if getattr(holder, "key", None) != key:
-        holder.key = holder.value = None
+        if getattr(holder, "key", None) is not None:
+            holder.key = holder.value = None
+            give_back()
         holder.value = make()
         holder.key = key
     return holder.value
 
 
+def give_back() -> None:
+    """Hand memory that is free but still held by the allocators back to the machine, where they can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tasks_for(spark: SparkSession) -> int:
     """The number of partitions for a shuffle whose count has to be named."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
