@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.session import configure
 
+#: Bytes of an Arrow batch where batches are small.
+BATCH_BYTES = 2 << 20
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -45,6 +48,18 @@ def worker_state(key: str, make: Callable):
     return holder.value
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """For work that takes several times the room of its texts in a worker: texts come in smaller batches meanwhile."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, usual)
+
+
 def give_back() -> None:
     """Hand memory that is free but still held by the allocators back to the machine, where they can."""
     import ctypes

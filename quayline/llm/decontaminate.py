@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayline.llm.common import utf8
+from quayline.llm.common import give_back, utf8
 from quayline.session import configure, staged
 
 WINDOW = 10
@@ -348,6 +348,8 @@ def _cut(phrases: Phrases):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             counts, spans, _ = search_shard(texts, phrases)
             yield _rest(batch, counts, spans, [byte_spans(t, s) if s else [] for t, s in zip(texts, spans)])
+        batch = texts = counts = spans = None
+        give_back()
 
     return run
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quayline.llm.common import worker_state
+from quayline.llm.common import give_back, worker_state
 from quayline.session import configure
 
 DOCS = 200
@@ -143,6 +143,8 @@ def _keep(dictionaries: dict[str, bytes], level: int, margin: float):
             found = [identify(t.as_py()) for t in batch.column("text")]
             stays = [i for i, f in enumerate(found) if f[0] != UNDETERMINED and f[1] >= margin]
             yield batch.take(pa.array(stays, pa.int64()))
+        batch = found = stays = None
+        give_back()
 
     return run
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quayline.llm.common import tasks_for, worker_state
+from quayline.llm.common import small_batches, tasks_for, worker_state
 from quayline.session import configure, scratch_path, staged
 from quayline.sources import filesystem
 from quayline.sources.binary import arrow_options, open_filesystem
@@ -173,7 +173,8 @@ def write_tokens(
         "doc_id", F.xxhash64("text"), "text"
     )
     run = _writer(vocabulary, folder, arrow_options(spark, folder), end_id)
-    written = staged(spark, rows.mapInArrow(run, MANIFEST), "manifest")
+    with small_batches(spark):
+        written = staged(spark, rows.mapInArrow(run, MANIFEST), "manifest")
     # One row per partition, so a single window over all of them stays small.
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     bases = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(b) for c, b in (("n_docs", "base_doc"), ("n_tokens", "base_token"))]
