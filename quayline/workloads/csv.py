@@ -164,7 +164,7 @@ def csv_charset_ranges_conversations(t):
         # The Chinese column makes sure that GB18030 is told from UTF-8.
         marked = talks.select(F.col("conv_id").alias(mark + "conv_id"), "turn", "role", "text", F.lit("汉字").alias("mark"))
         write_csv(marked.coalesce(1), path, encoding=encoding)
-        rows = read_csv(t.spark, path, talks.schema, multiline=True, range_bytes=RANGE_BYTES)
+        rows = read_csv(t.spark, path, talks.schema, multiline=True, range_bytes=RANGE_BYTES // 16)
         several = F.lit(rows.rdd.getNumPartitions() > 1).alias("several_tasks")
         parts.append(rows.select(F.lit(encoding).alias("encoding"), "conv_id", "turn", "role", F.md5("text").alias("digest"), several))
     out = parts[0]
