@@ -8,9 +8,8 @@ common subsequence with the partner whose path shares the longer prefix is what
 the site puts on every page, and shared lines are deleted. If nothing is left so,
 the other partner decides; a page that is part of both is kept as it is.
 
-In an ``article`` or ``main`` element a shared line goes only if both partners
-have it and neither shares more than ``SAME`` of the element's text: one article
-under several URLs and a passage that two articles quote are no template.
+Lines in an ``article`` or ``main`` element stay whatever the partners have: one
+article under several URLs and a passage that articles quote are no template.
 
 Navigation, adverts, forms, comments and the like differ from page to page, so no
 pair of pages shows them: lines in elements of that kind go in any case, and
@@ -76,8 +75,6 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[-_\d]+|(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-# A partner that shares more of an article's characters carries the same article.
-SAME = 0.5
 # Bytes of html in a range; small tables are not cut into ranges of fewer pages than RANGE_PAGES.
 RANGE_BYTES = 128 << 20
 RANGE_PAGES = 500
@@ -195,14 +192,10 @@ def main_text(page: dict, partners: list[dict]) -> str:
     """The page's lines outside of named zones, without those that its partners show to be the site's."""
     lines = page["lines"]
     own = [t for t, _ in lines]
-    article = [i for i, (_, zone) in enumerate(lines) if zone == ARTICLE]
     near = sorted((p for p in partners if p["host"] == page["host"]), key=lambda p: -_prefix(p["path"], page["path"]))
-    shared = [common_lines(own, [t for t, _ in p["lines"]]) for p in near]
-    size = sum(len(own[i]) for i in article)
-    alike = [sum(len(own[i]) for i in article if i in s) > SAME * size for s in shared]
-    template = set(article).intersection(*shared) if len(near) == 2 and not any(alike) else set()
-    for one in shared:
-        rest = [t for i, (t, zone) in enumerate(lines) if i not in (template if zone == ARTICLE else one)]
+    for partner in near:
+        shared = common_lines(own, [t for t, _ in partner["lines"]])
+        rest = [t for i, (t, zone) in enumerate(lines) if zone == ARTICLE or i not in shared]
         if rest:
             return " ".join(rest)
     return " ".join(own)

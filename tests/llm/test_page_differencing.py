@@ -43,11 +43,7 @@ def plain_texts(rows):
         own = [t for t, _ in lines[i]]
         shared = [plain_common(own, [t for t, _ in lines[j]]) for j in partners]
         article = {k for k, (_, z) in enumerate(lines[i]) if z == "a"}
-        size = sum(len(own[k]) for k in article)
-        gone = set()
-        if len(shared) == 2 and all(2 * sum(len(own[k]) for k in article & s) <= size for s in shared):
-            gone = article & shared[0] & shared[1]
-        left = [[t for k, t in enumerate(own) if k not in gone and (k in article or k not in s)] for s in shared]
+        left = [[t for k, t in enumerate(own) if k in article or k not in s] for s in shared]
         out[page_id] = " ".join(next(filter(None, left), own))
     return out
 
@@ -131,6 +127,18 @@ def test_one_article_under_several_urls_stays(spark):
     assert extract(spark, rows) == {i: f"the long article that three addresses carry version {i}" for i in range(3)}
 
 
+def test_passages_that_articles_share_stay(spark):
+    rows = [(i, "q.org", f"/{i}", f"<div>Site</div><article><p>own {i}</p><p>shared passage</p></article>") for i in range(5)]
+    assert extract(spark, rows) == {i: f"own {i} shared passage" for i in range(5)}
+
+
+def test_given_articles_come_back_whole(spark):
+    given = table(spark, "/root/testdata/sf0.1", "pages")
+    got = pages.extract_text(given)
+    lines = {r.page_id: " ".join(t for t, z in pages.lines_of(r.html or "") if z == "a") for r in given.select("page_id", "html").collect()}
+    assert {r.page_id: r.text for r in got.collect()} == lines
+
+
 def test_very_long_page_and_common_lines():
     rng = random.Random(3)
     for _ in range(200):
