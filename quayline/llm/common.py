@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.session import configure
+from quayline.sources import filesystem
 
 #: Bytes of an Arrow batch where batches are small.
 BATCH_BYTES = 2 << 20
@@ -49,15 +51,33 @@ def worker_state(key: str, make: Callable):
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """For work that takes several times the room of its texts in a worker: texts come in smaller batches meanwhile."""
-    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, str(BATCH_BYTES))
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    usual = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, usual)
+        spark.conf.set(key, usual)
+
+
+def small_batches(spark: SparkSession):
+    """For work that takes several times the room of its texts in a worker: texts come in smaller batches meanwhile."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def shuffles_cleaned(spark: SparkSession):
+    """For work in many staged steps: what a step has shuffled is deleted when it is written, not at some later time."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again; what was made of them has been written by then."""
+    for df in tables:
+        folders = {os.path.dirname(f) for f in df.inputFiles()}
+        if len(folders) > 1 or not all(os.path.basename(f).startswith("quayline-") for f in folders):
+            raise ValueError("only a table that was staged as it is can be discarded")
+        for folder in folders:
+            filesystem.delete(df.sparkSession, folder)
 
 
 def give_back() -> None:
