@@ -10,7 +10,7 @@ is short, by a join on the key beyond that.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,29 +26,32 @@ LISTED_PAGES = 20_000
 _ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BooleanType)
 
 
-def weighted_keys(df: DataFrame, key: str, page_bytes: int = PAGE_BYTES) -> DataFrame:
+def weighted_keys(df: DataFrame, key: str, page_bytes: int = PAGE_BYTES, width: Column | None = None) -> DataFrame:
     """``(key, cell, weight, rows)`` for each value of the key that is not NULL.
 
     A cell is a stretch of ``page_bytes`` of the running weight. A heavy key spans several, of which
-    only the first has a key: cells rise along the key, but not one by one.
+    only the first has a key: cells rise along the key, but not one by one. A row weighs ``width``, by
+    default what its types and texts take.
     """
     if page_bytes <= 0:
         raise InvalidParameterError(f"a page must have a positive number of bytes, not {page_bytes}")
     if not isinstance(df.schema[key].dataType, _ORDERED):
         raise InvalidParameterError(f"pages need a key with an order, not {df.schema[key].dataType.simpleString()}")
-    weighed = df.where(column(key).isNotNull()).select(column(key).alias("key"), row_bytes(df.schema).alias("width"))
+    width = row_bytes(df.schema) if width is None else width
+    weighed = df.where(column(key).isNotNull()).select(column(key).alias("key"), width.alias("width"))
     keys = weighed.groupBy("key").agg(F.sum("width").alias("weight"), F.count(F.lit(1)).alias("rows"))
     placed = running_total(keys, ["key"], "weight")
     step = F.lit(page_bytes).cast("bigint")
     return placed.select("key", F.call_function("div", F.col("before").cast("bigint"), step).alias("cell"), "weight", "rows")
 
 
-def weighted_pages(df: DataFrame, key: str, page_bytes: int = PAGE_BYTES) -> DataFrame:
+def weighted_pages(df: DataFrame, key: str, page_bytes: int = PAGE_BYTES, width: Column | None = None) -> DataFrame:
     """``(page, lower, upper, rows, weight)``: pages of ``lower <= key < upper`` of about ``page_bytes`` each.
 
     The last page is open above, NULL keys have a page NULL without bounds. An empty table has no pages.
     """
-    cells = weighted_keys(df, key, page_bytes).groupBy("cell").agg(
+    width = row_bytes(df.schema) if width is None else width
+    cells = weighted_keys(df, key, page_bytes, width).groupBy("cell").agg(
         F.min("key").alias("lower"), F.sum("rows").alias("rows"), F.sum("weight").alias("weight")
     )
     cells = staged(df.sparkSession, cells.withColumn("one", F.lit(1)), "cells")
@@ -56,7 +59,7 @@ def weighted_pages(df: DataFrame, key: str, page_bytes: int = PAGE_BYTES) -> Dat
     numbered = staged(df.sparkSession, numbered.select(F.col("page").cast("bigint").alias("page"), "lower", "rows", "weight"), "pages")
     following = numbered.select((F.col("page") - 1).alias("page"), F.col("lower").alias("upper"))
     pages = numbered.join(following, "page", "left").select("page", "lower", "upper", "rows", "weight")
-    nulls = df.where(column(key).isNull()).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("weight")).where("rows > 0")
+    nulls = df.where(column(key).isNull()).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("weight")).where("rows > 0")
     none = F.lit(None).cast(df.schema[key].dataType)
     return pages.unionByName(nulls.select(F.lit(None).cast("bigint").alias("page"), none.alias("lower"), none.alias("upper"), "rows", "weight"))
 

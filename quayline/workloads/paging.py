@@ -13,6 +13,7 @@ from quayline.operators.paging import (
     plan_pages,
     plan_step,
     predicate_pages,
+    row_bytes,
     split_hot_pages,
     with_page,
 )
@@ -154,9 +155,17 @@ _LINE_WIDTH = "3 * 8 + 4 + 4 * 8 + strlen(l_returnflag) + strlen(l_linestatus) +
                row_count, weight, row_count AS found, weight < {2 * 64 * 1024} AS within_twice FROM cells"""
 )
 def weighted_pages_lineitem(t):
-    """A key whose values grow by the cube: pages of equal key distance would hold from none to most of the rows."""
-    skewed = t["lineitem"].withColumn("k", F.expr(_SKEWED))
-    pages = staged(t.spark, weighted_pages(skewed, "k", 64 * 1024), "pages")
+    """A key whose values grow by the cube: pages of equal key distance would hold from none to most of the rows.
+
+    Cubes beyond 64 bits make it a decimal key, exact up to 38 digits; a row weighs the same.
+    """
+    lines = t["lineitem"]
+    ends = lines.agg(F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")).first()
+    fits = ends["low"] is None or (-(1 << 21) <= ends["low"] and ends["high"] < 1 << 21)
+    cube = F.expr(_SKEWED if fits else _SKEWED.replace("l_orderkey", "cast(l_orderkey as decimal(38))"))
+    skewed = lines.withColumn("k", cube)
+    width = row_bytes(lines.schema) + 8
+    pages = staged(t.spark, weighted_pages(skewed, "k", 64 * 1024, width), "pages")
     found = with_weighted_page(skewed.select("k"), "k", pages).groupBy("page").agg(F.count(F.lit(1)).alias("found"))
     within = (F.col("weight") < 2 * 64 * 1024).alias("within_twice")
     named = [F.col("lower").alias("lower_key"), F.col("upper").alias("upper_key"), F.col("rows").alias("row_count")]

@@ -77,3 +77,20 @@ def test_small_tables_and_refusals(spark):
     for key, size in (("a", 5), ("k", 0)):
         with pytest.raises(InvalidParameterError):
             weighted_pages(df, key, size)
+
+
+def test_cubes_beyond_64_bits(spark, tmp_path):
+    from quayline.workloads import QUERIES
+
+    columns = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    for top, kind in ((2_097_151, "bigint"), (9_000_000, "decimal(38,0)")):
+        # Two thousand rows of 98 bytes are three pages of 64 KiB, and a key comes twice or not at all.
+        keys = [None, *(top - 7 * (i // 2) for i in range(2000))]
+        rows = [(k, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(1995, 1, 2)) for k in keys]
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{top}/lineitem.parquet")
+        out = QUERIES["weighted_pages_lineitem"](spark, f"{tmp_path}/{top}")
+        assert out.schema["lower_key"].dataType.simpleString() == out.schema["upper_key"].dataType.simpleString() == kind
+        want = plain_pages([(k**3, 3 * 8 + 4 + 4 * 8 + 2 + 8 + 8) for k in keys if k], 64 * 1024)
+        got = out.orderBy("page").collect()
+        assert [(r.lower_key, r.row_count, r.weight, r.found) for r in got] == [(k, n, w, n) for k, n, w in want]
+        assert [r.upper_key for r in got] == [p[0] for p in want[1:]] + [None] and len(got) == 3
