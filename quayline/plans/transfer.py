@@ -154,7 +154,7 @@ def _refuse_own_input(df: DataFrame, location: str) -> None:
     root = filesystem.qualified(spark, location).rstrip("/")
     # Both as Spark prints them; its file index holds these names on the driver for any scan.
     roots = {_plain(root), _plain(quote(root, safe="/:"))}
-    if any(name == r or name.startswith(r + "/") for name in map(_plain, df.inputFiles()) for r in roots):
+    if any(name == r or name.startswith(r + "/") for name in map(_plain, filesystem.input_files(df)) for r in roots):
         raise InvalidParameterError(f"{location} is read by the rows that would replace it")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quayline.errors import InvalidParameterError, MissingFieldError
 from quayline.session import configure, staged
 from quayline.sources import filesystem
-from quayline.sources.binary import FILE_CHUNK, arrow_options, open_filesystem, read_binary
+from quayline.sources.binary import FILE_CHUNK, arrow_options, in_tasks, open_filesystem, read_binary
 
 # A list of this many file names, some ten megabytes, is copied to every executor; a longer one is not.
 BROADCAST_FILES = 50_000
@@ -143,7 +143,7 @@ def _check_stored(spark: SparkSession, folder: str, expected: int) -> None:
     That is so where executors took a disk of their own for a shared one.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    stored = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    stored = in_tasks(files.select("length")).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     if stored < expected:
         raise OSError(f"{folder} holds {stored} of {expected} bytes written: not a disk that all executors share")
 
@@ -191,6 +191,7 @@ def _offset_writer(staging: str):
 
         _, root = open_filesystem(staging)
         handles: dict[str, int] = {}
+        folders: set[str] = set()
 
         def close_all():
             for handle in handles.values():
@@ -205,7 +206,9 @@ def _offset_writer(staging: str):
                         if len(handles) >= OPEN_FILES:
                             close_all()
                         target = os.path.join(root, name)
-                        os.makedirs(os.path.dirname(target), exist_ok=True)
+                        if os.path.dirname(target) not in folders:
+                            os.makedirs(os.path.dirname(target), exist_ok=True)
+                            folders.add(os.path.dirname(target))
                         # No truncation: other tasks write other ranges of the same file.
                         handles[name] = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
                     view, at = memoryview(data), start

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quayline.errors import InvalidParameterError
 from quayline.session import configure
+from quayline.sources import filesystem
 
 # Chunk sizes of plain files, named resources and client reads.
 FILE_CHUNK = 3 * 1024 * 1024
@@ -24,6 +25,8 @@ CLIENT_CHUNK = 128 * 1024
 
 INLINE_BYTES = 64 * 1024 * 1024
 RANGE_BYTES = 64 * 1024 * 1024
+# Bytes of small files that one task reads.
+TASK_BYTES = 32 * 1024 * 1024
 
 # Schemes Arrow can open.
 _ARROW_SCHEMES = ("file", "s3", "s3a", "s3n", "hdfs", "viewfs", "gs", "gcs", "abfs", "abfss")
@@ -49,11 +52,16 @@ def read_binary(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Listing only: without the content column no file is opened.
     large = files.where(F.col("length") > inline_bytes).select("path", "length")
-    found = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("length") > inline_bytes, F.col("length"))).alias("bytes"))
+    found = in_tasks(files.select("length")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("length") > inline_bytes, F.col("length"))).alias("bytes"),
+        F.sum("length").alias("all_bytes"),
+    )
     found = found.first()
     total = None if options is None else found["bytes"]
 
     small = files.where((F.col("length") <= inline_bytes) | F.lit(options is None))
+    small = in_tasks(small, found["all_bytes"] or 0)
     chunk_count = F.ceil(F.col("length") / chunk_bytes).cast("bigint")
     chunks = small.select(
         "path", "content", F.explode(F.sequence(F.lit(0).cast("bigint"), chunk_count - 1)).alias("chunk_no")
@@ -66,12 +74,17 @@ def read_binary(
     )
     if total:
         chunks = chunks.unionByName(_read_ranges(large, total, chunk_bytes, range_bytes, options))
-    names = files.inputFiles()
+    names = filesystem.input_files(files)
     if len(names) > found["n"]:
         chunks = chunks.unionByName(_empty_files(files, names))
     return chunks
 
 
+def in_tasks(files: DataFrame, held: int = 0) -> DataFrame:
+    """``files`` in as many tasks as ``held`` bytes are worth: Spark takes every file for 4 MiB at least, and makes a task of 32 small ones."""
+    return files.coalesce(max(2 * files.sparkSession.sparkContext.defaultParallelism, math.ceil(held / TASK_BYTES)))
+
+
 def _empty_files(files: DataFrame, names: list[str]) -> DataFrame:
     """One empty chunk for each file that the index lists but no scan delivers.
 
@@ -80,7 +93,7 @@ def _empty_files(files: DataFrame, names: list[str]) -> DataFrame:
     """
     paths = [(re.sub(r"^file:/+", "file:/", unquote(n)),) for n in names]
     listed = files.sparkSession.createDataFrame(paths, "path string")
-    empty = listed.join(files.select("path"), "path", "left_anti")
+    empty = listed.join(in_tasks(files.select("path")), "path", "left_anti")
     return empty.select("path", F.lit(0).cast("bigint").alias("chunk_no"), F.lit(b"").alias("binary_data"))
 
 

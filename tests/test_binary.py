@@ -188,3 +188,17 @@ def test_object_store_settings(spark):
 def test_path_forms():
     for uri in ("/a/b c%20", "file:/a/b c%20", "file:///a/b c%20"):
         assert open_filesystem(uri)[1] == "/a/b c%20"
+
+
+def test_many_small_files_make_few_tasks(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(3000):
+        (folder / f"{i} +é%.bin").write_bytes(b"" if i % 3 == 0 else b"x" * (i % 7 + 1))
+    rows = read_binary(spark, str(folder))
+    # Thirty-two files a task would be 63, and as many again for the files without a byte.
+    assert rows.rdd.getNumPartitions() <= 4 * max(8, spark.sparkContext.defaultParallelism)
+    assert rows.count() == 3000 and rows.where("octet_length(binary_data) = 0").count() == 1000
+    listed = spark.read.format("binaryFile").load(str(folder))
+    assert sorted(filesystem.input_files(listed)) == sorted(listed.inputFiles())
+    assert filesystem.input_files(spark.range(3)) == []
