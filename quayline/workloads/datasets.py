@@ -15,6 +15,7 @@ from quayline.plans import (
     read_splits,
     write_dataset,
 )
+from quayline.operators.paging import row_bytes
 from quayline.plans.splits import even_pieces
 from quayline.refs import CsvFormat, DatasetRef, SourceRef
 from quayline.sinks.csv import write_csv
@@ -260,13 +261,21 @@ def slice_fill_documents(t):
     return checks.select(F.lit(alone).cast("bigint").alias("row_count"), "within_bound", F.lit(short <= before_huge).alias("full"))
 
 
+# Bytes of rows in each file that is split, so that a task writes no more however many there are.
+_SPLIT_FILE = 64 * 1024 * 1024
+
+
 @query("SELECT count(*) AS row_count, 7::BIGINT AS splits, TRUE AS even FROM documents")
 def even_splits_documents(t):
     docs = t["documents"]
     ref = DatasetRef.of(t.source(), t.relative("documents"), docs.schema, csv=CsvFormat(encoding="UTF-8"))
-    write_dataset(docs.repartition(3), ref)
+    held = docs.agg(F.sum(row_bytes(docs.schema))).first()[0] or 0
+    write_dataset(docs.repartition(max(3, -(-held // _SPLIT_FILE))), ref)
     rows = read_splits(t.spark, ref, 7, multiline=True)
-    known = rows.join(docs.withColumnRenamed("text", "known"), "doc_id", "left").where("text = known or coalesce(known, '') = ''")
+    # Texts are compared whole, by their digests: they need not be shuffled for that.
+    digest = F.sha2("text", 256)
+    wanted = docs.select("doc_id", digest.alias("known"), (F.coalesce("text", F.lit("")) == "").alias("empty"))
+    known = rows.select("doc_id", digest.alias("digest")).join(wanted, "doc_id", "left").where("digest = known or coalesce(empty, true)")
     files = framing.listed(t.spark, t.source().uri(ref.relative_uri))
     sizes = even_pieces(files, 7).groupBy("split").agg(F.sum(F.col("stop") - F.col("start")).alias("bytes"))
     even = sizes.agg((F.max("bytes") - F.min("bytes") <= 1).alias("even"))

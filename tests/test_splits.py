@@ -140,3 +140,21 @@ def test_one_wide_row_costs_one_file(spark, source, tmp_path):
             write_dataset(df, to, slice_bytes=100, **bad)
     with pytest.raises(InvalidParameterError):
         write_dataset(df, DatasetRef(source, "raw", "model", "binary"), "raw", slice_bytes=5)
+
+
+def test_files_that_are_split_grow_in_number(spark, tmp_path, monkeypatch):
+    from quayline.workloads import QUERIES, datasets
+
+    rows = [(i, None if i % 50 == 0 else "" if i % 50 == 1 else f"text {i}\n\"{i}\"" * 9, "en", "s", 5) for i in range(400)] + [(None, "no id", None, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    parts, write = [], datasets.write_dataset
+
+    def seen(df, *args, **kwargs):
+        parts.append(df.rdd.getNumPartitions())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(datasets, "write_dataset", seen)
+    for size in (datasets._SPLIT_FILE, 4096):
+        monkeypatch.setattr(datasets, "_SPLIT_FILE", size, raising=False)
+        assert [tuple(r) for r in QUERIES["even_splits_documents"](spark, str(tmp_path)).collect()] == [(401, 7, True)]
+    assert parts[0] == 3 and parts[1] > 10
