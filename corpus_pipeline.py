@@ -18,7 +18,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose five-word shingles agree to 0.8 or more."""
+    """One document of each group stays whose five-word shingles agree to 0.8 or more: SimHash links, then the rest exactly."""
     return near_copies.keep_one(docs)
 
 

@@ -9,7 +9,9 @@ by shingle. The order puts shingles last that
 are common in a sample; it decides how many candidates there are, not which
 pairs are found.
 
-Equal sets collapse first. Then all sets at a shingle are compared with the
+Equal sets collapse first. Then SimHash links sets: fingerprints within two bits meet in their half-radius
+balls, and what meets there is compared exactly. Most sets as similar as wanted differ in more bits, so the
+prefix join finds the rest: all sets at a shingle that SimHash has not linked are compared with the
 smallest there, and only those of different groups with each other, so a large
 group of near copies costs one comparison a member and shingle. Pairs are made only
 where sizes and the places of the common shingle leave room for the similarity: texts
@@ -29,9 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayline.llm import simhash
 from quayline.llm.common import ASCII_LOWER, discard, give_back, shuffles_cleaned, small_batches, utf8, worker_state
 from quayline.llm.components import connected_components
-from quayline.llm.simhash import SEED, row_order, rows_chosen, text_key
+from quayline.llm.simhash import SEED, majority, row_order, rows_chosen, text_key
 from quayline.session import configure, staged
 
 SHINGLE = 5
@@ -92,9 +95,10 @@ def _sets(common: np.ndarray, counts: np.ndarray):
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(sketches, pa.binary()),
                     pa.array([folded(s) for s in sketches], pa.list_(pa.int64())),
+                    pa.array(np.array([majority(s) for s in sets], dtype=np.uint64).view(np.int64)),
                     pa.array([prefix(s, common, counts).view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "digest", "n", "sketch", "folded", "prefix"],
+                ["doc_id", "text_key", "digest", "n", "sketch", "folded", "fp", "prefix"],
             )
         batch = sets = sketches = None
         give_back()
@@ -191,17 +195,37 @@ def _within_reach(n: str, at: str, m: str, to: str) -> Column:
     return (need <= (PART + WHOLE) * (n - at)) & (need <= (PART + WHOLE) * (m - to)) & (WHOLE * F.least(n, m) >= PART * F.greatest(n, m))
 
 
+def _linked_by_prints(first: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Pairs ``(u, v)`` of similar sets among those whose SimHash fingerprints link."""
+    spark = first.sparkSession
+    least = staged(spark, first.groupBy("fp").agg(F.min("node").alias("least")), "prints")
+    same = first.join(least, "fp").where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    of_u, of_v = (least.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}")) for c in ("u", "v"))
+    near = simhash.links(least.select("fp")).join(of_u, "u").join(of_v, "v")
+    near = near.select(F.least("least_u", "least_v").alias("u"), F.greatest("least_u", "least_v").alias("v"))
+    linked = staged(spark, same.union(near).distinct(), "linked")
+    similar = _verified(linked, keyed, first)
+    discard(least, linked)
+    return similar
+
+
 def _links(first: DataFrame, keyed: DataFrame) -> DataFrame:
     """Pairs ``(u, v)`` of similar sets that join all of them into the right groups."""
     spark = first.sparkSession
+    by_print = _linked_by_prints(first, keyed)
+    known = connected_components(by_print)
     # Size and place in one number: these are by far the most rows of all.
     place = F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("at")
     met = first.select("node", "n", F.posexplode("prefix").alias("at", "token")).select("token", "node", place.alias("place"))
     # Ends per token are combined inside the tasks, and most tokens, which one set alone has, meet nothing.
     ends = met.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").drop("most")
     met = staged(spark, met.join(ends, "token"), "met")
-    stars = staged(spark, met.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), "stars")
-    links = _verified(stars, keyed, first)
+    stars = met.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
+    for c in ("u", "v"):
+        stars = stars.join(known.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")), c, "left")
+    stars = stars.where("coalesce(of_u, u) <> coalesce(of_v, v)").select("u", "v")
+    stars = staged(spark, stars, "stars")
+    links = by_print.union(_verified(stars, keyed, first))
     # What shares a shingle and is not yet in one group is compared as well.
     groups = connected_components(links)
     n, at = F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at")
@@ -214,17 +238,16 @@ def _links(first: DataFrame, keyed: DataFrame) -> DataFrame:
     met = met.join(mixed, "token", "left_semi").join(first.select("node", "folded"), "node")
     met = staged(spark, met, "mixed")
     discard(grouped)
-    # Sets that are similar enough are of one size class or of neighbouring ones; a little wider than need be.
+    # Of sets that are similar enough the larger is of the smaller one's size class or of the next; a little wider than need be.
     size = F.floor(F.log(1.01 * WHOLE / PART, F.col("n"))).cast("int")
-    one = met.select("token", F.col("node").alias("u"), "n", "at", "label", F.col("folded").alias("a"), size.alias("size"))
+    one = met.select("token", F.col("node").alias("u"), "n", "at", "label", F.col("folded").alias("a"), F.explode(F.array(size, size + 1)).alias("size"))
     other = met.select("token", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("label").alias("l"), F.col("folded").alias("b"), size.alias("size"))
-    other = other.select("token", "v", "m", "to", "l", "b", F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)])).alias("size"))
     differ = sum(F.bit_count(F.col("a")[i].bitwiseXOR(F.col("b")[i])) for i in range(FOLDED))
     alike = (WHOLE + PART) * differ <= (WHOLE - PART) * (F.col("n") + F.col("m"))
-    pairs = one.join(other, ["token", "size"]).where(F.expr("u < v and label <> l") & _within_reach("n", "at", "m", "to") & alike)
-    pairs = pairs.select("u", "v").distinct()
+    pairs = one.join(other, ["token", "size"]).where(F.expr("(n < m or n = m and u < v) and label <> l") & _within_reach("n", "at", "m", "to") & alike)
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     pairs = staged(spark, pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
-    discard(met, stars)
+    discard(met, stars, known)
     return links.union(_verified(pairs, keyed, first))
 
 
@@ -237,9 +260,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def _keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), utf8("text").alias("bytes"))
-    schema = "doc_id bigint, text_key bigint, digest binary, n int, sketch binary, folded array<bigint>, prefix array<bigint>"
+    schema = "doc_id bigint, text_key bigint, digest binary, n int, sketch binary, folded array<bigint>, fp bigint, prefix array<bigint>"
     sets = keyed.mapInArrow(_sets(*_common(keyed)), schema)
-    alike = [F.first(c).alias(c) for c in ("n", "sketch", "folded", "prefix")]
+    alike = [F.first(c).alias(c) for c in ("n", "sketch", "folded", "fp", "prefix")]
     first = sets.groupBy("digest").agg(F.min(F.struct(*row_order())).alias("first"), *alike).drop("digest")
     first = staged(spark, first.withColumn("node", F.monotonically_increasing_id()), "first")
     labels = connected_components(_links(first, keyed))

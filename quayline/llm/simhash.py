@@ -45,7 +45,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
     n = max(1, len(words) - shingle + 1)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype="<u8", count=n)
+    return majority(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype="<u8", count=n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; no hashes have none."""
+    n = len(hashes)
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, SLICE):
         bits = np.unpackbits(hashes[at : at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

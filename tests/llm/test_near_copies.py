@@ -71,3 +71,21 @@ def test_order_of_shingles_changes_no_result(spark, docs, monkeypatch):
     monkeypatch.setattr(near_copies, "COMMON", 3)
     check(docs)
     assert len(documents()) > 3
+
+
+def test_simhash_links_what_it_reaches_first(spark, monkeypatch):
+    text = words(7, 600)
+    rows = [(i, f"{text} tail{i}") for i in range(6)] + [(10 + i, words(50 + i, 80)) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs, verified = [], near_copies._verified
+
+    def seen(asked, keyed, first):
+        found = verified(asked, keyed, first)
+        pairs.append((asked.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(near_copies, "_verified", seen)
+    monkeypatch.setattr(near_copies, "discard", lambda *tables: None)
+    assert check(df) == 7
+    # By fingerprints first; what is in one group by then is not compared again.
+    assert len(pairs) == 3 and pairs[0][1] > 0 and pairs[0][1] + pairs[1][1] + pairs[2][1] == 5
