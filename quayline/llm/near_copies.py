@@ -42,7 +42,7 @@ SHINGLE = 5
 PART, WHOLE = 4, 5
 # Documents sampled for common shingles, and how many of these travel with the tasks.
 SAMPLE, COMMON = 4_000, 50_000
-# Bits of a set's sketch, a multiple of 8.
+# The fewest bits of a set's sketch, a power of two.
 BITS = 1024
 # 64-bit words of a smaller sketch, which pairs are made by.
 FOLDED = 4
@@ -72,12 +72,22 @@ def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndar
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Parities of the shingles by their lowest bits: two sketches differ in no more bits than the sets in shingles."""
-    return np.packbits((np.bincount((found % BITS).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    """Parities of the shingles by their lowest bits: two sketches differ in no more bits than the sets in shingles.
+
+    There are at least as many bits as shingles, a power of two: with fewer, the sketches of any two large sets are as like as not.
+    """
+    bits = max(BITS, 1 << max(0, len(found) - 1).bit_length())
+    return np.packbits((np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ, the longer one taken as parities of parities."""
+    a, b = sorted((np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum(dtype=np.int64))
 
 
 def folded(sketch_: bytes) -> np.ndarray:
-    """The sketch for a quarter of the bits: parities of parities."""
+    """The sketch in ``FOLDED`` words: parities of parities."""
     return np.bitwise_xor.reduce(np.frombuffer(sketch_, dtype="<i8").reshape(-1, FOLDED), axis=0)
 
 
@@ -112,10 +122,24 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "hashes"])
 
 
-def _among(keys: np.ndarray):
+def _mixed(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One number for an id and a text: rows that have another one are other rows."""
+    return ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ keys.astype(np.int64).view(np.uint64)
+
+
+def _hashes_among(wanted: np.ndarray):
+    """Hashes of the texts of rows that may be among the wanted ones, given by their sorted mixed keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(np.isin(batch.column("text_key").to_numpy(), keys)))
+            mixed = _mixed(batch.column("doc_id").fill_null(0).to_numpy(), batch.column("text_key").to_numpy())
+            slot = np.minimum(np.searchsorted(wanted, mixed), max(0, len(wanted) - 1))
+            batch = batch.filter(pa.array(wanted[slot] == mixed if len(wanted) else np.zeros(len(mixed), dtype=bool)))
+            sets = [shingles(t.as_py()).tobytes() for t in batch.column("bytes")]
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "hashes"])
+        batch = sets = columns = None
+        give_back()
 
     return run
 
@@ -124,9 +148,11 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sizes and sketches do not rule it out that they are similar enough."""
     for batch in batches:
         n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8) for c in ("a", "b"))
-        differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-        fit = (WHOLE * np.minimum(n, m) >= PART * np.maximum(n, m)) & ((WHOLE + PART) * differ <= (WHOLE - PART) * (n + m))
+        fit = WHOLE * np.minimum(n, m) >= PART * np.maximum(n, m)
+        at = np.flatnonzero(fit)
+        a, b = (batch.column(c).take(pa.array(at)).to_pylist() for c in ("a", "b"))
+        differ = np.fromiter(map(differing, a, b), dtype=np.int64, count=len(at))
+        fit[at] = (WHOLE + PART) * differ <= (WHOLE - PART) * (n + m)[at]
         yield batch.select(["u", "v"]).filter(pa.array(fit))
 
 
@@ -169,14 +195,18 @@ def _verified(pairs: DataFrame, keyed: DataFrame, first: DataFrame) -> DataFrame
     pairs = staged(spark, pairs, "possible")
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     wanted = staged(spark, nodes.join(first, "node").select("node", "first.*"), "wanted")
-    texts = keyed
+    # One Python function in a stage: each more would keep another worker on every core, also for the stages to come.
     if wanted.count() <= TRAVEL:
-        # So few keys travel with the tasks, and only the texts they name are shuffled.
-        keys = np.array([r["text_key"] for r in wanted.select("text_key").collect()], dtype=np.int64)
-        texts = keyed.mapInArrow(_among(keys), keyed.schema)
-    texts = texts.select(*row_order(), "bytes").join(wanted, ["no_id", "id", "text_key"])
+        # So few keys travel with the tasks, and only the hashes of the texts they name are shuffled.
+        rows = wanted.select("id", "text_key").toPandas()
+        keys = np.unique(_mixed(rows["id"].to_numpy(), rows["text_key"].to_numpy()))
+        sets = keyed.mapInArrow(_hashes_among(keys), "doc_id bigint, text_key bigint, hashes binary").select(*row_order(), "hashes")
+        sets = sets.join(wanted, ["no_id", "id", "text_key"]).select("node", "hashes")
+    else:
+        texts = keyed.select(*row_order(), "bytes").join(wanted, ["no_id", "id", "text_key"])
+        sets = texts.select("node", "bytes").mapInArrow(_hashes, "node bigint, hashes binary")
     # Rows that repeat exactly have one set.
-    sets = texts.select("node", "bytes").mapInArrow(_hashes, "node bigint, hashes binary").dropDuplicates(["node"])
+    sets = sets.dropDuplicates(["node"])
     sets = staged(spark, sets, "sets")
     both = pairs.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     both = both.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u")

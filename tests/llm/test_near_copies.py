@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from quayline.llm import near_copies
 from tests.llm.conftest import documents, words
@@ -89,3 +92,30 @@ def test_simhash_links_what_it_reaches_first(spark, monkeypatch):
     assert check(df) == 7
     # By fingerprints first; what is in one group by then is not compared again.
     assert len(pairs) == 3 and pairs[0][1] > 0 and pairs[0][1] + pairs[1][1] + pairs[2][1] == 5
+
+
+def test_one_python_function_in_a_stage(spark, docs, monkeypatch, capsys):
+    plans, staged = [], near_copies.staged
+
+    def seen(session, df, label):
+        df.explain()
+        plans.append((label, capsys.readouterr().out.count("MapInArrow")))
+        return staged(session, df, label)
+
+    monkeypatch.setattr(near_copies, "staged", seen)
+    check(docs)
+    # Two of them in a row hold two workers on every core, which keep their memory in all later stages.
+    assert ("sets", 1) in plans and max(n for _, n in plans) == 1
+
+
+def test_sketches_tell_large_sets_apart():
+    rng = np.random.default_rng(3)
+    one, other = (np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64)) for _ in range(2))
+    near = np.unique(np.concatenate((one[150:], other[:2500])))
+    assert len(near_copies.sketch(one)) > near_copies.BITS // 8
+    a, b, c = map(near_copies.sketch, (one, other, near))
+    assert 9 * near_copies.differing(a, b) > len(one) + len(other)
+    # Never more bits than shingles that differ, also where the longer sketch is folded.
+    assert len(c) > len(a) and near_copies.differing(a, c) == near_copies.differing(c, a) <= len(np.setxor1d(one, near))
+    batch = pa.RecordBatch.from_pydict({"u": [1, 2], "v": [3, 4], "n": [3000, 3000], "m": [3000, 3000], "a": [a, a], "b": [b, a]})
+    assert next(near_copies._possible(iter([batch]))).column("u").to_pylist() == [2]
