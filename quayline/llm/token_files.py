@@ -19,7 +19,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +33,15 @@ from quayline.sources.binary import arrow_options, open_filesystem
 
 END_ID = 2
 BATCH = 512
-# Words kept by each of the cache's two generations, the longest of them, characters cut into words at a time, and
-# words encoded at a time: the library's result for one takes about half a kilobyte.
-CACHED, LONGEST, TOGETHER, WORDS = 400_000, 64, 1 << 19, 4_096
+# Words kept by each of the cache's two generations, the bytes of the longest of them, characters cut into words at a time,
+# words encoded at a time (the library's result for one takes about half a kilobyte) and words of a text they are joined to.
+CACHED, LONGEST, TOGETHER, WORDS, JOINED = 400_000, 64, 1 << 21, 4_096, 256
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint, width int"
-# No pre-token of a byte-level BPE crosses these cuts: before white space, and between a letter and ASCII punctuation.
-_WS = r"[ \t\n\r\x0b\x0c]"
-_WORD = re.compile(
-    rf"{_WS}*+(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?=[!-&(-/:-@\[-`{{-~])|[^ \t\n\r\x0b\x0c]++)|{_WS}++"
-)
+# No pre-token of a byte-level BPE crosses these cuts: before white space, and between a Latin letter and ASCII punctuation.
+_BYTES = np.arange(256)
+_SPACE = np.isin(_BYTES, list(b" \t\n\r\x0b\x0c"))
+_LETTER = np.isin(_BYTES | 32, np.arange(ord("a"), ord("z") + 1)) & (_BYTES < 0x80)
+_PUNCTUATION = np.isin(_BYTES, list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 # Other white space makes cuts ambiguous, as does a special token's text; such texts are encoded whole.
 _WHOLE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]|<\|")
 
@@ -53,11 +52,36 @@ def _ambiguous(text: str) -> bool:
     return _WHOLE.search(text) is not None
 
 
+def _word_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the words of UTF-8 bytes begin; ``texts`` are the places where a text does."""
+    space, before = _SPACE[data], data[:-1]
+    cut = space.copy()
+    cut[1:] &= ~space[:-1]
+    ends = _LETTER[before]
+    # The second byte of U+00C0 to U+024F, without the signs of multiplication and division, ends a letter as well.
+    lead = np.flatnonzero((before >= 0xC3) & (before <= 0xC9))
+    first, second = data[lead], data[lead + 1]
+    letter = np.where(first == 0xC3, (second != 0x97) & (second != 0xB7), (first != 0xC9) | (second <= 0x8F))
+    second = lead[letter] + 1
+    ends[second[second < len(ends)]] = True
+    cut[1:] |= ends & _PUNCTUATION[data[1:]]
+    cut[texts[texts < len(data)]] = True
+    return np.flatnonzero(cut)
+
+
+def _pieces(values: pa.LargeBinaryArray, at: slice | np.ndarray = slice(None)) -> list[bytes]:
+    """The values, or what lies between some of them, without a scalar object for each."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[values.offset : values.offset + len(values) + 1][at].tolist()
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 class Encoder:
     """Token ids of texts as packed bytes, with a bounded cache of words already encoded.
 
-    Words not seen yet are encoded together for many texts. The cache has two generations:
-    words met again while the younger one fills up are taken over into it.
+    The words of many texts are told apart together, and those not seen yet are encoded together.
+    The cache has two generations: words met again while the younger one fills up are taken over into it.
     """
 
     def __init__(self, vocabulary: str):
@@ -66,41 +90,75 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.kind.itemsize]
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         pre = type(self.tokenizer.pre_tokenizer).__name__
         self.by_word = pre == "ByteLevel" and self.tokenizer.normalizer is None
+        if self.by_word:
+            # A token of a byte-level vocabulary has one character for each byte.
+            tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.n_bytes = np.zeros(max(tokens.values(), default=0) + 1, dtype=np.int64)
+            for token, i in tokens.items():
+                self.n_bytes[i] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _learn(self, split: list[list[str]]) -> set[str]:
-        """Have the words of all texts in the cache; returns those that were not."""
-        unseen = set(chain.from_iterable(filterfalse(self.cache.__contains__, words) for words in split))
-        if len(self.cache) + len(unseen) > CACHED:
-            self.old, self.cache = self.cache, {}
-            unseen = set(chain.from_iterable(split))
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word. Words that follow white space and have none at their end are joined, as cuts lie between them in any text."""
+        joins = [bool(_SPACE[w[0]]) and not _SPACE[w[-1]] for w in words]
+        alone = [w for w, j in zip(words, joins) if not j]
+        some = [w for w, j in zip(words, joins) if j]
+        joined: list[bytes] = []
+        groups = [some[i : i + JOINED] for i in range(0, len(some), JOINED)]
+        for group, ids in zip(groups, self._encode([b"".join(g).decode() for g in groups])):
+            ends = np.cumsum(self.n_bytes[np.frombuffer(ids, dtype=self.kind)])
+            wanted = np.cumsum(np.fromiter(map(len, group), dtype=np.int64, count=len(group)))
+            at = np.searchsorted(ends, wanted)
+            if at[-1] == len(ends) - 1 and (ends[at] == wanted).all():
+                at = [0, *((at + 1) * self.kind.itemsize).tolist()]
+                joined += [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+            else:  # a vocabulary that does not have all bytes
+                joined += self._encode([w.decode() for w in group])
+        one, other = iter(joined), iter(self._encode([w.decode() for w in alone]))
+        return [next(one if j else other) for j in joins]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of these different words, which are in the cache from now on."""
+        found = list(map(self.cache.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for word in unseen:
-            found = self.old.get(word)
-            if found is None:
-                new.append(word)
-            else:
-                self.cache[word] = found
-        for i in range(0, len(new), WORDS):
-            some = new[i : i + WORDS]
-            self.cache.update(zip(some, self._encode(some)))
-        return unseen
+        for i in missing:
+            found[i] = self.old.get(words[i])
+            if found[i] is None:
+                new.append(i)
+        for k in range(0, len(new), WORDS):
+            some = new[k : k + WORDS]
+            for i, ids in zip(some, self._encode_words([words[i] for i in some])):
+                found[i] = ids
+        if len(self.cache) + len(missing) > CACHED:
+            self.old, self.cache, missing = self.cache, {}, range(len(words))
+        self.cache.update((words[i], found[i]) for i in missing if len(words[i]) <= LONGEST)
+        return found
+
+    def _by_word(self, texts: list[bytes]) -> Iterator[bytes]:
+        data = b"".join(texts)
+        if not data:
+            yield from (b"" for _ in texts)
+            return
+        edges = np.concatenate(([0], np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)))))
+        starts = _word_starts(np.frombuffer(data, dtype=np.uint8), edges[:-1])
+        buffers = [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)]
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        ids = pa.array(self._ids(_pieces(words.dictionary)), pa.large_binary()).take(words.indices)
+        yield from _pieces(ids, np.searchsorted(starts, edges))
 
     def _together(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if _ambiguous(t) else _WORD.findall(t) for t in texts]
-        unseen = self._learn([words for words in split if words])
-        for text, words in zip(texts, split):
-            yield self._encode([text])[0] if words is None else b"".join(map(self.cache.__getitem__, words))
-        for word in unseen:
-            if len(word) > LONGEST:
-                del self.cache[word]
+        whole = [_ambiguous(t) for t in texts]
+        by_word = self._by_word([t.encode() for t, w in zip(texts, whole) if not w])
+        for text, w in zip(texts, whole):
+            yield self._encode([text])[0] if w else next(by_word)
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
         if not self.by_word:

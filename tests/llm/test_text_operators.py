@@ -1,6 +1,7 @@
 """Each operator against a plain version of its contract, over awkward tables and the given ones."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -268,6 +269,23 @@ def test_word_cache_equals_whole_texts(monkeypatch):
     assert len(encoder.cache) <= 20 and encoder.old
 
 
+def test_words_are_cut_and_encoded_together(monkeypatch):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        encoder = token_files.Encoder(f.read())
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    parts = [" ", "   ", "\n", "\t", "a", "b's", "'re", "\u00e9", "\u00d7", "\u00f7", "\u024f", "\u0250", ",", "(", "12", "\u4e2d\u6587", "\u2026", "\U0001f600", "\xa0", "_", "word", "\x00", "\u00b2"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(3000)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    asked, encode = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda some: asked.append(len(some)) or encode(some))
+    assert [np.frombuffer(b, dtype=encoder.kind).tolist() for b in encoder(texts)] == want
+    # One call of the library's for each text with other white space, else for many words, joined to texts.
+    fresh = [f"{a}{b}" for a in "abcdefgh" for b in range(500)]
+    asked.clear()
+    assert len(list(encoder([" " + " ".join(fresh)]))) == 1 and sum(asked) <= len(fresh) // 100
+
+
 # Language
 
 
