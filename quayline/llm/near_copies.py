@@ -11,11 +11,13 @@ pairs are found.
 
 Equal sets collapse first. Then SimHash links sets: fingerprints within two bits meet in their half-radius
 balls, and what meets there is compared exactly. Most sets as similar as wanted differ in more bits, so the
-prefix join finds the rest: all sets at a shingle that SimHash has not linked are compared with the
-smallest there, and only those of different groups with each other, so a large
-group of near copies costs one comparison a member and shingle. Pairs are made only
+prefix join finds the rest: all sets at a shingle that SimHash has not linked are compared with two
+there, the smallest and the one that has most of its shingles still to come, which in a group of edited copies
+is the original or what is closest to it. Only those of different groups are compared with each other then, so a large
+group of near copies costs two comparisons a member and shingle. Pairs are made only
 where sizes and the places of the common shingle leave room for the similarity: texts
 that share a passage, but less than they would have to, meet at places too far back.
+Members of such a group that are similar to none of the two stay pairs of their own, each with all others.
 
 Shingles count as their 64-bit XXH64, sets as their 128-bit XXH3. Null and empty
 texts have the empty set and are copies of each other.
@@ -29,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayline.llm import simhash
@@ -40,8 +43,11 @@ from quayline.session import configure, staged
 SHINGLE = 5
 #: Similarity of at least 4 / 5.
 PART, WHOLE = 4, 5
-# Documents sampled for common shingles, and how many of these travel with the tasks.
-SAMPLE, COMMON = 4_000, 50_000
+# Documents sampled for common shingles: so many at least, and one of so many. What a fixed number sees of a passage shrinks
+# as the table grows, and sets would meet at passages of the larger tables alone.
+SAMPLE, EVERY = 4_000, 12
+# The most common shingles that travel with the tasks, 12 bytes each.
+COMMON = 1 << 18
 # The fewest bits of a set's sketch, a power of two.
 BITS = 1024
 # 64-bit words of a smaller sketch, which pairs are made by.
@@ -177,13 +183,21 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _common(keyed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several sampled documents have, sorted, and how many have them."""
     total = keyed.count()
-    part = max(1, total // SAMPLE)
+    part = min(max(1, total // SAMPLE), EVERY)
     some = keyed.where(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(part)) == 0).select("bytes")
     counted = some.mapInArrow(_each, "token bigint").groupBy("token").count().where("count > 1")
-    rows = counted.orderBy(F.desc("count"), "token").limit(COMMON).collect()
-    tokens = np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64)
+    counted = staged(keyed.sparkSession, counted.select("token", F.col("count").cast("int").alias("count")), "counted")
+    # From the smallest count on from which they can travel: no more than that leave the executors.
+    tokens, least = 0, None
+    for r in counted.groupBy("count").agg(F.count("*").alias("tokens")).orderBy(F.desc("count")).collect():
+        if (tokens := tokens + r["tokens"]) > COMMON:
+            break
+        least = r["count"]
+    rows = counted.where(F.col("count") >= least if least else F.lit(False)).toArrow()
+    discard(counted)
+    tokens = rows.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], np.array([r["count"] for r in rows], dtype=np.int64)[order]
+    return tokens[order], rows.column("count").to_numpy()[order]
 
 
 def _verified(pairs: DataFrame, keyed: DataFrame, first: DataFrame) -> DataFrame:
@@ -239,6 +253,38 @@ def _linked_by_prints(first: DataFrame, keyed: DataFrame) -> DataFrame:
     return similar
 
 
+def _size_and_place() -> list[Column]:
+    return [F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at")]
+
+
+def _centres(met: DataFrame) -> DataFrame:
+    """``(token, centres)``: the sets at a shingle that all others there are compared with.
+
+    One is the set that has most of its shingles still to come: an original whose copies are edited has no rare shingles of its own
+    before, so it is closer to each copy than copies are to each other. The other is the smallest.
+    """
+    rows = met.select("token", "node", *_size_and_place())
+    by_place, by_node = (F.min(F.struct(*order)) for order in (("at", "node", "n"), ("node", "at", "n")))
+    both = rows.groupBy("token").agg(by_place.alias("a"), by_node.alias("b"))
+    return both.select("token", F.array(*(F.struct(f"{c}.node", f"{c}.n", f"{c}.at") for c in "ab")).alias("centres"))
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Pairs ``(u, v)`` of different labels that sizes, places and small sketches leave room for, the smaller set first.
+
+    Sets whose shingles before this one are the same have met there already: what they share comes once for each place where it is
+    interrupted, not once for each shingle.
+    """
+    # Of sets that are similar enough the larger is of the smaller one's size class or of the next; a little wider than need be.
+    size = F.floor(F.log(1.01 * WHOLE / PART, F.col("n"))).cast("int")
+    one = met.select("token", F.col("node").alias("u"), "n", "at", "label", F.col("folded").alias("a"), F.col("before").alias("p"), F.explode(F.array(size, size + 1)).alias("size"))
+    other = met.select("token", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("label").alias("l"), F.col("folded").alias("b"), F.col("before").alias("q"), size.alias("size"))
+    differ = sum(F.bit_count(F.col("a")[i].bitwiseXOR(F.col("b")[i])) for i in range(FOLDED))
+    alike = (WHOLE + PART) * differ <= (WHOLE - PART) * (F.col("n") + F.col("m"))
+    new = F.expr("(n < m or n = m and u < v) and label <> l and (p is null or q is null or p <> q)")
+    return one.join(other, ["token", "size"]).where(new & _within_reach("n", "at", "m", "to") & alike).select("u", "v")
+
+
 def _links(first: DataFrame, keyed: DataFrame) -> DataFrame:
     """Pairs ``(u, v)`` of similar sets that join all of them into the right groups."""
     spark = first.sparkSession
@@ -248,9 +294,12 @@ def _links(first: DataFrame, keyed: DataFrame) -> DataFrame:
     place = F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("at")
     met = first.select("node", "n", F.posexplode("prefix").alias("at", "token")).select("token", "node", place.alias("place"))
     # Ends per token are combined inside the tasks, and most tokens, which one set alone has, meet nothing.
-    ends = met.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").drop("most")
+    ends = met.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("token")
     met = staged(spark, met.join(ends, "token"), "met")
-    stars = met.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
+    stars = met.select("token", "node", *_size_and_place()).join(_centres(met), "token").select("node", "n", "at", F.explode("centres").alias("c"))
+    stars = stars.select("node", "n", "at", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.at").alias("to"))
+    stars = stars.where((F.col("node") != F.col("centre")) & _within_reach("n", "at", "m", "to"))
+    stars = stars.select(F.least("centre", "node").alias("u"), F.greatest("centre", "node").alias("v")).distinct()
     for c in ("u", "v"):
         stars = stars.join(known.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")), c, "left")
     stars = stars.where("coalesce(of_u, u) <> coalesce(of_v, v)").select("u", "v")
@@ -258,23 +307,17 @@ def _links(first: DataFrame, keyed: DataFrame) -> DataFrame:
     links = by_print.union(_verified(stars, keyed, first))
     # What shares a shingle and is not yet in one group is compared as well.
     groups = connected_components(links)
-    n, at = F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at")
     ungrouped = met
-    met = met.join(groups, "node", "left").select("token", "node", n, at, F.coalesce("label", "node").alias("label"))
+    met = met.join(groups, "node", "left").select("token", "node", *_size_and_place(), F.coalesce("label", "node").alias("label"))
     met = staged(spark, met, "grouped")
     discard(ungrouped, groups)
     grouped = met
     mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
     met = met.join(mixed, "token", "left_semi").join(first.select("node", "folded"), "node")
+    met = met.withColumn("before", F.lag("token").over(W.partitionBy("node").orderBy("at", "token")))
     met = staged(spark, met, "mixed")
     discard(grouped)
-    # Of sets that are similar enough the larger is of the smaller one's size class or of the next; a little wider than need be.
-    size = F.floor(F.log(1.01 * WHOLE / PART, F.col("n"))).cast("int")
-    one = met.select("token", F.col("node").alias("u"), "n", "at", "label", F.col("folded").alias("a"), F.explode(F.array(size, size + 1)).alias("size"))
-    other = met.select("token", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("label").alias("l"), F.col("folded").alias("b"), size.alias("size"))
-    differ = sum(F.bit_count(F.col("a")[i].bitwiseXOR(F.col("b")[i])) for i in range(FOLDED))
-    alike = (WHOLE + PART) * differ <= (WHOLE - PART) * (F.col("n") + F.col("m"))
-    pairs = one.join(other, ["token", "size"]).where(F.expr("(n < m or n = m and u < v) and label <> l") & _within_reach("n", "at", "m", "to") & alike)
+    pairs = _pairs(met)
     pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     pairs = staged(spark, pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
     discard(met, stars, known)

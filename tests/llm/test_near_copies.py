@@ -119,3 +119,38 @@ def test_sketches_tell_large_sets_apart():
     assert len(c) > len(a) and near_copies.differing(a, c) == near_copies.differing(c, a) <= len(np.setxor1d(one, near))
     batch = pa.RecordBatch.from_pydict({"u": [1, 2], "v": [3, 4], "n": [3000, 3000], "m": [3000, 3000], "a": [a, a], "b": [b, a]})
     assert next(near_copies._possible(iter([batch]))).column("u").to_pylist() == [2]
+
+
+def test_pairs_of_edited_copies_do_not_grow_with_their_square(spark, monkeypatch):
+    # Every copy is near the original, and too far from the other copies for sketches to tell at once.
+    original = words(70, 400)
+    rows = [(i, edited(original, 0.017, i)) for i in range(40)] + [(900, original)]
+    asked, verified = [], near_copies._verified
+
+    def seen(pairs, keyed, first):
+        asked.append(pairs.count())
+        return verified(pairs, keyed, first)
+
+    monkeypatch.setattr(near_copies, "_verified", seen)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert check(df) == 1
+    assert asked[1] <= 2 * len(rows) and asked[2] == 0
+
+
+def test_sample_grows_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SAMPLE", 2)
+    passage = words(80, 12)
+    rows = [(i, f"{passage} {words(2000 + i, 10)}") for i in range(480)]
+    keyed = spark.createDataFrame([(i, i, t.encode()) for i, t in rows], "doc_id bigint, text_key bigint, bytes binary")
+    tokens, counts = near_copies._common(keyed)
+    assert set(near_copies.shingles(passage.encode())) <= set(tokens) and counts.max() > 20
+    monkeypatch.setattr(near_copies, "COMMON", 5)
+    assert len(near_copies._common(keyed)[0]) <= 5
+
+
+def test_sets_meet_where_what_they_share_is_interrupted(spark):
+    # Two sets share six shingles in a row, and one more after a shingle that one of them has alone.
+    rows = [(t, 1, 100, t, 1, [0] * 4, t - 1 if t else None) for t in range(6)] + [(7, 1, 100, 6, 1, [0] * 4, 5)]
+    rows += [(t, 2, 100, t, 2, [0] * 4, t - 1 if t else None) for t in range(7)] + [(7, 2, 100, 7, 2, [0] * 4, 6)]
+    met = spark.createDataFrame(rows, "token bigint, node bigint, n int, at int, label bigint, folded array<bigint>, before bigint")
+    assert [tuple(r) for r in near_copies._pairs(met).collect()] == [(1, 2)] * 2
