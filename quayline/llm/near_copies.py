@@ -47,7 +47,7 @@ PART, WHOLE = 4, 5
 # as the table grows, and sets would meet at passages of the larger tables alone.
 SAMPLE, EVERY = 4_000, 12
 # The most common shingles that travel with the tasks, 12 bytes each.
-COMMON = 1 << 18
+COMMON = 1 << 20
 # The fewest bits of a set's sketch, a power of two.
 BITS = 1024
 # 64-bit words of a smaller sketch, which pairs are made by.
